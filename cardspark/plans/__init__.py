@@ -1,3 +1,4 @@
 """Query plans. Importing this package registers every named query."""
 
 from cardspark.plans import questions  # noqa: F401
+from cardspark.plans import warehouse_queries  # noqa: F401

@@ -29,6 +29,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf.setdefault("spark.driver.memory", "12g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
