@@ -2,3 +2,5 @@
 
 from cardspark.plans import questions  # noqa: F401
 from cardspark.plans import warehouse_queries  # noqa: F401
+from cardspark.plans import star  # noqa: F401
+from cardspark.plans import scd_queries  # noqa: F401

@@ -261,14 +261,34 @@ def fact_transaction(stg: dict, dims: dict, ctx: LoadContext = DEFAULT_CTX) -> D
 
 
 class Warehouse:
-    """Lazy handles on one warehouse load built from a scale-factor folder."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, ctx: LoadContext = DEFAULT_CTX):
-        self.spark, self.sf_dir, self.ctx = spark, sf_dir, ctx
-        self.stg = staged(spark, sf_dir, ctx)
+    """Handles on one warehouse load built from a scale-factor folder.
+
+    With ``materialize`` the staging tables and the fact are written to the
+    shared checkpoint folder on first use (the staging and fact writes of the
+    load), so later readers scan them instead of recomputing the lineage;
+    dimensions are always materialised by their key assignment.
+    """
+
+    _cache: dict = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str, ctx: LoadContext = DEFAULT_CTX,
+                 materialize: bool = False):
+        self.spark, self.sf_dir, self.ctx, self.materialize = spark, sf_dir, ctx, materialize
+        stg = staged(spark, sf_dir, ctx)
+        if materialize:
+            stg = {k: v.checkpoint(eager=True) for k, v in stg.items()}
+        self.stg = stg
         self._dims: dict = {}
         self._fact = None
 
+    @classmethod
+    def get(cls, spark: SparkSession, sf_dir: str, ctx: LoadContext = DEFAULT_CTX):
+        """One materialised load per (application, folder, context)."""
+        key = (spark.sparkContext.applicationId, sf_dir, ctx)
+        if key not in cls._cache:
+            cls._cache[key] = cls(spark, sf_dir, ctx, materialize=True)
+        return cls._cache[key]
+
     def dim(self, name: str) -> DataFrame:
         if name not in self._dims:
             build = {"date": lambda: dim_date(self.stg["transactions"], self.ctx),
@@ -287,7 +307,7 @@ class Warehouse:
     def fact(self, materialize: bool = False) -> DataFrame:
         if self._fact is None:
             f = fact_transaction(self.stg, self.dims(), self.ctx)
-            self._fact = f.checkpoint(eager=True) if materialize else f
+            self._fact = f.checkpoint(eager=True) if (materialize or self.materialize) else f
         return self._fact
 
 

@@ -26,7 +26,7 @@ _STG_SQL = {"users": "stg_users", "cards": "stg_cards", "transactions": "stg_tra
 
 
 def _wh(spark, sf_dir):
-    return Warehouse(spark, sf_dir, DEFAULT_CTX)
+    return Warehouse.get(spark, sf_dir, DEFAULT_CTX)
 
 
 # ------------------------------------------------------------------- S2 ----
