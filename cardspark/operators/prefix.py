@@ -65,18 +65,33 @@ def running_totals(df: DataFrame, order_cols: list, value_cols: list[str],
                     *[f"_off_{c}" for c in value_cols])
 
 
-def exact_median(df: DataFrame, col: str) -> DataFrame:
-    """One-row frame with the interpolated median of ``col`` (NULLs ignored),
-    as pandas' ``median``: the middle value, or the mean of the two middle
-    values (computed lo + (hi - lo) / 2). Values are first counted per
-    distinct value, so duplicates cost nothing downstream."""
-    g = (df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-           .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
-    cum = running_totals(g, ["v"], ["n"])
-    total = g.agg(F.sum("n").alias("total"))
-    j = cum.crossJoin(F.broadcast(total))
+def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per column of ``cols``: (column_name, median), the
+    interpolated median with NULLs ignored, as pandas' ``median`` (the middle
+    value, or lo + (hi - lo) / 2 of the two middle values).
+
+    All columns in one pass: (column, value) pairs are counted per distinct
+    pair (combined map-side, so duplicates cost nothing), one running total
+    runs over (column, value) order, and each column's own cumulative count
+    is the running total minus the rows of the columns before it."""
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
+        for i, c in enumerate(cols)])).alias("p")).select("p.*").filter(F.col("v").isNotNull())
+    g = pairs.groupBy("ci", "v").agg(F.count(F.lit(1)).alias("n"))
+    cum = running_totals(g, ["ci", "v"], ["n"])
+    totals = g.groupBy("ci").agg(F.sum("n").alias("total"))
+    before = Window.orderBy("ci").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("start", F.coalesce(F.sum("total").over(before), F.lit(0)))
+    j = cum.join(F.broadcast(totals), "ci").withColumn("pos", F.col("cum_n") - F.col("start"))
     lo_pos = F.floor((F.col("total") + 1) / 2)
     hi_pos = F.floor(F.col("total") / 2) + 1
-    return j.agg(F.min(F.when(F.col("cum_n") >= lo_pos, F.col("v"))).alias("lo"),
-                 F.min(F.when(F.col("cum_n") >= hi_pos, F.col("v"))).alias("hi")) \
-        .select((F.col("lo") + (F.col("hi") - F.col("lo")) * 0.5).alias("median"))
+    med = j.groupBy("ci").agg(F.min(F.when(F.col("pos") >= lo_pos, F.col("v"))).alias("lo"),
+                              F.min(F.when(F.col("pos") >= hi_pos, F.col("v"))).alias("hi"))
+    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("ci") + 1)
+    return med.select(names.alias("column_name"),
+                      (F.col("lo") + (F.col("hi") - F.col("lo")) * 0.5).alias("median"))
+
+
+def exact_median(df: DataFrame, col: str) -> DataFrame:
+    """One-row frame with the interpolated median of ``col``."""
+    return exact_medians(df, [col]).select("median")

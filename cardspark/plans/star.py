@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cardspark.functions.numeric import money, share
-from cardspark.operators.prefix import exact_median
+from cardspark.operators.prefix import exact_medians
 from cardspark.plans.registry import register
 from cardspark.plans.warehouse import DEFAULT_CTX, Warehouse, sized_broadcast
 from cardspark.plans.warehouse_sql import warehouse_ctes
@@ -252,8 +252,9 @@ def flat_with_time(wh: Warehouse) -> DataFrame:
     flat = flat_frame(wh)
     tf = time_features(wh.stg["transactions"])
     j = flat.join(tf, "transaction_id", "left")
-    med = (exact_median(tf, "txn_hour").withColumnRenamed("median", "_mh")
-           .crossJoin(exact_median(tf, "txn_weekday").withColumnRenamed("median", "_mw")))
+    med = (exact_medians(tf, ["txn_hour", "txn_weekday"]).groupBy()
+           .pivot("column_name", ["txn_hour", "txn_weekday"]).agg(F.first("median"))
+           .select(F.col("txn_hour").alias("_mh"), F.col("txn_weekday").alias("_mw")))
     j = j.crossJoin(F.broadcast(med))
     return j.select(
         *FLAT_COLS,
@@ -263,6 +264,17 @@ def flat_with_time(wh: Warehouse) -> DataFrame:
         F.coalesce("txn_per_card_day", F.lit(1)).cast("long").alias("txn_per_card_day"))
 
 
+def ml_frame(wh: Warehouse) -> DataFrame:
+    """The flat frame with time features, materialised once per load (it is
+    read by the medians, encoders, feature build and EDA)."""
+    if getattr(wh, "_ml_frame", None) is None:
+        wh._ml_frame = flat_with_time(wh).checkpoint(eager=True)
+    return wh._ml_frame
+
+
+Warehouse.ml_frame = ml_frame
+
+
 @register("ml_flat_with_time", f"""
 WITH tf AS ({TIME_SQL}),
 flat AS ({FLAT_SQL}),

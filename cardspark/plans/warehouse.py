@@ -20,7 +20,7 @@ Scale notes:
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +46,6 @@ class LoadContext:
     fact_audit: int = 3
     calendar: tuple | None = None  # (start date, end date); default from the data
     broadcast_max_rows: int = BROADCAST_MAX_ROWS
-    extra: dict = field(default_factory=dict)
 
 
 DEFAULT_CTX = LoadContext()
