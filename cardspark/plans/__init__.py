@@ -5,3 +5,4 @@ from cardspark.plans import warehouse_queries  # noqa: F401
 from cardspark.plans import star  # noqa: F401
 from cardspark.plans import scd_queries  # noqa: F401
 from cardspark.plans import features  # noqa: F401
+from cardspark.plans import metrics  # noqa: F401
