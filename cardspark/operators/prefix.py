@@ -95,3 +95,32 @@ def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
 def exact_median(df: DataFrame, col: str) -> DataFrame:
     """One-row frame with the interpolated median of ``col``."""
     return exact_medians(df, [col]).select("median")
+
+
+def exact_quantiles(df: DataFrame, value: str, group: str, probs: list[float]) -> DataFrame:
+    """Per group: linear-interpolated quantiles (pandas ``quantile``, SQL
+    ``quantile_cont``) of ``value`` at each of ``probs``; NULLs ignored.
+
+    Output columns: group, q_0 ... q_{k-1} (in ``probs`` order) and n. Built
+    like ``exact_medians``: counts per distinct (group, value), one running
+    total, per-group positions."""
+    g = (df.select(F.col(group).alias("grp"), F.col(value).cast("double").alias("v"))
+           .filter(F.col("v").isNotNull())
+           .groupBy("grp", "v").agg(F.count(F.lit(1)).alias("n")))
+    cum = running_totals(g, ["grp", "v"], ["n"])
+    totals = g.groupBy("grp").agg(F.sum("n").alias("total"))
+    before = Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("start", F.coalesce(F.sum("total").over(before), F.lit(0)))
+    j = cum.join(F.broadcast(totals), "grp").withColumn("pos", F.col("cum_n") - F.col("start"))
+    aggs = []
+    for i, p in enumerate(probs):
+        h = (F.col("total") - 1) * F.lit(float(p))
+        lo_pos = F.floor(h) + 1
+        hi_pos = F.least(F.ceil(h) + 1, F.col("total"))
+        aggs += [F.min(F.when(F.col("pos") >= lo_pos, F.col("v"))).alias(f"_lo{i}"),
+                 F.min(F.when(F.col("pos") >= hi_pos, F.col("v"))).alias(f"_hi{i}"),
+                 F.first(h - F.floor(h)).alias(f"_d{i}")]
+    q = j.groupBy("grp").agg(*aggs, F.first("total").alias("n"))
+    return q.select(F.col("grp").alias(group), *[
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_d{i}")).alias(f"q_{i}")
+        for i in range(len(probs))], "n")
