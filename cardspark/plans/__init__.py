@@ -7,3 +7,4 @@ from cardspark.plans import scd_queries  # noqa: F401
 from cardspark.plans import features  # noqa: F401
 from cardspark.plans import metrics  # noqa: F401
 from cardspark.plans import eda  # noqa: F401
+from cardspark.plans import models  # noqa: F401
