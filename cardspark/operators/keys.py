@@ -39,9 +39,23 @@ def global_position(df: DataFrame, order_cols: list, name: str = "pos",
                   .drop("_pid", "_mid", "_off"))
 
 
-def surrogate_keys(df: DataFrame, bk_cols: list, key: str, start: int = 1) -> DataFrame:
+# Below this many rows (checked with a count) a single-task window is cheaper
+# than the distributed ranking and its size is bounded.
+SMALL_ROWS = 1_000_000
+
+
+def surrogate_keys(df: DataFrame, bk_cols: list, key: str, start: int = 1,
+                   small_rows: int = SMALL_ROWS) -> DataFrame:
     """H2: dense surrogate keys in business-key order, starting at ``start``
     (max existing key + 1 for an incremental load). Equal to
-    ``row_number() OVER (ORDER BY bk) + start - 1``."""
-    out = global_position(df, bk_cols, key, start)
+    ``row_number() OVER (ORDER BY bk) + start - 1``.
+
+    A count first: a small dimension (at most ``small_rows`` rows, so one
+    task holds a bounded amount) is ranked with a plain window; a large one
+    with ``global_position``."""
+    if df.count() <= small_rows:
+        rank = F.row_number().over(Window.orderBy(*bk_cols))
+        out = df.withColumn(key, (F.lit(start - 1).cast("long") + rank).cast("long"))
+    else:
+        out = global_position(df, bk_cols, key, start)
     return out.select(key, *[c for c in df.columns])

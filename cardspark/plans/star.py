@@ -268,7 +268,8 @@ def ml_frame(wh: Warehouse) -> DataFrame:
     """The flat frame with time features, materialised once per load (it is
     read by the medians, encoders, feature build and EDA)."""
     if getattr(wh, "_ml_frame", None) is None:
-        wh._ml_frame = flat_with_time(wh).checkpoint(eager=True)
+        from cardspark.sources.store import write_table
+        wh._ml_frame = write_table(flat_with_time(wh), f"{wh.scope}/ml_frame")
     return wh._ml_frame
 
 

@@ -20,6 +20,7 @@ Scale notes:
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +64,7 @@ def stage(df: DataFrame, ctx: LoadContext) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf_dir: str, ctx: LoadContext = DEFAULT_CTX) -> dict:
-    s = Sources(spark, sf_dir)
+    s = Sources(spark, sf_dir, use_staged=False)
     return {"users": stage(s.users(), ctx), "cards": stage(s.cards(), ctx),
             "transactions": stage(s.transactions(), ctx), "mcc_codes": stage(s.mcc_codes(), ctx)}
 
@@ -273,9 +274,13 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, ctx: LoadContext = DEFAULT_CTX,
                  materialize: bool = False):
         self.spark, self.sf_dir, self.ctx, self.materialize = spark, sf_dir, ctx, materialize
+        self.scope = "wh_" + hashlib.sha1(repr((sf_dir, ctx)).encode()).hexdigest()[:12]
         stg = staged(spark, sf_dir, ctx)
         if materialize:
-            stg = {k: v.checkpoint(eager=True) for k, v in stg.items()}
+            from cardspark.sources.store import register_staged, write_table
+            stg = {k: write_table(v, f"{self.scope}/stg_{k}") for k, v in stg.items()}
+            for k, v in stg.items():
+                register_staged(spark, sf_dir, k, v)
         self.stg = stg
         self._dims: dict = {}
         self._fact = None
@@ -297,7 +302,11 @@ class Warehouse:
                                                                       self.ctx),
                      "customer": lambda: dim_customer(self.stg["users"], self.ctx),
                      "card": lambda: dim_card(self.stg["cards"], self.ctx)}[name]
-            self._dims[name] = build()
+            dim = build()
+            if self.materialize:
+                from cardspark.sources.store import write_table
+                dim = write_table(dim, f"{self.scope}/dim_{name}")
+            self._dims[name] = dim
         return self._dims[name]
 
     def dims(self) -> dict:
@@ -306,7 +315,12 @@ class Warehouse:
     def fact(self, materialize: bool = False) -> DataFrame:
         if self._fact is None:
             f = fact_transaction(self.stg, self.dims(), self.ctx)
-            self._fact = f.checkpoint(eager=True) if (materialize or self.materialize) else f
+            if self.materialize:
+                from cardspark.sources.store import write_table
+                f = write_table(f, f"{self.scope}/fact_transaction")
+            elif materialize:
+                f = f.checkpoint(eager=True)
+            self._fact = f
         return self._fact
 
 

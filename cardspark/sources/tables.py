@@ -188,7 +188,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic stand-in for model output, with ties, so the metric
     operators have an exact oracle."""
-    t = transactions(spark, sf_dir).filter(F.col("amount") > 0)
+    t = Sources(spark, sf_dir).transactions().filter(F.col("amount") > 0)
     base = F.pmod(F.col("id") * 37 + F.floor("amount").cast("int"), F.lit(101)).cast("double") / 200
     bump = F.when(F.col("errors").isNotNull() & (F.pmod(F.col("id"), F.lit(3)) == 0), 0.25) \
         .otherwise(0.0)
@@ -197,26 +197,41 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Sources:
-    """Lazy handles on the source tables of one scale-factor folder."""
+    """Lazy handles on the source tables of one scale-factor folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    When this session's warehouse load has written its staging tables, the
+    four source tables are read from those (Parquet in the shared folder)
+    instead of being derived again from the driver's tables; the rows are
+    the same, as staging is a full copy.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, use_staged: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.use_staged = use_staged
+
+    def _read(self, name: str, derive) -> DataFrame:
+        if self.use_staged:
+            from cardspark.sources.store import staged_table
+            st = staged_table(self.spark, self.sf_dir, name)
+            if st is not None:
+                return st.select(*SOURCE_SCHEMAS[name].fieldNames())
+        return derive(self.spark, self.sf_dir)
 
     def users(self) -> DataFrame:
-        return users(self.spark, self.sf_dir)
+        return self._read("users", users)
 
     def users_v2(self) -> DataFrame:
         return users_v2(self.spark, self.sf_dir)
 
     def cards(self) -> DataFrame:
-        return cards(self.spark, self.sf_dir)
+        return self._read("cards", cards)
 
     def mcc_codes(self) -> DataFrame:
-        return mcc_codes(self.spark, self.sf_dir)
+        return self._read("mcc_codes", mcc_codes)
 
     def transactions(self) -> DataFrame:
-        return transactions(self.spark, self.sf_dir)
+        return self._read("transactions", transactions)
 
     def scored(self) -> DataFrame:
         return scored(self.spark, self.sf_dir)
