@@ -41,7 +41,7 @@ def global_position(df: DataFrame, order_cols: list, name: str = "pos",
 
 # Below this many rows (checked with a count) a single-task window is cheaper
 # than the distributed ranking and its size is bounded.
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 200_000
 
 
 def surrogate_keys(df: DataFrame, bk_cols: list, key: str, start: int = 1,

@@ -25,6 +25,9 @@ from pyspark.sql.window import Window
 
 from cardspark.session import ensure_checkpoint_dir
 
+# Inputs up to this many rows (checked with a count) are cumulated in one task.
+SMALL_ROWS = 200_000
+
 
 def _local_cumsum(value_cols: list[str]):
     def run(batches):
@@ -42,11 +45,20 @@ def _local_cumsum(value_cols: list[str]):
 
 
 def running_totals(df: DataFrame, order_cols: list, value_cols: list[str],
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", small_rows: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over all rows up to and including this
     row in ``order_cols`` order (ties broken by the sort; pass a unique order
     for a deterministic result). Values are summed as doubles, exact for
-    integer counts below 2**53."""
+    integer counts below 2**53. Inputs of at most ``small_rows`` rows (a
+    count proves it) take a plain cumulative window."""
+    if small_rows is None:
+        small_rows = SMALL_ROWS
+    if df.count() <= small_rows:
+        # bounded by the count: one ordered task is cheaper than the
+        # distributed path for e.g. the distinct hours or scores
+        upto = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({f"{prefix}{c}": F.sum(F.col(c).cast("double")).over(upto)
+                               for c in value_cols})
     ensure_checkpoint_dir(df.sparkSession)
     ordered = df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id()) \
         .checkpoint(eager=True)

@@ -53,3 +53,19 @@ def test_exact_quantiles_like_pandas(spark):
     for g, sub in pdf.groupby("g"):
         for i, p in enumerate([0.25, 0.5, 0.75]):
             assert abs(q.loc[g, f"q_{i}"] - sub["v"].quantile(p)) < 1e-12
+
+
+def test_running_totals_distributed_path(spark):
+    df = _frame(spark, n=3000, parts=5)
+    got = running_totals(df, ["k", "id"], ["v"], small_rows=0).select("id", "cum_v").toPandas()
+    pdf = df.toPandas().sort_values(["k", "id"])
+    pdf["want"] = pdf["v"].cumsum()
+    m = pdf.merge(got, on="id")
+    assert np.allclose(m["want"], m["cum_v"])
+
+
+def test_surrogate_keys_distributed_path(spark):
+    df = _frame(spark, n=3000, parts=5).select("id", "k")
+    got = surrogate_keys(df, ["k", "id"], "key", start=5, small_rows=0).select("id", "key")
+    want = df.select("id", (F.row_number().over(Window.orderBy("k", "id")) + 4).alias("key"))
+    assert sorted(got.collect()) == sorted(want.collect())
