@@ -123,7 +123,8 @@ def exact_quantiles(df: DataFrame, value: str, group: str, probs: list[float]) -
     totals = g.groupBy("grp").agg(F.sum("n").alias("total"))
     before = Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("start", F.coalesce(F.sum("total").over(before), F.lit(0)))
-    j = cum.join(F.broadcast(totals), "grp").withColumn("pos", F.col("cum_n") - F.col("start"))
+    # one row per group: joined plainly, AQE broadcasts it when it is small
+    j = cum.join(totals, "grp").withColumn("pos", F.col("cum_n") - F.col("start"))
     aggs = []
     for i, p in enumerate(probs):
         h = (F.col("total") - 1) * F.lit(float(p))

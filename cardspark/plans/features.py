@@ -178,7 +178,7 @@ def text_with_state(flat: DataFrame, keep: list | None = None) -> DataFrame:
     join with one row per distinct state)."""
     groups = state_groups(flat).select(F.col("state").alias("_state"), "state_grp")
     t = flat.select(*(keep or []), *_text_cols(flat))
-    return t.join(F.broadcast(groups), "_state", "left").drop("_state")
+    return t.join(sized_broadcast(groups, 2_000_000), "_state", "left").drop("_state")
 
 
 def _one_hot_sql() -> str:

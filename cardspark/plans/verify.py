@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cardspark.functions import rules
 from cardspark.plans.warehouse import (DIM_BKS, DIM_KEYS, DIM_NAMES, DIM_TABLES, HIGH_DATE,
-                                       Warehouse)
+                                       Warehouse, sized_broadcast)
 
 # Fixed values from the reference's DDL: NOT NULL columns and nvarchar widths.
 HK_COLS = ["RowIsCurrent", "RowStartDate", "RowEndDate", "RowChangeReason", "InsertAuditKey",
@@ -138,7 +138,8 @@ def verify_metrics(wh: Warehouse) -> DataFrame:
         F.count(F.lit(1)).alias("n_fact"), F.sum("Amount").cast("decimal(38,2)").alias("sum_fact"),
         *[F.count_if(F.col(DIM_KEYS[d]) == -1).alias(f"funk_{d}") for d in ORDER]))
     tt_ok = dims["transaction_type"].filter(F.col("IsSuccess")).select("TransactionTypeKey")
-    frames.append(fact.filter(F.col("Amount") > 0).join(F.broadcast(tt_ok), "TransactionTypeKey")
+    tt_ok = sized_broadcast(tt_ok, wh.ctx.broadcast_max_rows)
+    frames.append(fact.filter(F.col("Amount") > 0).join(tt_ok, "TransactionTypeKey")
                   .agg(F.sum("Amount").cast("decimal(38,2)").alias("valid_fact")))
     for d in ORDER:
         dim, key = dims[d], DIM_KEYS[d]
