@@ -9,3 +9,4 @@ from cardspark.plans import metrics  # noqa: F401
 from cardspark.plans import eda  # noqa: F401
 from cardspark.plans import models  # noqa: F401
 from cardspark.streaming import velocity  # noqa: F401
+from cardspark.plans import load  # noqa: F401

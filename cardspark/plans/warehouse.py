@@ -285,6 +285,16 @@ class Warehouse:
         self._dims: dict = {}
         self._fact = None
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, sf_dir: str, ctx: LoadContext, stg: dict,
+                    dims: dict, fact: DataFrame) -> "Warehouse":
+        """Handles on an already written load (staging, dimensions, fact)."""
+        wh = cls.__new__(cls)
+        wh.spark, wh.sf_dir, wh.ctx, wh.materialize = spark, sf_dir, ctx, False
+        wh.scope = None
+        wh.stg, wh._dims, wh._fact = stg, dict(dims), fact
+        return wh
+
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str, ctx: LoadContext = DEFAULT_CTX):
         """One materialised load per (application, folder, context)."""
