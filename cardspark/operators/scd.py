@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardspark.functions.timeutil import ntz
 from cardspark.operators.keys import surrogate_keys
 
 HIGH_DATE = dt.datetime(9999, 12, 31)
@@ -42,7 +43,7 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, bk: str, key: str, type1: li
     - type-1 columns are overwritten in every version of the key;
     - the unknown member (key -1) is never touched.
     """
-    ts = F.lit(as_of).cast("timestamp_ntz")
+    ts = ntz(as_of)
     audit = F.lit(audit_key).cast("int")
     unknown = dim.filter(F.col(key) == -1)
     existing = dim.filter(F.col(key) > 0)
@@ -83,7 +84,7 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, bk: str, key: str, type1: li
     fresh = opened.select(
         *[F.col(c) for c in existing.columns if c in inc.columns],
         F.lit("Y").alias("RowIsCurrent"), ts.alias("RowStartDate"),
-        F.lit(HIGH_DATE).cast("timestamp_ntz").alias("RowEndDate"), "RowChangeReason",
+        ntz(HIGH_DATE).alias("RowEndDate"), "RowChangeReason",
         audit.alias("InsertAuditKey"), audit.alias("UpdateAuditKey"))
     keyed = surrogate_keys(fresh, [bk], key, start=max_key + 1)
     keyed = keyed.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields])

@@ -116,8 +116,10 @@ def frequencies(flat: DataFrame) -> DataFrame:
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
         for c in FREQ_ENCODE_COLS])).alias("p")).select("p.*")
     counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy("column_name"))
-    return counts.withColumn("freq", share(F.col("n"), total)).drop("n")
+    # one row per encoded column (not a window over all its distinct values)
+    totals = counts.groupBy("column_name").agg(F.sum("n").alias("_total"))
+    return (counts.join(F.broadcast(totals), "column_name")
+                  .withColumn("freq", share(F.col("n"), F.col("_total"))).drop("n", "_total"))
 
 
 @register("freq_encode", f"""

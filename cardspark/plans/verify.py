@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardspark.functions import rules
+from cardspark.functions.timeutil import ntz
 from cardspark.plans.warehouse import (DIM_BKS, DIM_KEYS, DIM_NAMES, DIM_TABLES, HIGH_DATE,
                                        Warehouse, sized_broadcast)
 
@@ -101,7 +102,7 @@ def audit_log(wh: Warehouse) -> DataFrame:
     n_dims = dims.agg(F.count_if(F.col("k") > 0).alias("rows_dims"))
     n_fact = wh.fact().agg(F.count(F.lit(1)).alias("rows_fact"))
     m = _one_row([n_stg, n_dims, n_fact])
-    as_of = F.lit(wh.ctx.as_of).cast("timestamp_ntz")
+    as_of = ntz(wh.ctx.as_of)
     fact_status = F.when(F.col("rows_fact") == F.col("rows_stg_txn"), "Success") \
         .otherwise("Warning")
 
@@ -132,7 +133,7 @@ def verify_metrics(wh: Warehouse) -> DataFrame:
     dims = wh.dims()
     st = wh.stg["transactions"]
     frames = []
-    high = F.lit(HIGH_DATE).cast("timestamp_ntz")
+    high = ntz(HIGH_DATE)
 
     frames.append(fact.agg(
         F.count(F.lit(1)).alias("n_fact"), F.sum("Amount").cast("decimal(38,2)").alias("sum_fact"),

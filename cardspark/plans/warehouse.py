@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardspark.functions import rules
+from cardspark.functions.timeutil import ntz
 from cardspark.operators.keys import surrogate_keys
 from cardspark.sources.tables import Sources
 
@@ -53,7 +54,7 @@ DEFAULT_CTX = LoadContext()
 
 
 def _ts(x: dt.datetime):
-    return F.lit(x).cast("timestamp_ntz")
+    return ntz(x)
 
 
 # ----------------------------------------------------------------- staging ----
@@ -82,7 +83,9 @@ def _unknown_row(spark: SparkSession, like: DataFrame, values: dict) -> DataFram
     hk = {"RowIsCurrent": "Y", "RowStartDate": LOW_DATE, "RowEndDate": HIGH_DATE,
           "RowChangeReason": "N/A", "InsertAuditKey": -1, "UpdateAuditKey": -1}
     merged = {**{k: v for k, v in hk.items() if k in like.columns}, **values}
-    row = spark.range(1).select(*[F.lit(merged[f.name]).cast(f.dataType).alias(f.name)
+    def lit(v, t):
+        return ntz(v) if isinstance(v, dt.datetime) else F.lit(v).cast(t)
+    row = spark.range(1).select(*[lit(merged[f.name], f.dataType).alias(f.name)
                                   for f in like.schema.fields])
     return row
 
