@@ -11,6 +11,7 @@ partition, which ``monotonically_increasing_id`` already carries in its low
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -53,6 +54,9 @@ def surrogate_keys(df: DataFrame, bk_cols: list, key: str, start: int = 1,
     A count first: a small dimension (at most ``small_rows`` rows, so one
     task holds a bounded amount) is ranked with a plain window; a large one
     with ``global_position``."""
+    # kept for the size check and the ranking after it (recomputed from its
+    # lineage if an executor is lost)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     if df.count() <= small_rows:
         rank = F.row_number().over(Window.orderBy(*bk_cols))
         out = df.withColumn(key, (F.lit(start - 1).cast("long") + rank).cast("long"))

@@ -124,9 +124,12 @@ def exact_quantiles(df: DataFrame, value: str, group: str, probs: list[float]) -
            .filter(F.col("v").isNotNull())
            .groupBy("grp", "v").agg(F.count(F.lit(1)).alias("n")))
     cum = running_totals(g, ["grp", "v"], ["n"])
+    # each group's first position: an exclusive running total over one row
+    # per group (size-checked like any running total, so many groups never
+    # meet in one task)
     totals = g.groupBy("grp").agg(F.sum("n").alias("total"))
-    before = Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("start", F.coalesce(F.sum("total").over(before), F.lit(0)))
+    totals = running_totals(totals, ["grp"], ["total"]).withColumn(
+        "start", (F.col("cum_total") - F.col("total")).cast("long")).drop("cum_total")
     # one row per group: joined plainly, AQE broadcasts it when it is small
     j = cum.join(totals, "grp").withColumn("pos", F.col("cum_n") - F.col("start"))
     aggs = []

@@ -18,9 +18,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cardspark.functions.numeric import round_half_up, round_half_up_sql, share
+from cardspark.operators.keys import surrogate_keys
 from cardspark.operators.prefix import exact_medians
 from cardspark.plans.registry import register
 from cardspark.plans.star import CTES, FLAT_SQL, TIME_SQL, _wh, flat_with_time
@@ -141,11 +141,14 @@ def state_groups(flat: DataFrame, top_n: int = STATE_TOP_N) -> DataFrame:
     types = dict(flat.dtypes)
     counts = (flat.select(as_text("state", types["state"]).alias("state"))
                   .groupBy("state").agg(F.count(F.lit(1)).alias("n")))
-    # One row per distinct state: a small frame, ranked in one partition.
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "state"))
-    return (counts.withColumn("_r", rank)
-                  .withColumn("state_grp", F.when(F.col("_r") <= top_n, F.col("state"))
-                              .otherwise("Other")).drop("_r"))
+    # The top_n states by a distributed top-k (each partition keeps its best
+    # top_n, the merge sees top_n rows per partition): the broadcast side
+    # holds top_n rows whatever the number of distinct states.
+    top = (counts.orderBy(F.desc("n"), "state").limit(top_n)
+                 .select("state", F.lit(True).alias("_top")))
+    return (counts.join(F.broadcast(top), "state", "left")
+                  .withColumn("state_grp", F.when(F.col("_top"), F.col("state"))
+                              .otherwise("Other")).drop("_top"))
 
 
 @register("state_top_n", f"""
@@ -169,10 +172,12 @@ def levels(text: DataFrame) -> DataFrame:
     name = F.concat(F.col("column_name"), F.lit("_"), F.col("level"))
     name = F.regexp_replace(F.regexp_replace(F.regexp_replace(name, r"\[", "("), r"\]", ")"),
                             "<", "lt")
-    pos = F.row_number().over(Window.orderBy("col_order", "level"))
     base = len(ALL_NUMERIC) + len(FREQ_ENCODE_COLS)
-    return pairs.select("column_name", "level", name.alias("feature_name"),
-                        (pos + base - 1).cast("int").alias("feature_index"), "col_order")
+    # position in (column, level) order: size-checked ranking (a plain window
+    # only when a count proves the level list small)
+    ranked = surrogate_keys(pairs, ["col_order", "level"], "_pos", start=base)
+    return ranked.select("column_name", "level", name.alias("feature_name"),
+                         F.col("_pos").cast("int").alias("feature_index"), "col_order")
 
 
 def text_with_state(flat: DataFrame, keep: list | None = None) -> DataFrame:

@@ -157,9 +157,14 @@ def verify_metrics(wh: Warehouse) -> DataFrame:
                           .groupBy(DIM_BKS[d]).count().filter(F.col("count") > 1)
                           .agg(F.count(F.lit(1)).alias(f"dup_{d}")))
         frames.append(dim.agg(*aggs))
+        # fact rows per key first (combined map-side, so the shuffle carries
+        # at most one row per key and partition, not one per fact row), then
+        # the keys absent from the dimension
         keys = dim.select(F.col(key).cast("long").alias(key)).distinct()
-        frames.append(fact.select(F.col(key).cast("long").alias(key))
-                      .join(keys, key, "left_anti").agg(F.count(F.lit(1)).alias(f"orphan_{d}")))
+        per_key = (fact.groupBy(F.col(key).cast("long").alias(key))
+                       .agg(F.count(F.lit(1)).alias("_n")))
+        frames.append(per_key.join(keys, key, "left_anti")
+                      .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias(f"orphan_{d}")))
     frames.append(st.agg(
         F.count(F.lit(1)).alias("n_stg_txn"),
         F.sum("amount").cast("decimal(38,2)").alias("sum_stg"),
