@@ -22,6 +22,7 @@ from cardspark.plans.warehouse import (DEFAULT_CTX, DIM_KEYS, DIM_NAMES, DIM_TAB
                                        Warehouse, dim_card, dim_customer, dim_date, dim_geography,
                                        dim_mcc, dim_transaction_type, fact_transaction, staged,
                                        write_fact)
+from cardspark.session import run_concurrently
 from cardspark.sources.tables import Sources
 
 STAGE_TABLES = ["users", "cards", "transactions", "mcc_codes"]
@@ -31,23 +32,28 @@ def build_warehouse(spark: SparkSession, sf_dir: str, out_root: str,
                     ctx: LoadContext = DEFAULT_CTX) -> dict:
     """Run the full load; returns the run folder and the observed counts."""
     run = f"{out_root.rstrip('/')}/run={ctx.as_of:%Y%m%dT%H%M%S}"
-    counts = {}
-    stg = {}
-    for name, df in staged(spark, sf_dir, ctx).items():
+    def write_stage(name, df):
         df.write.mode("overwrite").parquet(f"{run}/stg/{name}")
-        stg[name] = spark.read.parquet(f"{run}/stg/{name}")
+        back = spark.read.parquet(f"{run}/stg/{name}")
         # answered from the Parquet footers, without reading the rows
-        counts[name] = stg[name].count()
+        return back, back.count()
+
+    # staging writes, then dimension writes, each group submitted together
+    written = run_concurrently({name: (lambda name=name, df=df: write_stage(name, df))
+                                for name, df in staged(spark, sf_dir, ctx).items()})
+    stg = {k: v[0] for k, v in written.items()}
+    counts = {k: v[1] for k, v in written.items()}
     build = {"date": lambda: dim_date(stg["transactions"], ctx),
              "mcc": lambda: dim_mcc(stg["mcc_codes"], ctx),
              "geography": lambda: dim_geography(stg["transactions"], ctx),
              "transaction_type": lambda: dim_transaction_type(stg["transactions"], ctx),
              "customer": lambda: dim_customer(stg["users"], ctx),
              "card": lambda: dim_card(stg["cards"], ctx)}
-    dims = {}
-    for d in DIM_NAMES:
+    def write_dim(d):
         build[d]().write.mode("overwrite").parquet(f"{run}/dims/{DIM_TABLES[d]}")
-        dims[d] = spark.read.parquet(f"{run}/dims/{DIM_TABLES[d]}")
+        return spark.read.parquet(f"{run}/dims/{DIM_TABLES[d]}")
+
+    dims = run_concurrently({d: (lambda d=d: write_dim(d)) for d in DIM_NAMES})
     write_fact(fact_transaction(stg, dims, ctx), f"{run}/fact/FactTransaction")
     fact = spark.read.parquet(f"{run}/fact/FactTransaction").drop("Year")
 

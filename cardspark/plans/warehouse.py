@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from cardspark.functions import rules
 from cardspark.functions.timeutil import ntz
 from cardspark.operators.keys import surrogate_keys
+from cardspark.session import run_concurrently
 from cardspark.sources.tables import Sources
 
 # Fixed values of the reference's housekeeping columns.
@@ -281,7 +282,9 @@ class Warehouse:
         stg = staged(spark, sf_dir, ctx)
         if materialize:
             from cardspark.sources.store import register_staged, write_table
-            stg = {k: write_table(v, f"{self.scope}/stg_{k}") for k, v in stg.items()}
+            # the four staging writes are independent: submitted together
+            stg = run_concurrently({k: (lambda k=k, v=v: write_table(v, f"{self.scope}/stg_{k}"))
+                                    for k, v in stg.items()})
             for k, v in stg.items():
                 register_staged(spark, sf_dir, k, v)
         self.stg = stg
@@ -323,6 +326,10 @@ class Warehouse:
         return self._dims[name]
 
     def dims(self) -> dict:
+        """All six dimensions; missing ones are built together (each depends
+        only on staging)."""
+        missing = [n for n in DIM_NAMES if n not in self._dims]
+        run_concurrently({n: (lambda n=n: self.dim(n)) for n in missing})
         return {n: self.dim(n) for n in DIM_NAMES}
 
     def fact(self, materialize: bool = False) -> DataFrame:

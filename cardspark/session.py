@@ -65,3 +65,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="cardspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def run_concurrently(tasks: dict, max_workers: int = 8) -> dict:
+    """Run independent Spark actions (``name -> callable``) from a pool of
+    driver threads and return ``name -> result``.
+
+    Each callable submits its own jobs; the scheduler interleaves their
+    stages on the executors, so small jobs that cannot fill the cluster on
+    their own (a dimension build, a staging write) overlap instead of
+    queueing. The first failure is raised after all tasks have finished.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+    return {k: fut.result() for k, fut in futures.items()}
