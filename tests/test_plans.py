@@ -33,3 +33,20 @@ def test_filter_pushed_to_scan(spark):
     from cardspark.sources.tables import raw
     df = raw(spark, SF, "lineitem").filter("l_quantity > 40").select("l_orderkey")
     assert "GreaterThan(l_quantity,40" in _plan(df)
+
+
+def test_state_ranking_is_a_bounded_top_n(spark):
+    # the top states come from a distributed top-k, not a window that pulls
+    # every distinct state into one task
+    plan = _plan(entry.queries()["state_top_n"](spark, SF))
+    assert "TakeOrderedAndProject" in plan
+    assert "Window" not in plan
+
+
+def test_orphan_checks_count_per_key_before_the_anti_join(spark):
+    from cardspark.plans.verify import verify_metrics
+    from cardspark.plans.warehouse import DEFAULT_CTX, Warehouse
+    plan = _plan(verify_metrics(Warehouse.get(spark, SF, DEFAULT_CTX)))
+    anti = [line for line in plan.splitlines() if "LeftAnti" in line]
+    assert len(anti) == 6
+    assert plan.count("partial_count") >= 6
