@@ -8,8 +8,9 @@ pulls every row into one task. Here:
 2. per-partition totals are one row per partition; their exclusive prefix
    sum (a window over at most #partitions rows) gives each partition's offset,
    broadcast back;
-3. inside each partition the running sum is a vectorised numpy ``cumsum``
-   over Arrow batches (``mapInPandas``), carried across batches.
+3. inside each partition the running sum is a window partitioned by the
+   stored partition id (each window group is one range partition, so no
+   group is larger than a task's share; JVM-side, no Python workers).
 
 Callers aggregate first where they can (e.g. one row per distinct score), so
 a value shared by a third of all rows is a single row here.
@@ -17,11 +18,9 @@ a value shared by a third of all rows is a single row here.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from cardspark.session import ensure_checkpoint_dir
@@ -30,21 +29,6 @@ from cardspark.session import ensure_checkpoint_dir
 SMALL_ROWS = 200_000
 
 
-def _local_cumsum(value_cols: list[str]):
-    def run(batches):
-        carry = np.zeros(len(value_cols), dtype="float64")
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            vals = pdf[value_cols].to_numpy(dtype="float64", na_value=0.0)
-            cums = np.cumsum(vals, axis=0) + carry
-            carry = cums[-1].copy()
-            for i, c in enumerate(value_cols):
-                pdf[f"_loc_{c}"] = cums[:, i]
-            yield pdf
-    return run
-
-
 def running_totals(df: DataFrame, order_cols: list, value_cols: list[str],
                    prefix: str = "cum_", small_rows: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over all rows up to and including this
@@ -68,12 +52,14 @@ def running_totals(df: DataFrame, order_cols: list, value_cols: list[str],
         .checkpoint(eager=True)
     totals = ordered.groupBy("_pid").agg(*[F.sum(F.col(c).cast("double")).alias(f"_t_{c}")
                                            for c in value_cols])
+    # one row per partition: bounded by the partition count
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0.0))
                                       .alias(f"_off_{c}") for c in value_cols])
-    schema = T.StructType(ordered.schema.fields + [
-        T.StructField(f"_loc_{c}", T.DoubleType()) for c in value_cols])
-    local = ordered.mapInPandas(_local_cumsum(value_cols), schema)
+    inside = (Window.partitionBy("_pid").orderBy(*order_cols)
+              .rowsBetween(Window.unboundedPreceding, 0))
+    local = ordered.withColumns({f"_loc_{c}": F.sum(F.col(c).cast("double")).over(inside)
+                                 for c in value_cols})
     out = local.join(F.broadcast(offsets), "_pid")
     for c in value_cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_off_{c}") + F.col(f"_loc_{c}"))
