@@ -113,3 +113,19 @@ def test_confusion_at_threshold(spark):
     c = M.confusion_at(_scored(spark), thr).first()
     assert (c["tn"], c["fp"], c["fn"], c["tp"]) == (4, 1, 1, 2)
     assert abs(c["f1"] - 4 / 6) < 1e-12
+
+
+def test_recall_at_k_matches_sorting_with_heavy_ties(spark):
+    rng = np.random.default_rng(7)
+    n = 3000
+    ids = rng.permutation(n)
+    labels = (rng.random(n) < 0.1).astype(int)
+    scores = rng.integers(0, 6, n) / 5.0  # six distinct scores: large tie groups
+    df = spark.createDataFrame([(int(i), int(lb), float(s)) for i, lb, s in zip(ids, labels, scores)],
+                               "id long, label int, score double")
+    pcts = [1, 5, 10, 20, 33, 50, 100]
+    got = {r["k_pct"]: (r["k"], r["caught"]) for r in M.recall_at_k(df, pcts).collect()}
+    order = np.lexsort((ids, -scores))  # score descending, then id ascending
+    for p in pcts:
+        k = max(int(np.floor(n * p / 100)), 1)
+        assert got[p] == (k, int(labels[order[:k]].sum())), p
