@@ -219,18 +219,26 @@ def ml_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- S9 / M2 ----
+def _time_parts(transactions: DataFrame) -> DataFrame:
+    return transactions.select(F.col("id").alias("transaction_id"), "card_id",
+                               F.hour("date").alias("txn_hour"),
+                               F.dayofweek("date").alias("txn_weekday"),
+                               F.to_date("date").alias("txn_date"))
+
+
 def time_features(transactions: DataFrame) -> DataFrame:
     """Hour, weekday (Sunday = 1), night flag (hour < 6) and velocity (the
-    number of transactions of the same card on the same day)."""
-    t = transactions.select(F.col("id").alias("transaction_id"), "card_id",
-                            F.hour("date").alias("txn_hour"),
-                            F.dayofweek("date").alias("txn_weekday"),
-                            F.to_date("date").alias("txn_date"))
-    per_day = t.groupBy("card_id", "txn_date").agg(F.count(F.lit(1)).alias("txn_per_card_day"))
-    return (t.join(per_day, ["card_id", "txn_date"])
+    number of transactions of the same card on the same day; a missing date
+    is a group of its own, as in a window, so no row is lost)."""
+    t = _time_parts(transactions)
+    per_day = (t.groupBy("card_id", "txn_date").agg(F.count(F.lit(1)).alias("txn_per_card_day"))
+                .select(F.col("card_id").alias("_c"), F.col("txn_date").alias("_d"),
+                        "txn_per_card_day"))
+    same = t.card_id.eqNullSafe(per_day._c) & t.txn_date.eqNullSafe(per_day._d)
+    return (t.join(per_day, same)
              .select("transaction_id", "txn_hour", "txn_weekday",
-                     ((F.col("txn_hour") >= 0) & (F.col("txn_hour") < 6)).cast("int")
-                     .alias("is_night"), "txn_per_card_day"))
+                     F.when((F.col("txn_hour") >= 0) & (F.col("txn_hour") < 6), 1)
+                      .otherwise(0).alias("is_night"), "txn_per_card_day"))
 
 
 TIME_SQL = """
@@ -252,7 +260,10 @@ def flat_with_time(wh: Warehouse) -> DataFrame:
     flat = flat_frame(wh)
     tf = time_features(wh.stg["transactions"])
     j = flat.join(tf, "transaction_id", "left")
-    med = (exact_medians(tf, ["txn_hour", "txn_weekday"]).groupBy()
+    # medians over every transaction's hour and weekday: a projection of the
+    # staged table, without the velocity aggregate and join
+    parts = _time_parts(wh.stg["transactions"])
+    med = (exact_medians(parts, ["txn_hour", "txn_weekday"]).groupBy()
            .pivot("column_name", ["txn_hour", "txn_weekday"]).agg(F.first("median"))
            .select(F.col("txn_hour").alias("_mh"), F.col("txn_weekday").alias("_mw")))
     j = j.crossJoin(F.broadcast(med))

@@ -69,3 +69,16 @@ def test_surrogate_keys_distributed_path(spark):
     got = surrogate_keys(df, ["k", "id"], "key", start=5, small_rows=0).select("id", "key")
     want = df.select("id", (F.row_number().over(Window.orderBy("k", "id")) + 4).alias("key"))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_time_features_keep_rows_without_a_date(spark):
+    import datetime as dt
+
+    from cardspark.plans.star import time_features
+    rows = [(1, dt.datetime(2020, 1, 1, 3), 7), (2, dt.datetime(2020, 1, 1, 9), 7),
+            (3, None, 7), (4, None, 7), (5, dt.datetime(2020, 1, 2, 1), 8)]
+    df = spark.createDataFrame(rows, "id long, date timestamp_ntz, card_id int")
+    got = {r["transaction_id"]: (r["txn_per_card_day"], r["is_night"])
+           for r in time_features(df).collect()}
+    # a missing date is its own (card, day) group, as in a window; night is 0
+    assert got == {1: (2, 1), 2: (2, 0), 3: (2, 0), 4: (2, 0), 5: (1, 1)}
