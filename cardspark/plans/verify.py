@@ -135,13 +135,29 @@ def verify_metrics(wh: Warehouse) -> DataFrame:
     frames = []
     high = ntz(HIGH_DATE)
 
-    frames.append(fact.agg(
+    # fact totals, unknown-member use and valid spend in one pass: the
+    # success flag comes from a size-checked broadcast of the type dimension
+    tt_ok = sized_broadcast(dims["transaction_type"].select(
+        "TransactionTypeKey", F.col("IsSuccess").alias("_ok")), wh.ctx.broadcast_max_rows)
+    valid = F.coalesce(F.col("_ok"), F.lit(False)) & (F.col("Amount") > 0)
+    frames.append(fact.join(tt_ok, "TransactionTypeKey", "left").agg(
         F.count(F.lit(1)).alias("n_fact"), F.sum("Amount").cast("decimal(38,2)").alias("sum_fact"),
+        F.sum(F.when(valid, F.col("Amount"))).cast("decimal(38,2)").alias("valid_fact"),
         *[F.count_if(F.col(DIM_KEYS[d]) == -1).alias(f"funk_{d}") for d in ORDER]))
-    tt_ok = dims["transaction_type"].filter(F.col("IsSuccess")).select("TransactionTypeKey")
-    tt_ok = sized_broadcast(tt_ok, wh.ctx.broadcast_max_rows)
-    frames.append(fact.filter(F.col("Amount") > 0).join(tt_ok, "TransactionTypeKey")
-                  .agg(F.sum("Amount").cast("decimal(38,2)").alias("valid_fact")))
+    # orphan keys of all six dimensions in one pass over the fact: rows per
+    # (dimension, key) combined map-side, so the shuffle carries at most one
+    # row per key and partition, then the keys absent from their dimension
+    fact_keys = fact.select(F.explode(F.array(*[
+        F.struct(F.lit(d).alias("_dim"), F.col(DIM_KEYS[d]).cast("long").alias("_k"))
+        for d in ORDER])).alias("p")).select("p.*")
+    per_key = fact_keys.groupBy("_dim", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    dim_keys = reduce(lambda a, b: a.unionByName(b), [
+        dims[d].select(F.lit(d).alias("_dim"), F.col(DIM_KEYS[d]).cast("long").alias("_k"))
+        for d in ORDER]).distinct()
+    orphans = per_key.join(dim_keys, ["_dim", "_k"], "left_anti")
+    frames.append(orphans.agg(*[
+        F.coalesce(F.sum(F.when(F.col("_dim") == d, F.col("_n"))), F.lit(0)).cast("long")
+        .alias(f"orphan_{d}") for d in ORDER]))
     for d in ORDER:
         dim, key = dims[d], DIM_KEYS[d]
         aggs = [F.count_if(F.col(key) > 0).alias(f"n_{d}"),
@@ -157,14 +173,6 @@ def verify_metrics(wh: Warehouse) -> DataFrame:
                           .groupBy(DIM_BKS[d]).count().filter(F.col("count") > 1)
                           .agg(F.count(F.lit(1)).alias(f"dup_{d}")))
         frames.append(dim.agg(*aggs))
-        # fact rows per key first (combined map-side, so the shuffle carries
-        # at most one row per key and partition, not one per fact row), then
-        # the keys absent from the dimension
-        keys = dim.select(F.col(key).cast("long").alias(key)).distinct()
-        per_key = (fact.groupBy(F.col(key).cast("long").alias(key))
-                       .agg(F.count(F.lit(1)).alias("_n")))
-        frames.append(per_key.join(keys, key, "left_anti")
-                      .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias(f"orphan_{d}")))
     frames.append(st.agg(
         F.count(F.lit(1)).alias("n_stg_txn"),
         F.sum("amount").cast("decimal(38,2)").alias("sum_stg"),
