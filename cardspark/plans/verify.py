@@ -148,16 +148,16 @@ def verify_metrics(wh: Warehouse) -> DataFrame:
     # (dimension, key) combined map-side, so the shuffle carries at most one
     # row per key and partition, then the keys absent from their dimension
     fact_keys = fact.select(F.explode(F.array(*[
-        F.struct(F.lit(d).alias("_dim"), F.col(DIM_KEYS[d]).cast("long").alias("_k"))
-        for d in ORDER])).alias("p")).select("p.*")
+        F.struct(F.lit(i).alias("_dim"), F.col(DIM_KEYS[d]).cast("long").alias("_k"))
+        for i, d in enumerate(ORDER)])).alias("p")).select("p.*")
     per_key = fact_keys.groupBy("_dim", "_k").agg(F.count(F.lit(1)).alias("_n"))
     dim_keys = reduce(lambda a, b: a.unionByName(b), [
-        dims[d].select(F.lit(d).alias("_dim"), F.col(DIM_KEYS[d]).cast("long").alias("_k"))
-        for d in ORDER]).distinct()
+        dims[d].select(F.lit(i).alias("_dim"), F.col(DIM_KEYS[d]).cast("long").alias("_k"))
+        for i, d in enumerate(ORDER)]).distinct()
     orphans = per_key.join(dim_keys, ["_dim", "_k"], "left_anti")
     frames.append(orphans.agg(*[
-        F.coalesce(F.sum(F.when(F.col("_dim") == d, F.col("_n"))), F.lit(0)).cast("long")
-        .alias(f"orphan_{d}") for d in ORDER]))
+        F.coalesce(F.sum(F.when(F.col("_dim") == i, F.col("_n"))), F.lit(0)).cast("long")
+        .alias(f"orphan_{d}") for i, d in enumerate(ORDER)]))
     for d in ORDER:
         dim, key = dims[d], DIM_KEYS[d]
         aggs = [F.count_if(F.col(key) > 0).alias(f"n_{d}"),
