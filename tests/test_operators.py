@@ -82,3 +82,16 @@ def test_time_features_keep_rows_without_a_date(spark):
            for r in time_features(df).collect()}
     # a missing date is its own (card, day) group, as in a window; night is 0
     assert got == {1: (2, 1), 2: (2, 0), 3: (2, 0), 4: (2, 0), 5: (1, 1)}
+
+
+def test_run_concurrently_returns_each_result_and_raises(spark):
+    import pytest
+
+    from cardspark.session import run_concurrently
+    out = run_concurrently({i: (lambda i=i: spark.range(i * 10).count()) for i in range(4)})
+    assert out == {0: 0, 1: 10, 2: 20, 3: 30}
+
+    def fails():
+        raise ValueError("boom")
+    with pytest.raises(ValueError):
+        run_concurrently({"ok": lambda: spark.range(5).count(), "bad": fails})
