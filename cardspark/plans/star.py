@@ -36,7 +36,7 @@ def _wh(spark, sf_dir):
 
 def _success_types(wh: Warehouse) -> DataFrame:
     tt = wh.dim("transaction_type").select("TransactionTypeKey", "IsSuccess")
-    return sized_broadcast(tt, wh.ctx.broadcast_max_rows)
+    return sized_broadcast(tt, wh.ctx.broadcast_max_rows, wh.dim_rows("transaction_type"))
 
 
 def _valid_fact(wh: Warehouse) -> DataFrame:
@@ -89,7 +89,8 @@ def kpi_utilization(spark: SparkSession, sf_dir: str, days: int = UTIL_DAYS) ->
     """K3: valid spend of the last ``days`` days on credit cards over their
     limits (cards with spend in the window), at day grain as the star holds."""
     wh = _wh(spark, sf_dir)
-    dd = sized_broadcast(wh.dim("date").select("DateKey", "FullDate"), wh.ctx.broadcast_max_rows)
+    dd = sized_broadcast(wh.dim("date").select("DateKey", "FullDate"), wh.ctx.broadcast_max_rows,
+                         wh.dim_rows("date"))
     dated = _valid_fact(wh).join(dd, "DateKey")
     mx = dated.select(F.max("FullDate")).scalar()
     recent = (dated.filter(F.col("FullDate") >= F.date_sub(mx, days))
@@ -163,15 +164,17 @@ def flat_frame(wh: Warehouse) -> DataFrame:
     d = sized_broadcast(wh.dim("date").select(
         "DateKey", F.col("Year").alias("year"), F.col("MonthNumber").alias("month_number"),
         F.col("Quarter").alias("quarter"), F.col("DayName").alias("day_name"),
-        F.col("IsWeekend").alias("is_weekend")), lim)
+        F.col("IsWeekend").alias("is_weekend")), lim, wh.dim_rows("date"))
     g = sized_broadcast(wh.dim("geography").select(
-        "GeographyKey", F.col("State").alias("state"), F.col("IsOnline").alias("is_online")), lim)
+        "GeographyKey", F.col("State").alias("state"), F.col("IsOnline").alias("is_online")),
+        lim, wh.dim_rows("geography"))
     m = sized_broadcast(wh.dim("mcc").select(
-        "MccKey", F.col("MccDescription").alias("mcc_description")), lim)
+        "MccKey", F.col("MccDescription").alias("mcc_description")), lim, wh.dim_rows("mcc"))
     tt = sized_broadcast(wh.dim("transaction_type").select(
         "TransactionTypeKey", F.col("EntryMode").alias("entry_mode"),
         F.col("IsOnlineEntry").alias("is_online_entry"),
-        F.when(F.col("IsSuccess"), 0).otherwise(1).alias("is_error")), lim)
+        F.when(F.col("IsSuccess"), 0).otherwise(1).alias("is_error")),
+        lim, wh.dim_rows("transaction_type"))
     card = wh.dim("card").select(
         "CardKey", F.col("CardBrand").alias("card_brand"), F.col("CardType").alias("card_type"),
         F.col("CreditLimit").alias("credit_limit"),

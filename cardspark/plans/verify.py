@@ -138,7 +138,8 @@ def verify_metrics(wh: Warehouse) -> DataFrame:
     # fact totals, unknown-member use and valid spend in one pass: the
     # success flag comes from a size-checked broadcast of the type dimension
     tt_ok = sized_broadcast(dims["transaction_type"].select(
-        "TransactionTypeKey", F.col("IsSuccess").alias("_ok")), wh.ctx.broadcast_max_rows)
+        "TransactionTypeKey", F.col("IsSuccess").alias("_ok")), wh.ctx.broadcast_max_rows,
+        wh.dim_rows("transaction_type"))
     valid = F.coalesce(F.col("_ok"), F.lit(False)) & (F.col("Amount") > 0)
     frames.append(fact.join(tt_ok, "TransactionTypeKey", "left").agg(
         F.count(F.lit(1)).alias("n_fact"), F.sum("Amount").cast("decimal(38,2)").alias("sum_fact"),

@@ -207,10 +207,13 @@ def dim_card(stg_cards: DataFrame, ctx: LoadContext = DEFAULT_CTX) -> DataFrame:
 
 
 # -------------------------------------------------------------------- fact ----
-def sized_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
+def sized_broadcast(dim: DataFrame, max_rows: int, rows: int | None = None) -> DataFrame:
     """Broadcast ``dim`` only if a count proves it small; otherwise leave the
-    join strategy to the planner (shuffle join, AQE skew splitting)."""
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
+    join strategy to the planner (shuffle join, AQE skew splitting).
+    ``rows`` is a known upper bound on its rows (the row count of the written
+    table it projects or filters); without it the frame is counted."""
+    n = rows if rows is not None else dim.count()
+    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def _current(dim: DataFrame, key: str) -> DataFrame:
@@ -289,6 +292,7 @@ class Warehouse:
                 register_staged(spark, sf_dir, k, v)
         self.stg = stg
         self._dims: dict = {}
+        self._dim_rows: dict = {}
         self._fact = None
 
     @classmethod
@@ -299,6 +303,7 @@ class Warehouse:
         wh.spark, wh.sf_dir, wh.ctx, wh.materialize = spark, sf_dir, ctx, False
         wh.scope = None
         wh.stg, wh._dims, wh._fact = stg, dict(dims), fact
+        wh._dim_rows = {}
         return wh
 
     @classmethod
@@ -325,6 +330,13 @@ class Warehouse:
             self._dims[name] = dim
         return self._dims[name]
 
+    def dim_rows(self, name: str) -> int:
+        """Row count of a dimension of this load (written, so counted once):
+        an upper bound on any projection or filter of it."""
+        if name not in self._dim_rows:
+            self._dim_rows[name] = self.dim(name).count()
+        return self._dim_rows[name]
+
     def dims(self) -> dict:
         """All six dimensions; missing ones are built together (each depends
         only on staging)."""
