@@ -231,17 +231,23 @@ def card_lookup(stg_cards: DataFrame, d_card: DataFrame, d_customer: DataFrame)
     return card_keys.join(via_client, "card_id", "full")
 
 
-def fact_transaction(stg: dict, dims: dict, ctx: LoadContext = DEFAULT_CTX) -> DataFrame:
-    """One row per staged transaction, six key lookups, -1 on a miss."""
+def fact_transaction(stg: dict, dims: dict, ctx: LoadContext = DEFAULT_CTX,
+                     dim_rows: dict | None = None) -> DataFrame:
+    """One row per staged transaction, six key lookups, -1 on a miss.
+    ``dim_rows`` holds known row counts of the dimensions (else each small
+    lookup is counted before it is broadcast)."""
     t = stg["transactions"]
     lim = ctx.broadcast_max_rows
-    dd = sized_broadcast(dims["date"].filter(F.col("DateKey") > 0).select("DateKey"), lim)
+    rows = dim_rows or {}
+    dd = sized_broadcast(dims["date"].filter(F.col("DateKey") > 0).select("DateKey"), lim,
+                         rows.get("date"))
     geo = sized_broadcast(_current(dims["geography"], "GeographyKey")
-                          .select("BKGeoCode", "GeographyKey"), lim)
+                          .select("BKGeoCode", "GeographyKey"), lim, rows.get("geography"))
     mcc = sized_broadcast(_current(dims["mcc"], "MccKey").select(
-        F.col("BKMccID").alias("mcc"), "MccKey"), lim)
+        F.col("BKMccID").alias("mcc"), "MccKey"), lim, rows.get("mcc"))
     tt = sized_broadcast(_current(dims["transaction_type"], "TransactionTypeKey")
-                         .select("BKTransTypeCode", "TransactionTypeKey"), lim)
+                         .select("BKTransTypeCode", "TransactionTypeKey"), lim,
+                         rows.get("transaction_type"))
     cards = card_lookup(stg["cards"], dims["card"], dims["customer"])
 
     f = (t.select("id", "merchant_id", "amount", "card_id", "mcc",
@@ -346,7 +352,11 @@ class Warehouse:
 
     def fact(self, materialize: bool = False) -> DataFrame:
         if self._fact is None:
-            f = fact_transaction(self.stg, self.dims(), self.ctx)
+            dims = self.dims()
+            small = ["date", "geography", "mcc", "transaction_type"]
+            # the lookups' row counts, taken together (and kept for later queries)
+            run_concurrently({n: (lambda n=n: self.dim_rows(n)) for n in small})
+            f = fact_transaction(self.stg, dims, self.ctx, {n: self.dim_rows(n) for n in small})
             if self.materialize:
                 from cardspark.sources.store import write_table
                 f = write_table(f, f"{self.scope}/fact_transaction")
