@@ -63,3 +63,41 @@ def op9_quality_rules(spark, sf_dir):
     return judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+# --------------------------------------------------------------- 5: mixing
+
+@query("op5_mixing", rf"""
+WITH d AS (SELECT doc_id, source, len([x FOR x IN string_split_regex(coalesce(text, ''), '{_WS}') IF x <> '']) AS size,
+                  substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS total,
+             (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+      FROM d GROUP BY source),
+l AS (SELECT *, 3 * total / CAST(weight AS DOUBLE) AS ratio,
+             CAST(sum(total) OVER () - coalesce(sum(3 * total) OVER (ORDER BY 3 * total / CAST(weight AS DOUBLE), source NULLS LAST
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+             / sum(weight) OVER (ORDER BY 3 * total / CAST(weight AS DOUBLE), source NULLS LAST
+                  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s),
+t AS (SELECT source, total, least(CAST(3 * total AS DOUBLE), weight * coalesce((SELECT max(level) FROM l WHERE ratio > level), 0.0)) AS target FROM l),
+o AS (SELECT d.doc_id, size, total, target, CAST(floor(target + 0.5) AS BIGINT) AS goal,
+             sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS place
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, total AS source_size, CAST(target AS DOUBLE) AS target,
+       CAST(greatest(0, least(goal - place, size)) + greatest(0, least(goal - total - place, size))
+            + greatest(0, least(goal - 2 * total - place, size)) AS BIGINT) AS taken
+FROM o""")
+def op5_mixing(spark, sf_dir):
+    """What the mix takes of every document."""
+    from cardspark.llm.mixing import mix_report
+    return mix_report(table(spark, sf_dir, "documents")).drop("position")
+
+
+# -------------------------------------------------------------- 8: packing
+
+@query("op8_packing")
+def op8_packing(spark, sf_dir):
+    """Every piece of every document with its place in a sequence."""
+    from cardspark.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
