@@ -82,9 +82,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 with np.errstate(over="ignore"):
-    # a random 64-bit value for each byte, none for a space
+    # a random 64-bit value for each byte
     _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
-    _BYTE[_SPACE] = 0
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _POWERS = np.cumprod(np.full(256, _BASE, np.uint64))
 
@@ -118,11 +117,12 @@ def text_slices(texts: pa.Array, slice_bytes: int = SLICE_BYTES):
         i = j
 
 
-def word_bounds(data: np.ndarray, off: np.ndarray):
+def word_bounds(data: np.ndarray, off: np.ndarray, gap: np.ndarray = _SPACE):
     """(starts, ends, first) of the words of the rows: byte positions, and for
-    each row the index of its first word (one more entry than rows)."""
+    each row the index of its first word (one more entry than rows). ``gap``:
+    for each byte value, whether it parts words."""
     n = len(data)
-    solid = ~_SPACE[data]
+    solid = ~gap[data]
     opens, closes = solid.copy(), solid.copy()
     opens[1:] &= ~solid[:-1]
     closes[:-1] &= ~solid[1:]
@@ -134,7 +134,8 @@ def word_bounds(data: np.ndarray, off: np.ndarray):
     return starts, ends, np.searchsorted(starts, off)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                gap: np.ndarray = _SPACE) -> np.ndarray:
     """A 64-bit hash of each word's bytes: a polynomial over random byte
     values, with the length mixed in. Two of n words collide with a chance of
     about n * n / 2 ** 65."""
@@ -143,7 +144,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     gaps = np.diff(np.append(starts, len(data)))
     rel = np.arange(starts[0], len(data)) - np.repeat(starts, gaps)
     longest = int((ends - starts).max())
-    # what follows a word up to the next one is space and counts nothing
-    values = _BYTE[data[starts[0]:]] * _powers(longest)[np.minimum(rel, longest - 1)]
+    # what follows a word up to the next one counts nothing
+    values = np.where(gap, np.uint64(0), _BYTE)[data[starts[0]:]]
+    values *= _powers(longest)[np.minimum(rel, longest - 1)]
     sums = np.add.reduceat(values, starts - starts[0])
     return mix64(sums + (ends - starts).astype(np.uint64) * GOLDEN)

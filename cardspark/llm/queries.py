@@ -101,3 +101,12 @@ def op8_packing(spark, sf_dir):
     from cardspark.llm.packing import pack
     return pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+# ------------------------------------------------------------------ 3: PII
+
+@query("op3_pii")
+def op3_pii(spark, sf_dir):
+    """Personal data and disclosing terms of every document."""
+    from cardspark.llm.pii import pii_report
+    return pii_report(table(spark, sf_dir, "documents"))
