@@ -81,6 +81,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+
+
+def golden(k: int) -> np.uint64:
+    """``k * GOLDEN`` modulo 2 ** 64."""
+    return np.uint64(k * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+
+
 with np.errstate(over="ignore"):
     # a random 64-bit value for each byte
     _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
@@ -149,3 +156,37 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     values *= _powers(longest)[np.minimum(rel, longest - 1)]
     sums = np.add.reduceat(values, starts - starts[0])
     return mix64(sums + (ends - starts).astype(np.uint64) * GOLDEN)
+
+
+def poly_of(hashes: list[np.ndarray]) -> np.ndarray:
+    """One 64-bit hash of several aligned hash arrays, in their order."""
+    total = np.zeros(len(hashes[0]), np.uint64)
+    for i, h in enumerate(hashes):
+        total += h * _powers(len(hashes) + 1)[i]
+    return mix64(total + golden(len(hashes)))
+
+
+# ------------------------------------------------------------ hash bitmaps
+
+BITMAP_BITS = 23
+
+
+def hash_bitmap(df: DataFrame, col: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """2 ** bits flags packed in bytes: which leading bits the (long) hashes
+    in ``col`` have. What comes to the driver is 2 ** (bits - 6) words at most,
+    whatever the rows. As a filter it lets through all of them and few others;
+    more rows make it less sharp and never wrong."""
+    lead = F.shiftrightunsigned(F.col(col), 64 - bits)
+    words_ = (df.select(lead.alias("lead"))
+              .groupBy(F.shiftright("lead", 6).alias("at"))
+              .agg(F.bit_or(F.expr("shiftleft(1L, CAST(lead & 63 AS INT))")).alias("bits"))
+              .toArrow())
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[words_.column("at").to_numpy()] = words_.column("bits").to_numpy().view(np.uint64)
+    return out.view(np.uint8)
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray, bits: int = BITMAP_BITS) -> np.ndarray:
+    """Flags for uint64 hashes: whether their leading bits are in the bitmap."""
+    lead = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    return (bitmap[lead >> 3] >> (lead & 7).astype(np.uint8)) & 1 == 1

@@ -110,3 +110,12 @@ def op3_pii(spark, sf_dir):
     """Personal data and disclosing terms of every document."""
     from cardspark.llm.pii import pii_report
     return pii_report(table(spark, sf_dir, "documents"))
+
+
+# --------------------------------------------------------- 6: near-duplicates
+
+@query("op6_near_dedup")
+def op6_near_dedup(spark, sf_dir):
+    """The near-duplicate group of every document."""
+    from cardspark.llm.minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
