@@ -119,3 +119,12 @@ def op6_near_dedup(spark, sf_dir):
     """The near-duplicate group of every document."""
     from cardspark.llm.minhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------- 2: LM scores
+
+@query("op2_lm_score")
+def op2_lm_score(spark, sf_dir):
+    """Base and model log-probability of every document."""
+    from cardspark.llm.lm_score import lm_scores
+    return lm_scores(table(spark, sf_dir, "documents"))
