@@ -128,3 +128,22 @@ def op2_lm_score(spark, sf_dir):
     """Base and model log-probability of every document."""
     from cardspark.llm.lm_score import lm_scores
     return lm_scores(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------ 4: nearest neighbours
+
+@query("op4_nearest", """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v
+      WHERE list_dot_product(e, e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) / (q.n * c.n) AS score
+      FROM u q JOIN u c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5""")
+def op4_nearest(spark, sf_dir):
+    """The 5 nearest vectors of every fiftieth (exact: factor 1)."""
+    from cardspark.llm.vptree import nearest, usable
+    points = usable(table(spark, sf_dir, "embeddings"))
+    return nearest(points, points.filter("vec_id % 50 = 0"), k=5, factor=1.0)
