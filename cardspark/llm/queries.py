@@ -147,3 +147,12 @@ def op4_nearest(spark, sf_dir):
     from cardspark.llm.vptree import nearest, usable
     points = usable(table(spark, sf_dir, "embeddings"))
     return nearest(points, points.filter("vec_id % 50 = 0"), k=5, factor=1.0)
+
+
+# -------------------------------------------------------------- 10: languages
+
+@query("op10_language")
+def op10_language(spark, sf_dir):
+    """The language of every document."""
+    from cardspark.llm.langid import language_report
+    return language_report(table(spark, sf_dir, "documents")).drop("spans")
