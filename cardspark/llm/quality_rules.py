@@ -112,15 +112,16 @@ def cascade() -> dict[str, Column]:
     }
 
 
-def order_rules(measures: DataFrame, rules: dict[str, Column],
-                sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> list[dict]:
+def order_rules(docs: DataFrame, rules: dict[str, Column], id_col: str = "doc_id",
+                text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
+                seed: int = 7) -> list[dict]:
     """The rules by rejections a second, most first: name, seconds a row and
     share rejected, measured on a random sample of about ``sample_rows``."""
     # the ids alone are counted: the scan reads no text for it
-    total = measures.select("doc_id").count()
-    part = measures if total <= sample_rows else \
-        measures.sample(fraction=sample_rows / total, seed=seed)
-    part = written(part, "rule_sample")
+    total = docs.select(id_col).count()
+    # drawn before it is measured, so that the rest is not measured twice
+    part = docs if total <= sample_rows else docs.sample(fraction=sample_rows / total, seed=seed)
+    part = written(text_measures(part, id_col, text_col), "rule_sample")
     rows = part.count()
     if not rows:
         return [{"rule": r, "seconds_a_row": 0.0, "rejects": 0.0} for r in rules]
@@ -156,7 +157,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     on the measured order) and kept (no rule fired)."""
     measures = text_measures(docs, id_col, text_col)
     rules = cascade()
-    order = [r["rule"] for r in order_rules(measures, rules, sample_rows)]
+    order = [r["rule"] for r in order_rules(docs, rules, id_col, text_col, sample_rows)]
     return (measures.withColumn("rejected_by", verdict(rules, order))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
                     "n_repeat_words", base_failed().alias("base_failed"), "rejected_by",
