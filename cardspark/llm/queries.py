@@ -156,3 +156,12 @@ def op10_language(spark, sf_dir):
     """The language of every document."""
     from cardspark.llm.langid import language_report
     return language_report(table(spark, sf_dir, "documents")).drop("spans")
+
+
+# ------------------------------------------------------------------- 1: HTML
+
+@query("op1_main_text")
+def op1_main_text(spark, sf_dir):
+    """The main text of every page."""
+    from cardspark.llm.html_crf import extract
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
