@@ -165,3 +165,21 @@ def op1_main_text(spark, sf_dir):
     """The main text of every page."""
     from cardspark.llm.html_crf import extract
     return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+# ------------------------------------------------------------------- 7: WARC
+
+@query("op7_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(t)) AS BIGINT) AS payload_bytes,
+             sha256(t) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM d
+      WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, d.payload_digest,
+       CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM d LEFT JOIN f ON f.payload_digest = d.payload_digest""")
+def op7_warc(spark, sf_dir):
+    """Every page, written to WARC files and read back through their index."""
+    from cardspark.llm.warc import round_trip
+    return round_trip(table(spark, sf_dir, "pages"))
