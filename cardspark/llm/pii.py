@@ -290,12 +290,12 @@ def redact(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
     """``docs`` with personal data replaced by labels, disclosing terms by a
     general label or nothing."""
     marked = sanitise(docs, text_col, None, **limits)
-    place = docs.columns.index(text_col)
+    names, place = docs.columns, docs.columns.index(text_col)
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(place)
-            base, terms = batch.column(len(docs.columns)), batch.column(len(docs.columns) + 1)
+            base, terms = batch.column(len(names)), batch.column(len(names) + 1)
             size = pc.add(pc.list_value_length(base), pc.list_value_length(terms))
             hit = np.flatnonzero(size.to_numpy(zero_copy_only=False))
             if len(hit):
@@ -303,12 +303,12 @@ def redact(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
                 for i in hit:
                     new[i] = _replaced(new[i], base[int(i)].as_py() + terms[int(i)].as_py())
                 texts = pa.array(new, texts.type)
-            cols = [batch.column(i) for i in range(len(docs.columns))]
+            cols = [batch.column(i) for i in range(len(names))]
             cols[place] = texts
-            yield pa.RecordBatch.from_arrays(cols, docs.columns)
+            yield pa.RecordBatch.from_arrays(cols, names)
 
     small_batches(docs.sparkSession)
-    return marked.select(*docs.columns, "_pii_spans", "_pii_terms") \
+    return marked.select(*names, "_pii_spans", "_pii_terms") \
         .mapInArrow(replace, docs.schema)
 
 
