@@ -3,8 +3,8 @@
 Every round first unites the links of each partition by union-find (a
 partition's links become one star per local group), then does one large-star
 and one small-star step: links are re-hung from a node to the smallest node
-known near it. Each step keeps what is connected connected; rounds end when the
-links no longer change. A node with very many links is met as a pre-aggregated
+known near it. Each step keeps what is connected connected; rounds end when
+every node hangs from a root. A node with very many links is met as a pre-aggregated
 minimum and in a join that adaptive execution can split. Links are written
 after each round, so lineage stays short and a lost executor costs little.
 """
@@ -60,22 +60,24 @@ def _small_star(links: DataFrame) -> DataFrame:
             .filter("a <> b").distinct())
 
 
-def _mark(links: DataFrame):
-    return links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+def _is_star_forest(links: DataFrame) -> bool:
+    """Whether every node hangs from one root and no root hangs from a node."""
+    ends = links.select(F.col("a").alias("x"), F.lit(1).alias("hangs")) \
+        .unionByName(links.select(F.col("b").alias("x"), F.lit(0).alias("hangs")))
+    odd = ends.groupBy("x").agg(F.sum("hangs").alias("up"), F.count(F.lit(1)).alias("n")) \
+        .filter("up > 1 OR (up = 1 AND n > 1)")
+    return odd.isEmpty()
 
 
 def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, component) for every node of the links (a long, b long); the
     component is its smallest node. Nodes without a link are not listed."""
     links = links.select("a", "b").filter("a <> b")
-    before = None
     for _ in range(most_rounds):
         local = links.mapInArrow(_unite, "a long, b long")
         links = written(_small_star(_large_star(local)), "links")
-        now = _mark(links)
-        if now == before:
+        if _is_star_forest(links):
             break
-        before = now
     else:
         raise RuntimeError(f"no fixed point after {most_rounds} rounds")
     # a star per component: every node but the smallest hangs from it

@@ -16,14 +16,15 @@ shingle sets and union-find.
    copies, the text they were made from) and with its smallest. Pairs pass a
    bound on sizes (exact) and on the signatures' agreement (``LEAST_MATCHES``),
    then are confirmed on the full sets. Confirmed links give components.
-5. Rest. A bucket whose members are now one component needs nothing more. In
-   the others, all pairs between different components are compared by
-   signature inside a task, block by block, and only those that agree are
-   emitted and confirmed. A bucket over ``BLOCK`` members is split: if few lie
-   outside its largest component, those go with every block of the largest;
-   else members go to sub-buckets by further places of their signatures
-   (``SPLITS`` of them), and what is still large after ``LEVELS`` such splits
-   goes to a group for each pair of blocks.
+5. Rest. A bucket whose members are now one component needs nothing more. The
+   members of the others meet in tasks with their signatures and full sets,
+   block by block: pairs of different components that agree are confirmed there,
+   the most alike first, and only links that unite two components are emitted.
+   A pair that shares several buckets is looked at in the first alone. A bucket
+   over ``BLOCK`` is split: if what lies outside its largest component is small,
+   that goes with every block of the largest; else members go to sub-buckets by
+   further places of their signatures (``SPLITS`` of them), and what is still
+   large after ``LEVELS`` such splits goes to a group for each pair of blocks.
 6. The components of all links.
 
 What can be missed: a pair at 0.75 shares no band with a chance of 5e-6, falls
@@ -58,7 +59,10 @@ BANDS = 32
 ROWS = 4
 PER_100 = 75  # similarity in hundredths
 LEAST_MATCHES = 70
-BLOCK = 1024
+# The weight of what a task compares at once; a member weighs its shingles and
+# ROW_WEIGHT, so a block has about 1,000 average texts and 2,000 at most.
+BLOCK = 800_000
+ROW_WEIGHT = 400
 SPLITS = 8
 LEVELS = 3
 
@@ -149,13 +153,13 @@ def _binary(matrix: np.ndarray) -> pa.Array:
                                  [None, pa.py_buffer(off), pa.py_buffer(matrix)])
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), HASHES)
 
 
 def signed(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, set_a, set_b (sums that name the shingle set), sig
-    (one byte a place) and bands of every row."""
+    (one byte a place) and bands (BANDS int64 keys) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,14 +177,12 @@ def signed(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(n)), pa.array(n, pa.int64()),
                      pa.array(set_a.view(np.int64)), pa.array(set_b.view(np.int64)),
-                     _binary(_short(sig)),
-                     pa.ListArray.from_arrays(
-                         np.arange(len(n) + 1, dtype=np.int32) * BANDS, bands.reshape(-1))],
+                     _binary(_short(sig)), _binary(bands)],
                     ["doc_id", "n_shingles", "set_a", "set_b", "sig", "bands"])
 
     small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(
-        sign, f"doc_id {kind}, n_shingles long, set_a long, set_b long, sig binary, bands array<long>")
+        sign, f"doc_id {kind}, n_shingles long, set_a long, set_b long, sig binary, bands binary")
 
 
 # ------------------------------------------------------------- verification
@@ -254,6 +256,16 @@ def _confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ buckets
 
+def _in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each band of (node, n, bands)."""
+    for batch in batches:
+        keys = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64)
+        node, n = (np.repeat(batch.column(i).to_numpy(), BANDS) for i in (0, 1))
+        band = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (node, n, band, keys)],
+                                         ["node", "n", "band", "bucket"])
+
+
 def _stars(members: DataFrame, sigs: DataFrame) -> DataFrame:
     """Pairs of each bucket's members with its most popular and its smallest
     member whose sizes and signatures allow a link."""
@@ -274,40 +286,76 @@ def _stars(members: DataFrame, sigs: DataFrame) -> DataFrame:
             .select("a", "b", "x", "y").mapInArrow(_agree, "a long, b long"))
 
 
-def _pairs_within(group: pa.Table) -> pa.Table:
-    """Pairs of one block whose components differ and whose sizes and
-    signatures allow a link. Rows: bucket, node, n, component, part, sig; if
-    some rows have part 1, only pairs with at least one of those are wanted."""
+def _links_within(group: pa.Table) -> pa.Table:
+    """Links between the components of one block. Rows: bucket, node, n,
+    component, band, sig, bands, shingles, block, part. If some rows have part
+    1, only pairs with at least one of those are wanted, and pairs of two such
+    rows in block 0 alone. A band below 0: pairs may be looked at anywhere."""
     group = group.combine_chunks()
+    order = np.argsort(group.column("n").to_numpy(), kind="stable")
+    group = group.take(pa.array(order)).combine_chunks()
     node, n = group.column("node").to_numpy(), group.column("n").to_numpy()
-    comp, part = group.column("component").to_numpy(), group.column("part").to_numpy()
-    sig = _matrix(group.column("sig").chunk(0) if isinstance(group.column("sig"), pa.ChunkedArray)
-                  else group.column("sig"))
-    order = np.argsort(n, kind="stable")
-    node, n, comp, part, sig = node[order], n[order], comp[order], part[order], sig[order]
+    part = group.column("part").to_numpy()
+    band, block = group.column("band")[0].as_py(), group.column("block")[0].as_py()
+    sig = _matrix(group.column("sig"))
+    bands = np.frombuffer(b"".join(group.column("bands").to_pylist()), np.int64).reshape(-1, BANDS)
+    raw = group.column("shingles").to_pylist()
+    root = {c: c for c in group.column("component").to_pylist()}
+    comp = group.column("component").to_pylist()
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
     some = part.any()
     # with sizes sorted, a row's partners reach from it to the last that is not too large
     reach = np.searchsorted(n, n * 100 // PER_100, "right")
     left, right = [], []
+    now = np.array(comp)
     for i in range(len(node)):
-        j = slice(i + 1, reach[i])
-        ok = comp[j] != comp[i]
-        if some and not part[i]:
-            ok &= part[j] == 1
-        k = np.flatnonzero(ok) + i + 1
-        if len(k):
-            k = k[(sig[k] == sig[i]).sum(axis=1) >= LEAST_MATCHES]
-            left.append(np.minimum(node[i], node[k]))
-            right.append(np.maximum(node[i], node[k]))
-    none = np.zeros(0, np.int64)
-    return pa.table({"a": np.concatenate(left) if left else none,
-                     "b": np.concatenate(right) if right else none})
+        k = np.arange(i + 1, reach[i])
+        if some:
+            k = k[(part[k] == 1) | (part[i] == 1)]
+            if block:
+                k = k[(part[k] == 0) | (part[i] == 0)]
+        own = find(comp[i])
+        k = k[now[k] != own]
+        if not len(k):
+            continue
+        same = (sig[k] == sig[i]).sum(axis=1)
+        near = same >= LEAST_MATCHES
+        k, same = k[near], same[near]
+        if band > 0 and len(k):
+            first = ~(bands[k, :band] == bands[i, :band]).any(axis=1)
+            k, same = k[first], same[first]
+        k = k[np.argsort(-same, kind="stable")]
+        mine = np.frombuffer(raw[i], np.uint64)
+        while len(k):
+            some_k, k = k[:16], k[16:]
+            others = np.concatenate([np.frombuffer(raw[x], np.uint64) for x in some_k])
+            at = np.searchsorted(mine, others)
+            at[at == len(mine)] = 0
+            both = np.add.reduceat((mine[at] == others).astype(np.int64),
+                                   np.append(0, np.cumsum(n[some_k])[:-1]))
+            linked = some_k[100 * both >= PER_100 * (n[i] + n[some_k] - both)]
+            for x in linked.tolist():
+                a, b = find(comp[i]), find(comp[x])
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    now[(now == a) | (now == b)] = min(a, b)
+                    left.append(node[i])
+                    right.append(node[x])
+            if len(linked):
+                k = k[now[k] != find(comp[i])]
+    return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
 
 def _unsettled(rows: DataFrame) -> DataFrame:
     """Rows of the buckets that still hold more than one component, with the
-    bucket's size, its largest component and how many lie outside that."""
-    by_comp = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
+    bucket's weight, its largest component and the weight outside that."""
+    by_comp = rows.groupBy("bucket", "component").agg(
+        F.sum(F.col("n") + ROW_WEIGHT).alias("c"))
     of_bucket = by_comp.groupBy("bucket").agg(
         F.sum("c").alias("size"), F.count(F.lit(1)).alias("comps"),
         F.max(F.struct("c", "component")).alias("top"))
@@ -329,47 +377,50 @@ def _subkeys(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.Recor
             yield batch.set_column(0, "bucket", pa.array(key.view(np.int64)))
 
 
-_MEMBER = ["bucket", "node", "n", "component", "sig"]
+_PLACE = ["bucket", "node", "n", "component", "band"]
 
 
-def _rest(members: DataFrame, comps: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and agree."""
+def _rest(docs: DataFrame, members: DataFrame, comps: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Links (a, b) between components whose members share a bucket."""
     rows = members.join(comps, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("component", "node").alias("component"))
-    rows = _unsettled(rows).select("bucket", "node", "n", "component", "size", "major", "outside")
-    rows = written(rows.join(sigs.select("node", "sig"), "node"), "unsettled")
+        "bucket", "node", "n", F.coalesce("component", "node").alias("component"), "band")
+    rows = written(_unsettled(rows), "unsettled")
+    nodes = written(rows.select("node").distinct(), "unsettled_nodes")
+    sets = _full_sets(docs, nodes).dropDuplicates(["node"])
+    facts = written(sigs.select("node", "sig", "bands").join(sets, "node"), "facts")
     blocks = []
     for level in range(LEVELS + 1):
-        small = rows.filter(F.col("size") <= BLOCK).withColumns(
-            {"block": F.lit(0), "part": F.lit(0)})
-        n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        size, outside = F.col("size"), F.col("outside")
+        small = rows.filter(size <= BLOCK).withColumns({"block": F.lit(0), "part": F.lit(0)})
+        n_blocks = F.ceil(size / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
-        # few outside the largest component: they go with each of its blocks
-        few = rows.filter((F.col("size") > BLOCK) & (F.col("outside") <= BLOCK))
+        # little outside the largest component: it goes with each of its blocks
+        few = rows.filter((size > BLOCK) & (outside <= BLOCK))
         few = few.withColumn("part", (F.col("component") != F.col("major")).cast("int")) \
             .withColumn("block", F.explode(F.when(F.col("part") == 1, F.sequence(
                 F.lit(0), n_blocks - 1)).otherwise(F.array(own))))
-        blocks += [x.select(*_MEMBER, "block", "part") for x in (small, few)]
-        large = rows.filter((F.col("size") > BLOCK) & (F.col("outside") > BLOCK))
+        blocks += [x.select(*_PLACE, "block", "part") for x in (small, few)]
+        large = rows.filter((size > BLOCK) & (outside > BLOCK))
         if large.isEmpty():
             break
         if level == LEVELS:
             # a group for each pair of blocks
-            large = large.withColumns({"own": own, "blocks": n_blocks}).withColumn(
-                "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            large = large.withColumns({"own": own, "blocks": n_blocks, "band": F.lit(-1)}) \
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             blocks.append(large.withColumns({
                 "block": F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"),
-                "part": F.lit(0)}).select(*_MEMBER, "block", "part"))
+                "part": F.lit(0)}).select(*_PLACE, "block", "part"))
             break
-        split = large.select(*_MEMBER).mapInArrow(
+        split = large.select(*_PLACE).join(facts.select("node", "sig"), "node") \
+            .select("bucket", "node", "n", "component", F.lit(-1).alias("band"), "sig").mapInArrow(
             lambda it, k=level: _subkeys(it, k),
-            "bucket long, node long, n long, component long, sig binary")
-        rows = written(_unsettled(split), "split")
+            "bucket long, node long, n long, component long, band int, sig binary")
+        rows = written(_unsettled(split.drop("sig")), "split")
     todo = blocks[0]
     for b in blocks[1:]:
         todo = todo.unionByName(b)
-    return todo.groupBy("bucket", "block").applyInArrow(
-        _pairs_within, "a long, b long").distinct()
+    return todo.join(facts, "node").groupBy("bucket", "block").applyInArrow(
+        _links_within, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -381,13 +432,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = written(some.groupBy("set_a", "set_b", F.col("n_shingles").alias("n")).agg(
         F.min(F.struct(F.col("doc_id").cast("long").alias("node"), "sig", "bands")).alias("r"))
         .select("set_a", "set_b", "n", "r.*"), "classes")
-    members = classes.select("node", "n", F.explode("bands").alias("bucket"))
+    members = classes.select("node", "n", "bands").mapInArrow(
+        _in_buckets, "node long, n long, band int, bucket long")
     crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_in_bucket")) \
         .filter("n_in_bucket > 1")
     members = written(members.join(crowded, "bucket"), "members")
     links = written(_confirmed(docs, written(_stars(members, classes), "stars")), "links_by_star")
     comps = written(components(links), "star_components")
-    more = _confirmed(docs, written(_rest(members, comps, classes), "rest"))
+    more = written(_rest(docs, members, comps, classes), "links_of_rest")
     # the first components stand for their links
     final = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
                        .unionByName(more))

@@ -12,8 +12,8 @@ t in the corpus of M terms, all texts counted,
 and PMI / IC is the share of the entity's information that the term discloses:
 1 for a term met nowhere else, far lower for common ones. Terms that disclose
 ``REMOVE`` or more are removed, from ``GENERALISE`` on they are replaced by a
-general label. Contexts are counted once each (copies of a passage say
-nothing new), and a pair needs ``SUPPORT`` different contexts.
+general label. A pair needs ``SUPPORT`` different contexts: copies of a passage
+count in all three numbers alike, and are no further evidence.
 
 Scale. A mention yields at most ``2 * NEAR`` pairs. Counting f(t) reads all
 texts again, but passes on only terms whose hash hits a bitmap of the candidate
@@ -239,13 +239,14 @@ def disclosures(found: DataFrame, docs: DataFrame, text_col: str = "text",
                 support: int = SUPPORT, generalise: float = GENERALISE,
                 remove: float = REMOVE) -> DataFrame:
     """(entity, term, disclosure, action): the pairs over the threshold."""
-    contexts = found.select(F.explode("_pii_mentions").alias("m")).select("m.*") \
-        .dropDuplicates(["entity", "context"])
-    of_entity = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    pairs = (contexts.select("entity", F.explode(F.array_distinct(
-        F.transform("terms", lambda t: t["term"]))).alias("term"))
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-        .filter(F.col("n_et") >= support))
+    contexts = (found.select(F.explode("_pii_mentions").alias("m")).select(
+        "m.entity", "m.context", F.transform("m.terms", lambda t: t["term"]).alias("terms"))
+        .groupBy("entity", "context", "terms").agg(F.count(F.lit(1)).alias("copies")))
+    of_entity = contexts.groupBy("entity").agg(F.sum("copies").alias("n_e"))
+    pairs = (contexts.select("entity", "copies", F.explode(F.array_distinct("terms")).alias("term"))
+             .groupBy("entity", "term")
+             .agg(F.sum("copies").alias("n_et"), F.count(F.lit(1)).alias("different"))
+             .filter(F.col("different") >= support).drop("different"))
     pairs = written(pairs, "pii_pairs")
     counts = written(term_counts(docs, pairs, text_col), "pii_terms")
     total = counts.filter("term IS NULL").agg(F.sum("n").alias("m")).first()["m"] or 1
