@@ -77,8 +77,9 @@ def debt_to_income(debt="total_debt", income="yearly_income") -> Column:
 
 
 def entry_mode(use_chip="use_chip") -> Column:
-    """Text before the first space of use_chip ('Chip Transaction' -> 'Chip')."""
-    return F.substring_index(_c(use_chip), " ", 1)
+    """Text before the first space of use_chip ('Chip Transaction' -> 'Chip');
+    'Unknown' where there is none."""
+    return F.coalesce(F.substring_index(_c(use_chip), " ", 1), F.lit("Unknown"))
 
 
 def geo_code(city="merchant_city", state="merchant_state", zip_="zip") -> Column:
@@ -89,7 +90,7 @@ def geo_code(city="merchant_city", state="merchant_state", zip_="zip") -> Column
 
 def trans_type_code(use_chip="use_chip", errors="errors") -> Column:
     """Composite business key mode|success|error of the junk dimension."""
-    return F.concat_ws("|", F.coalesce(entry_mode(use_chip), F.lit("")),
+    return F.concat_ws("|", entry_mode(use_chip),
                        F.when(_c(errors).isNull(), "1").otherwise("0"),
                        F.coalesce(_c(errors), F.lit("None")))
 

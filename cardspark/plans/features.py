@@ -113,7 +113,7 @@ def frequencies(flat: DataFrame) -> DataFrame:
     """Share of rows per value of each high-cardinality column, in one pass
     (explode (column, value) pairs, count per pair, divide by the total)."""
     pairs = flat.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+        F.struct(F.lit(c).alias("column_name"), as_text(c, "string").alias("value"))
         for c in FREQ_ENCODE_COLS])).alias("p")).select("p.*")
     counts = pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     # one row per encoded column (not a window over all its distinct values)
@@ -124,8 +124,8 @@ def frequencies(flat: DataFrame) -> DataFrame:
 
 @register("freq_encode", f"""
 WITH flat AS ({FLAT_SQL}),
-pairs AS (SELECT 'mcc_description' AS column_name, CAST(mcc_description AS VARCHAR) AS value FROM flat
-          UNION ALL SELECT 'merchant_id', CAST(merchant_id AS VARCHAR) FROM flat),
+pairs AS (SELECT 'mcc_description' AS column_name, COALESCE(mcc_description, 'None') AS value FROM flat
+          UNION ALL SELECT 'merchant_id', COALESCE(CAST(merchant_id AS VARCHAR), 'None') FROM flat),
 c AS (SELECT column_name, value, COUNT(*) AS n FROM pairs GROUP BY 1, 2)
 SELECT column_name, value,
        CAST(n AS DOUBLE) / CAST(SUM(n) OVER (PARTITION BY column_name) AS DOUBLE) AS freq
@@ -241,7 +241,7 @@ def build_features(flat: DataFrame, top_n: int = STATE_TOP_N):
 
     raw = flat.select("transaction_id", "date_key", F.col(TARGET).cast("double").alias("label"),
                       *[F.col(c).cast("double").alias(c) for c in ALL_NUMERIC],
-                      *[F.col(c).cast("string").alias(f"_f_{c}") for c in FREQ_ENCODE_COLS],
+                      *[as_text(c, "string").alias(f"_f_{c}") for c in FREQ_ENCODE_COLS],
                       "state", *CATEGORICAL_COLS, *TIME_CATEGORICAL_COLS)
     keep = ["transaction_id", "date_key", "label", *ALL_NUMERIC,
             *[f"_f_{c}" for c in FREQ_ENCODE_COLS]]

@@ -14,6 +14,9 @@ SELECT CAST(c_custkey AS INT) AS id,
        CAST(2024 - (18 + (c_custkey * 31) % 70) AS INT) AS birth_year,
        CAST(1 + c_custkey % 12 AS INT) AS birth_month,
        CASE WHEN c_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender,
+       concat(CAST((c_custkey * 13) % 9999 AS VARCHAR(9)), ' ', c_mktsegment, ' Street') AS address,
+       concat(CAST(25 + c_custkey % 25 AS VARCHAR(9)), '.', CAST(10 + (c_custkey * 3) % 90 AS VARCHAR(9))) AS latitude,
+       concat('-', CAST(70 + c_custkey % 50 AS VARCHAR(9)), '.', CAST(10 + (c_custkey * 7) % 90 AS VARCHAR(9))) AS longitude,
        CAST(20000 + (c_custkey * 97) % 30000 AS DECIMAL(12,2)) AS per_capita_income,
        CAST(CASE WHEN c_custkey % 101 = 0 THEN 0 ELSE 12000 + (c_custkey * 7919) % 140001 END AS DECIMAL(12,2)) AS yearly_income,
        CAST((c_custkey * 104729) % 200000 AS DECIMAL(12,2)) AS total_debt,
@@ -26,14 +29,18 @@ SELECT CAST(o_orderkey AS INT) AS id,
        CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'Amex' WHEN '2' THEN 'Discover'
             WHEN '3' THEN 'Mastercard' ELSE 'Visa' END AS card_brand,
        CASE o_orderstatus WHEN 'O' THEN 'Credit' WHEN 'F' THEN 'Debit' ELSE 'Debit (Prepaid)' END AS card_type,
+       CAST(4000000000000000 + o_orderkey * 7919 AS VARCHAR(20)) AS card_number,
+       make_date(CAST(2000 + o_orderkey % 10 AS INT), CAST(1 + o_orderkey % 12 AS INT), 1) AS expires,
+       CAST(100 + o_orderkey % 900 AS VARCHAR(9)) AS cvv,
        CASE WHEN o_orderkey % 5 = 0 THEN 'NO' ELSE 'YES' END AS has_chip,
        CAST(1 + o_orderkey % 3 AS INT) AS num_cards_issued,
        CAST(CASE WHEN o_orderkey % 250 = 0 THEN 0 ELSE (o_orderkey * 613) % 40001 END AS DECIMAL(12,2)) AS credit_limit,
-       CAST(o_orderdate AS DATE) AS acct_open_date
+       CAST(o_orderdate AS DATE) AS acct_open_date,
+       CAST(1990 + o_orderkey % 9 AS INT) AS year_pin_last_changed
 FROM orders""",
     "mcc_codes": """
 SELECT CAST(5000 + p_partkey AS INT) AS mcc_id, concat(p_type, '/', p_name) AS description
-FROM part WHERE p_partkey < 109""",
+FROM part""",
     "txn_base": """
 SELECT l.*, o.o_custkey,
        row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -48,13 +55,16 @@ SELECT l_orderkey * 1000 + l_linenumber * 100 + rn AS id,
        CAST(CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN -l_extendedprice
                  WHEN l_quantity = 50 AND l_linenumber = 2 THEN 0
                  ELSE l_extendedprice END AS DECIMAL(10,2)) AS amount,
-       CASE l_linenumber % 3 WHEN 0 THEN 'Chip Transaction' WHEN 1 THEN 'Swipe Transaction'
+       CASE WHEN (l_orderkey * 3 + l_linenumber) % 97 = 0 THEN NULL
+            WHEN l_linenumber % 3 = 0 THEN 'Chip Transaction'
+            WHEN l_linenumber % 3 = 1 THEN 'Swipe Transaction'
+            WHEN l_orderkey % 11 = 0 THEN 'Online Order'
             ELSE 'Online Transaction' END AS use_chip,
-       CAST(l_suppkey AS INT) AS merchant_id,
+       CAST(CASE WHEN (l_orderkey + l_partkey) % 83 <> 0 THEN l_suppkey END AS INT) AS merchant_id,
        CASE WHEN l_linenumber % 3 = 2 THEN 'ONLINE' ELSE concat('City', CAST(l_suppkey % 40 AS VARCHAR(9))) END AS merchant_city,
-       CASE WHEN l_linenumber % 3 = 2 THEN NULL ELSE concat('S', CAST(l_suppkey % 25 AS VARCHAR(9))) END AS merchant_state,
-       CASE WHEN l_linenumber % 3 = 2 THEN NULL ELSE CAST(10000 + l_suppkey AS VARCHAR(9)) END AS zip,
-       CAST(5000 + l_partkey % 110 AS INT) AS mcc,
+       CASE WHEN l_linenumber % 3 = 2 THEN CASE WHEN l_orderkey % 7 = 0 THEN '' END ELSE concat('S', CAST(l_suppkey % 25 AS VARCHAR(9))) END AS merchant_state,
+       CASE WHEN l_linenumber % 3 = 2 THEN CASE WHEN l_orderkey % 5 = 0 THEN '' END ELSE CAST(10000 + l_suppkey AS VARCHAR(9)) END AS zip,
+       CAST(CASE WHEN l_partkey % 110 = 109 THEN 1000 + l_partkey % 10 ELSE 5000 + l_partkey END AS INT) AS mcc,
        CASE (l_orderkey * 7 + l_linenumber * 13 + l_partkey) % 59
             WHEN 0 THEN 'Insufficient Balance'
             WHEN 1 THEN CASE WHEN l_partkey % 3 = 0 THEN 'Bad PIN,Insufficient Balance'
@@ -63,6 +73,7 @@ SELECT l_orderkey * 1000 + l_linenumber * 100 + rn AS id,
 FROM txn_base""",
     "users_v2": """
 SELECT id, current_age, retirement_age, birth_year, birth_month, gender,
+       address, latitude, longitude,
        per_capita_income, yearly_income, total_debt,
        CAST(CASE WHEN id % 10 = 0 THEN credit_score + 25 ELSE credit_score END AS INT) AS credit_score,
        CAST(CASE WHEN id % 7 = 0 THEN num_credit_cards + 1 ELSE num_credit_cards END AS INT) AS num_credit_cards

@@ -113,8 +113,9 @@ def audit_log(wh: Warehouse) -> DataFrame:
                         start.alias("ExecutionStartTime"), end.alias("ExecutionEndTime"),
                         (status if not isinstance(status, str) else F.lit(status))
                         .alias("ExecutionStatus"),
-                        rows.cast("int").alias("RowsInserted"),
-                        F.lit(0).alias("RowsUpdated"), F.lit(0).alias("RowsDeleted"))
+                        rows.cast("long").alias("RowsInserted"),
+                        F.lit(0).cast("long").alias("RowsUpdated"),
+                        F.lit(0).cast("long").alias("RowsDeleted"))
 
     ctx = wh.ctx
     rows = [
@@ -128,6 +129,16 @@ def audit_log(wh: Warehouse) -> DataFrame:
     return m.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _calendar_days(ctx):
+    """Days that the calendar must hold: those of the staged years, or of the
+    calendar given."""
+    if ctx.calendar:
+        return F.datediff(F.lit(ctx.calendar[1]).cast("date"),
+                          F.lit(ctx.calendar[0]).cast("date")).cast("long") + 1
+    return F.datediff(F.make_date("_y1", F.lit(12), F.lit(31)),
+                      F.make_date("_y0", F.lit(1), F.lit(1))).cast("long") + 1
+
+
 def verify_metrics(wh: Warehouse) -> DataFrame:
     fact = wh.fact(materialize=True)
     dims = wh.dims()
@@ -179,13 +190,16 @@ def verify_metrics(wh: Warehouse) -> DataFrame:
         F.sum("amount").cast("decimal(38,2)").alias("sum_stg"),
         F.sum(F.when(rules.valid_spend(), F.col("amount"))).cast("decimal(38,2)")
          .alias("valid_stg"),
-        F.count_distinct(rules.geo_code()).alias("exp_geography"),
-        F.count_distinct(rules.trans_type_code()).alias("exp_transaction_type")))
+        F.min(F.year("date")).alias("_y0"), F.max(F.year("date")).alias("_y1"))
+        .withColumn("exp_date", _calendar_days(wh.ctx)).drop("_y0", "_y1"))
+    # the staged keys are counted as groups, not beside the sums (which would
+    # expand every staged row once per distinct aggregate)
+    for name, key in (("geography", rules.geo_code()), ("transaction_type", rules.trans_type_code())):
+        frames.append(st.select(key.alias("k")).distinct()
+                      .agg(F.count(F.lit(1)).alias(f"exp_{name}")))
     frames.append(wh.stg["users"].agg(F.count_distinct("id").alias("exp_customer")))
     frames.append(wh.stg["cards"].agg(F.count_distinct("id").alias("exp_card")))
     frames.append(wh.stg["mcc_codes"].agg(F.count_distinct("mcc_id").alias("exp_mcc")))
-    frames.append(dims["date"].agg(F.count_if(F.col("DateKey") > 0).alias("_days"))
-                  .select(F.col("_days").alias("exp_date")))
     audit = audit_log(wh)
     frames.append(audit.agg(
         F.count_if(F.col("AuditKey") == -1).alias("unk_audit"),
@@ -305,8 +319,8 @@ def audit_log_sql(ctx) -> str:
     t = f"TIMESTAMP '{ctx.as_of:%Y-%m-%d %H:%M:%S}'"
     step = ("SELECT CAST({k} AS INT) AS AuditKey, CAST(-1 AS INT) AS ParentAuditKey, "
             "'{name}' AS PackageName, '1.0' AS PackageVersion, {t} AS ExecutionStartTime, "
-            "{t} AS ExecutionEndTime, {status} AS ExecutionStatus, CAST({rows} AS INT) AS "
-            "RowsInserted, 0 AS RowsUpdated, 0 AS RowsDeleted")
+            "{t} AS ExecutionEndTime, {status} AS ExecutionStatus, CAST({rows} AS BIGINT) AS "
+            "RowsInserted, CAST(0 AS BIGINT) AS RowsUpdated, CAST(0 AS BIGINT) AS RowsDeleted")
     stg_rows = ("(SELECT COUNT(*) FROM stg_users) + (SELECT COUNT(*) FROM stg_cards) + "
                 "(SELECT COUNT(*) FROM stg_transactions) + (SELECT COUNT(*) FROM stg_mcc)")
     dim_rows = " + ".join(f"(SELECT COUNT(*) FROM {SQL_DIM[d]} WHERE {DIM_KEYS[d]} > 0)"
@@ -317,7 +331,8 @@ def audit_log_sql(ctx) -> str:
         "SELECT CAST(-1 AS INT) AS AuditKey, CAST(-1 AS INT) AS ParentAuditKey, 'Unknown' AS "
         "PackageName, 'Unknown' AS PackageVersion, TIMESTAMP '1899-12-31 00:00:00' AS "
         "ExecutionStartTime, TIMESTAMP '9999-12-31 00:00:00' AS ExecutionEndTime, 'Unknown' AS "
-        "ExecutionStatus, 0 AS RowsInserted, 0 AS RowsUpdated, 0 AS RowsDeleted",
+        "ExecutionStatus, CAST(0 AS BIGINT) AS RowsInserted, CAST(0 AS BIGINT) AS RowsUpdated, "
+        "CAST(0 AS BIGINT) AS RowsDeleted",
         step.format(k=ctx.extract_audit, name="extract", t=t, status="'Success'", rows=stg_rows),
         step.format(k=ctx.dims_audit, name="load_dimensions", t=t, status="'Success'",
                     rows=dim_rows),

@@ -66,7 +66,7 @@ def stage(df: DataFrame, ctx: LoadContext) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf_dir: str, ctx: LoadContext = DEFAULT_CTX) -> dict:
-    s = Sources(spark, sf_dir, use_staged=False)
+    s = Sources(spark, sf_dir)
     return {"users": stage(s.users(), ctx), "cards": stage(s.cards(), ctx),
             "transactions": stage(s.transactions(), ctx), "mcc_codes": stage(s.mcc_codes(), ctx)}
 
@@ -137,25 +137,25 @@ def dim_mcc(stg_mcc: DataFrame, ctx: LoadContext = DEFAULT_CTX) -> DataFrame:
 
 
 def dim_geography(stg_txn: DataFrame, ctx: LoadContext = DEFAULT_CTX) -> DataFrame:
-    """D3 (type 1): distinct city, state, zip with the composite key."""
-    base = stg_txn.select(
-        rules.geo_code().alias("BKGeoCode"), F.col("merchant_city").alias("City"),
-        F.col("merchant_state").alias("State"), F.col("zip").alias("Zip"),
-        F.coalesce(F.col("merchant_city") == "ONLINE", F.lit(False)).alias("IsOnline")).distinct()
+    """D3 (type 1): one row per composite key of city, state and zip. The key
+    writes NULL as '', so '' and NULL share a row (which then holds '')."""
+    base = stg_txn.groupBy(rules.geo_code().alias("BKGeoCode")).agg(
+        F.min("merchant_city").alias("City"), F.min("merchant_state").alias("State"),
+        F.min("zip").alias("Zip"),
+        F.max(F.coalesce(F.col("merchant_city") == "ONLINE", F.lit(False))).alias("IsOnline"))
     dim = surrogate_keys(base.withColumns(_housekeeping(ctx)), ["BKGeoCode"], "GeographyKey")
     return _with_unknown(dim, {"GeographyKey": -1, "BKGeoCode": "Unknown", "City": "Unknown",
                                "State": "Unknown", "Zip": "Unknown", "IsOnline": False})
 
 
 def dim_transaction_type(stg_txn: DataFrame, ctx: LoadContext = DEFAULT_CTX) -> DataFrame:
-    """D4 (junk dimension): distinct entry mode, success flag, error text."""
-    base = stg_txn.select(
-        rules.trans_type_code().alias("BKTransTypeCode"),
-        rules.entry_mode().alias("EntryMode"),
-        F.col("errors").isNull().alias("IsSuccess"),
-        F.coalesce("errors", F.lit("None")).alias("ErrorType"),
-        F.coalesce(F.col("use_chip") == "Online Transaction", F.lit(False))
-         .alias("IsOnlineEntry")).distinct()
+    """D4 (junk dimension): one row per key of entry mode, success flag and
+    error text; several texts of use_chip share an entry mode."""
+    base = stg_txn.groupBy(rules.trans_type_code().alias("BKTransTypeCode")).agg(
+        F.min(rules.entry_mode()).alias("EntryMode"),
+        F.min(F.col("errors").isNull()).alias("IsSuccess"),
+        F.min(F.coalesce("errors", F.lit("None"))).alias("ErrorType"),
+        F.min(rules.entry_mode() == "Online").alias("IsOnlineEntry"))
     dim = surrogate_keys(base.withColumns(_housekeeping(ctx)), ["BKTransTypeCode"],
                          "TransactionTypeKey")
     return _with_unknown(dim, {"TransactionTypeKey": -1, "BKTransTypeCode": "Unknown",
@@ -290,16 +290,15 @@ class Warehouse:
         self.scope = "wh_" + hashlib.sha1(repr((sf_dir, ctx)).encode()).hexdigest()[:12]
         stg = staged(spark, sf_dir, ctx)
         if materialize:
-            from cardspark.sources.store import register_staged, write_table
+            from cardspark.sources.store import write_table
             # the four staging writes are independent: submitted together
             stg = run_concurrently({k: (lambda k=k, v=v: write_table(v, f"{self.scope}/stg_{k}"))
                                     for k, v in stg.items()})
-            for k, v in stg.items():
-                register_staged(spark, sf_dir, k, v)
         self.stg = stg
         self._dims: dict = {}
         self._dim_rows: dict = {}
         self._fact = None
+        self._fact_by_year = None
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, ctx: LoadContext, stg: dict,
@@ -310,6 +309,7 @@ class Warehouse:
         wh.scope = None
         wh.stg, wh._dims, wh._fact = stg, dict(dims), fact
         wh._dim_rows = {}
+        wh._fact_by_year = None
         return wh
 
     @classmethod
@@ -350,6 +350,13 @@ class Warehouse:
         run_concurrently({n: (lambda n=n: self.dim(n)) for n in missing})
         return {n: self.dim(n) for n in DIM_NAMES}
 
+    def fact_by_year(self) -> DataFrame:
+        """The fact with its partition column Year: a filter on it reads the
+        folders of those years alone."""
+        f = self.fact()
+        return f.withColumn("Year", (F.col("DateKey") / 10000).cast("int")) \
+            if self._fact_by_year is None else self._fact_by_year
+
     def fact(self, materialize: bool = False) -> DataFrame:
         if self._fact is None:
             dims = self.dims()
@@ -358,8 +365,11 @@ class Warehouse:
             run_concurrently({n: (lambda n=n: self.dim_rows(n)) for n in small})
             f = fact_transaction(self.stg, dims, self.ctx, {n: self.dim_rows(n) for n in small})
             if self.materialize:
-                from cardspark.sources.store import write_table
-                f = write_table(f, f"{self.scope}/fact_transaction")
+                from cardspark.sources.store import table_path
+                path = table_path(self.spark, f"{self.scope}/fact_transaction")
+                write_fact(f, path)
+                self._fact_by_year = self.spark.read.parquet(path)
+                f = self._fact_by_year.drop("Year")
             elif materialize:
                 f = f.checkpoint(eager=True)
             self._fact = f
@@ -379,8 +389,9 @@ DIM_TABLES = {"date": "DimDate", "mcc": "DimMcc", "geography": "DimGeography",
 
 def write_fact(fact: DataFrame, path: str) -> None:
     """The fact partitioned by year, range-ordered on DateKey inside,
-    so date filters prune folders and row groups carry tight DateKey stats."""
+    so date filters prune folders and row groups carry tight DateKey stats.
+    The transaction id is the last range key: a busy day is split too."""
     (fact.withColumn("Year", (F.col("DateKey") / 10000).cast("int"))
-         .repartitionByRange("Year", "DateKey")
-         .sortWithinPartitions("DateKey")
-         .write.mode("overwrite").partitionBy("Year").parquet(path))
+         .repartitionByRange("Year", "DateKey", "BKTransactionID")
+         .sortWithinPartitions("Year", "DateKey", "BKTransactionID")
+         .write.mode("errorifexists").partitionBy("Year").parquet(path))

@@ -13,10 +13,11 @@ from cardspark.plans.warehouse_sql import warehouse_ctes
 CTES = warehouse_ctes(DEFAULT_CTX)
 _SRC_COLS = {
     "users": ["id", "current_age", "retirement_age", "birth_year", "birth_month", "gender",
-              "per_capita_income", "yearly_income", "total_debt", "credit_score",
+              "address", "latitude", "longitude", "per_capita_income", "yearly_income", "total_debt", "credit_score",
               "num_credit_cards"],
-    "cards": ["id", "client_id", "card_brand", "card_type", "has_chip", "num_cards_issued",
-              "credit_limit", "acct_open_date"],
+    "cards": ["id", "client_id", "card_brand", "card_type", "card_number", "expires", "cvv",
+              "has_chip", "num_cards_issued", "credit_limit", "acct_open_date",
+              "year_pin_last_changed"],
     "transactions": ["id", "date", "client_id", "card_id", "amount", "use_chip", "merchant_id",
                      "merchant_city", "merchant_state", "zip", "mcc", "errors"],
     "mcc_codes": ["mcc_id", "description"],

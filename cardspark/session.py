@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 # Settings that hold from a laptop to a large cluster: adaptive execution
 # re-plans joins and coalesces partitions at runtime, skew-join splits hot keys,
 # and timestamps are compared as wall-clock values in UTC.
+LOCAL_SHUFFLE_PARTITIONS = 8
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,15 +22,23 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "cardspark", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the engine's defaults."""
+    """Create (or reuse) a session with the engine's defaults.
+
+    ``shuffle_partitions`` is set if given; else a local master gets
+    ``LOCAL_SHUFFLE_PARTITIONS``, and a cluster keeps what it configures
+    (adaptive execution merges partitions, it never adds any)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master and master.startswith("local"):
+    local = bool(master) and master.startswith("local")
+    if shuffle_partitions is None and local:
+        shuffle_partitions = LOCAL_SHUFFLE_PARTITIONS
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if local:
         # local mode: the driver JVM is the only executor
         conf.setdefault("spark.driver.memory", "12g")
     conf.update(extra or {})

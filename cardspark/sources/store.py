@@ -12,10 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardspark.session import ensure_checkpoint_dir
 
-# (application id, source folder, table name) -> path of the written table
-_STAGED: dict = {}
-
-
 def table_path(spark: SparkSession, name: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tables/{spark.sparkContext.applicationId}/{name}"
@@ -30,12 +26,3 @@ def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None)
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.parquet(path)
-
-
-def register_staged(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> None:
-    _STAGED[(spark.sparkContext.applicationId, sf_dir, name)] = df
-
-
-def staged_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame | None:
-    """The staged copy of a source table written by this session's load."""
-    return _STAGED.get((spark.sparkContext.applicationId, sf_dir, name))

@@ -22,6 +22,9 @@ USERS_SCHEMA = T.StructType([
     T.StructField("birth_year", T.IntegerType()),
     T.StructField("birth_month", T.IntegerType()),
     T.StructField("gender", T.StringType()),
+    T.StructField("address", T.StringType()),
+    T.StructField("latitude", T.StringType()),
+    T.StructField("longitude", T.StringType()),
     T.StructField("per_capita_income", T.DecimalType(12, 2)),
     T.StructField("yearly_income", T.DecimalType(12, 2)),
     T.StructField("total_debt", T.DecimalType(12, 2)),
@@ -34,10 +37,14 @@ CARDS_SCHEMA = T.StructType([
     T.StructField("client_id", T.IntegerType(), False),
     T.StructField("card_brand", T.StringType()),
     T.StructField("card_type", T.StringType()),
+    T.StructField("card_number", T.StringType()),
+    T.StructField("expires", T.DateType()),
+    T.StructField("cvv", T.StringType()),
     T.StructField("has_chip", T.StringType()),
     T.StructField("num_cards_issued", T.IntegerType()),
     T.StructField("credit_limit", T.DecimalType(12, 2)),
     T.StructField("acct_open_date", T.DateType()),
+    T.StructField("year_pin_last_changed", T.IntegerType()),
 ])
 
 TRANSACTIONS_SCHEMA = T.StructType([
@@ -87,6 +94,12 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         (2024 - age).cast("int").alias("birth_year"),
         (1 + _mod(k, 12)).cast("int").alias("birth_month"),
         F.when(_mod(k, 2) == 0, "Female").otherwise("Male").alias("gender"),
+        F.concat(_mod(k * 13, 9999).cast("string"), F.lit(" "), F.col("c_mktsegment"),
+                 F.lit(" Street")).alias("address"),
+        F.concat((25 + _mod(k, 25)).cast("string"), F.lit("."),
+                 (10 + _mod(k * 3, 90)).cast("string")).alias("latitude"),
+        F.concat(F.lit("-"), (70 + _mod(k, 50)).cast("string"), F.lit("."),
+                 (10 + _mod(k * 7, 90)).cast("string")).alias("longitude"),
         (20000 + _mod(k * 97, 30000)).cast("decimal(12,2)").alias("per_capita_income"),
         F.when(_mod(k, 101) == 0, F.lit(0)).otherwise(12000 + _mod(k * 7919, 140001))
          .cast("decimal(12,2)").alias("yearly_income"),
@@ -119,17 +132,21 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "O", "Credit")
          .when(F.col("o_orderstatus") == "F", "Debit")
          .otherwise("Debit (Prepaid)").alias("card_type"),
+        (F.lit(4_000_000_000_000_000) + k * 7919).cast("string").alias("card_number"),
+        F.make_date((2000 + _mod(k, 10)).cast("int"), (1 + _mod(k, 12)).cast("int"), F.lit(1))
+         .alias("expires"),
+        (100 + _mod(k, 900)).cast("string").alias("cvv"),
         F.when(_mod(k, 5) == 0, "NO").otherwise("YES").alias("has_chip"),
         (1 + _mod(k, 3)).cast("int").alias("num_cards_issued"),
         F.when(_mod(k, 250) == 0, F.lit(0)).otherwise(_mod(k * 613, 40001))
          .cast("decimal(12,2)").alias("credit_limit"),
         F.to_date("o_orderdate").alias("acct_open_date"),
+        (1990 + _mod(k, 9)).cast("int").alias("year_pin_last_changed"),
     )
 
 
 def mcc_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (raw(spark, sf_dir, "part")
-            .filter(F.col("p_partkey") < 109)
             .select((5000 + F.col("p_partkey")).cast("int").alias("mcc_id"),
                     F.concat(F.col("p_type"), F.lit("/"), F.col("p_name")).alias("description")))
 
@@ -167,16 +184,20 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("l_returnflag") == "R") & (ln == 1), -F.col("l_extendedprice"))
          .when((F.col("l_quantity") == 50) & (ln == 2), F.lit(0.0))
          .otherwise(F.col("l_extendedprice")).cast("decimal(10,2)").alias("amount"),
-        F.when(_mod(ln, 3) == 0, "Chip Transaction").when(_mod(ln, 3) == 1, "Swipe Transaction")
-         .otherwise("Online Transaction").alias("use_chip"),
-        sk.cast("int").alias("merchant_id"),
+        F.when(_mod(ok * 3 + ln, 97) == 0, F.lit(None).cast("string"))
+         .when(_mod(ln, 3) == 0, "Chip Transaction").when(_mod(ln, 3) == 1, "Swipe Transaction")
+         .when(_mod(ok, 11) == 0, "Online Order").otherwise("Online Transaction")
+         .alias("use_chip"),
+        F.when(_mod(ok + pk, 83) != 0, sk).cast("int").alias("merchant_id"),
         F.when(online, "ONLINE").otherwise(F.concat(F.lit("City"), _mod(sk, 40).cast("string")))
          .alias("merchant_city"),
-        F.when(online, F.lit(None).cast("string"))
+        F.when(online, F.when(_mod(ok, 7) == 0, ""))
          .otherwise(F.concat(F.lit("S"), _mod(sk, 25).cast("string"))).alias("merchant_state"),
-        F.when(online, F.lit(None).cast("string")).otherwise((10000 + sk).cast("string"))
+        F.when(online, F.when(_mod(ok, 5) == 0, "")).otherwise((10000 + sk).cast("string"))
          .alias("zip"),
-        (5000 + _mod(pk, 110)).cast("int").alias("mcc"),
+        # every 110th part is billed under a code that no part has
+        F.when(_mod(pk, 110) == 109, 1000 + _mod(pk, 10)).otherwise(5000 + pk)
+         .cast("int").alias("mcc"),
         F.when(err_sel == 0, "Insufficient Balance")
          .when(err_sel == 1,
                F.when(_mod(pk, 3) == 0, "Bad PIN,Insufficient Balance")
@@ -197,25 +218,14 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Sources:
-    """Lazy handles on the source tables of one scale-factor folder.
+    """Lazy handles on the source tables of one scale-factor folder: always
+    the source itself, so that a check of the source never sees a copy."""
 
-    When this session's warehouse load has written its staging tables, the
-    four source tables are read from those (Parquet in the shared folder)
-    instead of being derived again from the driver's tables; the rows are
-    the same, as staging is a full copy.
-    """
-
-    def __init__(self, spark: SparkSession, sf_dir: str, use_staged: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.use_staged = use_staged
 
     def _read(self, name: str, derive) -> DataFrame:
-        if self.use_staged:
-            from cardspark.sources.store import staged_table
-            st = staged_table(self.spark, self.sf_dir, name)
-            if st is not None:
-                return st.select(*SOURCE_SCHEMAS[name].fieldNames())
         return derive(self.spark, self.sf_dir)
 
     def users(self) -> DataFrame:
