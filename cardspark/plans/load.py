@@ -2,14 +2,17 @@
 written to a new folder per run, and the small checks that go with it
 (S4, Q7, V44, M28).
 
-Each run writes under ``<out_root>/run=<as_of>``: a failed run leaves earlier
-runs whole, and readers switch to a run only once its ``_manifest`` (written last)
-is there. Staging row counts come from the written files' footers (no second
-pass over the rows).
+Each run writes under a folder of its own, ``<out_root>/run=<as_of>``, and never
+over one: a failed run leaves earlier runs whole, and readers switch to a run only
+once its ``_manifest`` (written last) is there. Staging row counts come from the
+written files' footers (no second pass over the rows).
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,43 +31,111 @@ from cardspark.sources.tables import Sources
 STAGE_TABLES = ["users", "cards", "transactions", "mcc_codes"]
 
 
+AUDIT = ("AuditKey int, PackageName string, RunFolder string, ExecutionTime timestamp_ntz,"
+         " ExecutionStatus string, RowsInserted long")
+PACKAGES = ("extract", "load_dimensions", "load_fact")
+
+
+def read_audit(spark: SparkSession, out_root: str) -> DataFrame:
+    """Every status that a load under ``out_root`` has written."""
+    path = f"{out_root.rstrip('/')}/_audit"
+    try:
+        return spark.read.schema(AUDIT).parquet(path)
+    except AnalysisException:  # the first load: no folder yet
+        return spark.createDataFrame([], AUDIT)
+
+
+def _note(spark: SparkSession, out_root: str, rows: list) -> None:
+    """Append statuses: each is a new small file, nothing is overwritten."""
+    spark.createDataFrame(rows, AUDIT).coalesce(1).write.mode("append").parquet(
+        f"{out_root.rstrip('/')}/_audit")
+
+
+def audit_runs(spark: SparkSession, out_root: str) -> DataFrame:
+    """One row per package run, newest first: start, end, last status
+    (Running if it never ended) and rows."""
+    first = F.min_by("ExecutionTime", "ExecutionTime")
+    done = F.col("ExecutionStatus") != "Running"
+    return (read_audit(spark, out_root).groupBy("AuditKey", "PackageName", "RunFolder").agg(
+        first.alias("ExecutionStartTime"),
+        F.max(F.when(done, F.col("ExecutionTime"))).alias("ExecutionEndTime"),
+        F.coalesce(F.max(F.when(done, F.col("ExecutionStatus"))), F.lit("Running"))
+        .alias("ExecutionStatus"),
+        F.coalesce(F.max("RowsInserted"), F.lit(0)).alias("RowsInserted"))
+        .orderBy(F.desc("AuditKey")))
+
+
+def _clock() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def build_warehouse(spark: SparkSession, sf_dir: str, out_root: str,
-                    ctx: LoadContext = DEFAULT_CTX) -> dict:
-    """Run the full load; returns the run folder and the observed counts."""
-    run = f"{out_root.rstrip('/')}/run={ctx.as_of:%Y%m%dT%H%M%S}"
-    def write_stage(name, df):
-        df.write.mode("overwrite").parquet(f"{run}/stg/{name}")
-        back = spark.read.parquet(f"{run}/stg/{name}")
+                    ctx: LoadContext | None = None) -> dict:
+    """Run the full load; returns the run folder, its context and the counts.
+
+    Without ``ctx`` the load time is now and the audit keys follow the largest
+    one of earlier loads. Each package is noted as Running when it starts and
+    as Success, Warning (the fact's rows differ from staging) or Failed when it
+    ends. The run folder must be new: nothing is ever overwritten."""
+    if ctx is None:
+        last = read_audit(spark, out_root).agg(F.max("AuditKey").alias("k")).first()["k"] or 0
+        ctx = LoadContext(as_of=_clock(), extract_audit=last + 1, dims_audit=last + 2,
+                          fact_audit=last + 3)
+    run = f"{out_root.rstrip('/')}/run={ctx.as_of:%Y%m%dT%H%M%S%f}"
+    keys = dict(zip(PACKAGES, (ctx.extract_audit, ctx.dims_audit, ctx.fact_audit)))
+
+    def package(name: str, work):
+        _note(spark, out_root, [(keys[name], name, run, _clock(), "Running", None)])
+        try:
+            out, rows, status = work()
+        except BaseException:
+            _note(spark, out_root, [(keys[name], name, run, _clock(), "Failed", None)])
+            raise
+        _note(spark, out_root, [(keys[name], name, run, _clock(), status, rows)])
+        return out
+
+    def write(df: DataFrame, path: str) -> DataFrame:
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.parquet(path)
+
+    def extract():
+        # staging writes are independent: submitted together
+        stg = run_concurrently({n: (lambda n=n, df=df: write(df, f"{run}/stg/{n}"))
+                                for n, df in staged(spark, sf_dir, ctx).items()})
         # answered from the Parquet footers, without reading the rows
-        return back, back.count()
-
-    # staging writes, then dimension writes, each group submitted together
-    written = run_concurrently({name: (lambda name=name, df=df: write_stage(name, df))
-                                for name, df in staged(spark, sf_dir, ctx).items()})
-    stg = {k: v[0] for k, v in written.items()}
-    counts = {k: v[1] for k, v in written.items()}
-    build = {"date": lambda: dim_date(stg["transactions"], ctx),
-             "mcc": lambda: dim_mcc(stg["mcc_codes"], ctx),
-             "geography": lambda: dim_geography(stg["transactions"], ctx),
-             "transaction_type": lambda: dim_transaction_type(stg["transactions"], ctx),
-             "customer": lambda: dim_customer(stg["users"], ctx),
-             "card": lambda: dim_card(stg["cards"], ctx)}
-    def write_dim(d):
-        build[d]().write.mode("overwrite").parquet(f"{run}/dims/{DIM_TABLES[d]}")
-        return spark.read.parquet(f"{run}/dims/{DIM_TABLES[d]}")
-
-    dims = run_concurrently({d: (lambda d=d: write_dim(d)) for d in DIM_NAMES})
-    write_fact(fact_transaction(stg, dims, ctx), f"{run}/fact/FactTransaction")
-    fact = spark.read.parquet(f"{run}/fact/FactTransaction").drop("Year")
-
+        counts.update({n: df.count() for n, df in stg.items()})
+        return stg, sum(counts.values()), "Success"
+
+    def load_dimensions():
+        build = {"date": lambda: dim_date(stg["transactions"], ctx),
+                 "mcc": lambda: dim_mcc(stg["mcc_codes"], ctx),
+                 "geography": lambda: dim_geography(stg["transactions"], ctx),
+                 "transaction_type": lambda: dim_transaction_type(stg["transactions"], ctx),
+                 "customer": lambda: dim_customer(stg["users"], ctx),
+                 "card": lambda: dim_card(stg["cards"], ctx)}
+        dims = run_concurrently({d: (lambda d=d: write(build[d](), f"{run}/dims/{DIM_TABLES[d]}"))
+                                 for d in DIM_NAMES})
+        # all but the unknown member of each
+        return dims, sum(df.count() - 1 for df in dims.values()), "Success"
+
+    def load_fact():
+        write_fact(fact_transaction(stg, dims, ctx), f"{run}/fact/FactTransaction")
+        fact = spark.read.parquet(f"{run}/fact/FactTransaction").drop("Year")
+        n = fact.count()
+        return fact, n, "Success" if n == counts["transactions"] else "Warning"
+
+    counts: dict = {}
+    stg = package("extract", extract)
+    dims = package("load_dimensions", load_dimensions)
+    fact = package("load_fact", load_fact)
     wh = Warehouse.from_tables(spark, sf_dir, ctx, stg, dims, fact)
-    verify.audit_log(wh).write.mode("overwrite").parquet(f"{run}/dims/DimAudit")
-    verify.verify_report(wh).write.mode("overwrite").parquet(f"{run}/verify")
+    write(verify.audit_log(wh), f"{run}/dims/DimAudit")
+    write(verify.verify_report(wh), f"{run}/verify")
     # written last: its presence marks the run complete
     manifest = spark.createDataFrame([(k, int(v)) for k, v in counts.items()],
                                      "table string, staged_rows long")
-    manifest.coalesce(1).write.mode("overwrite").json(f"{run}/_manifest")
-    return {"run": run, "staged_rows": counts}
+    manifest.coalesce(1).write.mode("errorifexists").json(f"{run}/_manifest")
+    return {"run": run, "ctx": ctx, "staged_rows": counts}
 
 
 # ------------------------------------------------------------------- S4 ----

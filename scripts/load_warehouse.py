@@ -12,7 +12,8 @@ from cardspark.plans.load import build_warehouse  # noqa: E402
 from cardspark.session import build_session  # noqa: E402
 
 if __name__ == "__main__":
-    spark = build_session("local[8]", 8)
+    # spark-submit names the master; a plain python run is local
+    spark = build_session(os.environ.get("MASTER", "local[*]"))
     out = build_warehouse(spark, sys.argv[1], sys.argv[2])
     print(out)
     spark.read.parquet(f"{out['run']}/verify").groupBy("status").count().show()

@@ -66,3 +66,12 @@ def test_feature_matrix_matches_brute_force(spark):
         np.testing.assert_allclose(got[c].to_numpy(dtype="float64"),
                                    want[c].to_numpy(dtype="float64"), rtol=1e-12, atol=1e-12,
                                    err_msg=c)
+
+
+def test_missing_merchant_is_a_category(spark):
+    from cardspark.plans.features import frequencies
+    d = spark.createDataFrame([(None, "a"), (None, None), (7, "a")],
+                              "merchant_id int, mcc_description string")
+    got = {(r["column_name"], r["value"]): r["freq"] for r in frequencies(d).collect()}
+    assert got[("merchant_id", "None")] == 2 / 3 and got[("mcc_description", "None")] == 1 / 3
+    assert None not in {v for _, v in got}

@@ -51,3 +51,17 @@ def test_orphan_checks_count_per_key_before_the_anti_join(spark):
     anti = [line for line in plan.splitlines() if "LeftAnti" in line]
     assert len(anti) == 1
     assert "partial_count" in plan
+
+
+def test_dates_prune(spark):
+    plan = _plan(entry.queries()["txn_one_year"](spark, SF))
+    assert "GreaterThanOrEqual(l_shipdate" in plan or "year(" not in plan
+    for name in ("kpi_utilization", "fact_by_year"):
+        plan = _plan(entry.queries()[name](spark, SF))
+        filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+        assert any("Year" in f for f in filters), name
+
+
+def test_cluster_sessions_keep_their_partitions():
+    from cardspark import session
+    assert "spark.sql.shuffle.partitions" not in session.BASE_CONF

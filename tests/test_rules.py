@@ -34,10 +34,10 @@ def test_age_income_limit_bands(spark):
 
 def test_entry_mode_without_space_and_null(spark):
     got = _one(spark, rules.entry_mode("u"), [("Chip Transaction",), ("Swipe",), (None,)], "u string")
-    assert got == ["Chip", "Swipe", None]
+    assert got == ["Chip", "Swipe", "Unknown"]
     codes = _one(spark, rules.trans_type_code("u", "e"), [("Swipe", None), (None, "Bad PIN")],
                  "u string, e string")
-    assert codes == ["Swipe|1|None", "|0|Bad PIN"]
+    assert codes == ["Swipe|1|None", "Unknown|0|Bad PIN"]
 
 
 def test_geo_code_null_and_empty_state_collide(spark):
