@@ -48,7 +48,7 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, bk: str, key: str, type1: li
     unknown = dim.filter(F.col(key) == -1)
     existing = dim.filter(F.col(key) > 0)
     inc = incoming.select(bk, *type1, *type2)
-    n = {c: f"_n_{c}" for c in [bk, *type1, *type2]}
+    n = {c: f"_n_{c}" for c in inc.columns}
     inc_n = inc.select(*[F.col(c).alias(n[c]) for c in inc.columns])
 
     j = existing.join(inc_n, existing[bk] == inc_n[n[bk]], "left")

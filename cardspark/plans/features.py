@@ -180,12 +180,16 @@ def levels(text: DataFrame) -> DataFrame:
                          F.col("_pos").cast("int").alias("feature_index"), "col_order")
 
 
-def text_with_state(flat: DataFrame, keep: list | None = None) -> DataFrame:
+def text_with_state(flat: DataFrame, keep: list | None = None,
+                    groups: DataFrame | None = None) -> DataFrame:
     """Categorical columns as text with the state group attached (a broadcast
-    join with one row per distinct state)."""
-    groups = state_groups(flat).select(F.col("state").alias("_state"), "state_grp")
+    join with one row per distinct state); a state that ``groups`` lacks is
+    'Other'."""
+    groups = state_groups(flat) if groups is None else groups
+    groups = groups.select(F.col("state").alias("_state"), "state_grp")
     t = flat.select(*(keep or []), *_text_cols(flat))
-    return t.join(sized_broadcast(groups, 2_000_000), "_state", "left").drop("_state")
+    return (t.join(sized_broadcast(groups, 2_000_000), "_state", "left").drop("_state")
+             .withColumn("state_grp", F.coalesce("state_grp", F.lit("Other"))))
 
 
 def _one_hot_sql() -> str:
@@ -224,15 +228,21 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- M8, M10, M11 ----
-def build_features(flat: DataFrame, top_n: int = STATE_TOP_N):
+def build_features(flat: DataFrame, top_n: int = STATE_TOP_N, fit: DataFrame | None = None):
     """Return (frame, feature names): the frame holds transaction_id,
-    date_key, label and one double column per feature, named as listed."""
+    date_key, label and one double column per feature, named as listed.
+
+    Medians, frequencies, state groups and levels come from ``fit`` (all rows
+    by default; the training rows to keep the test rows out). A value that
+    ``fit`` lacks has frequency 0, no level, and state group 'Other'."""
     lim = 2_000_000
-    meds = exact_medians(flat, ALL_NUMERIC).groupBy().pivot("column_name", ALL_NUMERIC) \
+    fit = flat if fit is None else fit
+    groups = state_groups(fit, top_n).persist()
+    meds = exact_medians(fit, ALL_NUMERIC).groupBy().pivot("column_name", ALL_NUMERIC) \
         .agg(F.first("median"))
     meds = meds.select(*[F.col(c).alias(f"_med_{c}") for c in ALL_NUMERIC])
-    freqs = frequencies(flat)
-    text = text_with_state(flat)
+    freqs = frequencies(fit).persist()
+    text = text_with_state(fit, groups=groups)
     lv = levels(text).orderBy("feature_index")
     n_levels = lv.count()
     if n_levels > MAX_LEVELS:
@@ -245,14 +255,15 @@ def build_features(flat: DataFrame, top_n: int = STATE_TOP_N):
                       "state", *CATEGORICAL_COLS, *TIME_CATEGORICAL_COLS)
     keep = ["transaction_id", "date_key", "label", *ALL_NUMERIC,
             *[f"_f_{c}" for c in FREQ_ENCODE_COLS]]
-    x = text_with_state(raw, keep).crossJoin(F.broadcast(meds))
+    x = text_with_state(raw, keep, groups).crossJoin(F.broadcast(meds))
     for c in FREQ_ENCODE_COLS:
         fc = sized_broadcast(freqs.filter(F.col("column_name") == c)
                              .select(F.col("value").alias(f"_f_{c}"),
                                      F.col("freq").alias(f"{c}_freq")), lim)
         x = x.join(fc, f"_f_{c}", "left")
     numeric = [F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) for c in ALL_NUMERIC]
-    freq_cols = [F.col(f"{c}_freq").alias(f"{c}_freq") for c in FREQ_ENCODE_COLS]
+    freq_cols = [F.coalesce(F.col(f"{c}_freq"), F.lit(0.0)).alias(f"{c}_freq")
+                 for c in FREQ_ENCODE_COLS]
     dummies = [(F.col(r["column_name"]) == r["level"]).cast("double").alias(r["feature_name"])
                for r in level_rows]
     names = ALL_NUMERIC + [f"{c}_freq" for c in FREQ_ENCODE_COLS] + \

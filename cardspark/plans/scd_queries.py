@@ -4,13 +4,15 @@ as-of (type-2) customer lookup of the fact (D12, D13, J13)."""
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardspark.operators.scd import asof_lookup, scd1_overwrite, scd2_merge
 from cardspark.plans.registry import register
-from cardspark.plans.warehouse import LoadContext, customer_attributes, dim_customer, stage
+from cardspark.plans.warehouse import (LoadContext, card_attributes, customer_attributes,
+                                       dim_card, dim_customer, stage)
 from cardspark.plans.warehouse_sql import warehouse_ctes
 from cardspark.sources.tables import Sources
 
@@ -61,16 +63,34 @@ _CUST_COLS = ["CustomerKey", "BKCustomerID", "Gender", "CurrentAge", "AgeGroup",
               "RowEndDate", "RowChangeReason", "InsertAuditKey", "UpdateAuditKey"]
 
 
-def _merge_sql(type2: list[str]) -> list[tuple[str, str]]:
+def _customer() -> "_Dim":
+    return _Dim("BKCustomerID", "CustomerKey", CUSTOMER_TYPE1, _CUST_COLS, _cust_v1_sql(),
+                _attrs_sql("users_v2"))
+
+
+@dataclass(frozen=True)
+class _Dim:
+    """What the merge twin needs to know of a dimension."""
+    bk: str
+    key: str
+    type1: list
+    cols: list
+    first: str  # SQL of the initial load
+    snapshot: str  # SQL of the second snapshot's attributes
+
+
+def _merge_sql(type2: list[str], dim: _Dim | None = None) -> list[tuple[str, str]]:
+    dim = dim or _customer()
+    bk, key = dim.bk, dim.key
     ts = f"TIMESTAMP '{SNAPSHOT_AS_OF:%Y-%m-%d %H:%M:%S}'"
-    changed = ("(n.BKCustomerID IS NOT NULL AND e.RowIsCurrent = 'Y' AND ("
+    changed = (f"(n.{bk} IS NOT NULL AND e.RowIsCurrent = 'Y' AND ("
                + (" OR ".join(f"e.{c} IS DISTINCT FROM n.{c}" for c in type2) or "false") + "))")
-    t1 = ("(n.BKCustomerID IS NOT NULL AND ("
-          + " OR ".join(f"e.{c} IS DISTINCT FROM n.{c}" for c in CUSTOMER_TYPE1) + "))")
+    t1 = (f"(n.{bk} IS NOT NULL AND ("
+          + " OR ".join(f"e.{c} IS DISTINCT FROM n.{c}" for c in dim.type1) + "))")
     sel = []
-    for c in _CUST_COLS:
-        if c in CUSTOMER_TYPE1:
-            sel.append(f"CASE WHEN n.BKCustomerID IS NOT NULL THEN n.{c} ELSE e.{c} END AS {c}")
+    for c in dim.cols:
+        if c in dim.type1:
+            sel.append(f"CASE WHEN n.{bk} IS NOT NULL THEN n.{c} ELSE e.{c} END AS {c}")
         elif c == "RowIsCurrent":
             sel.append(f"CASE WHEN {changed} THEN 'N' ELSE e.RowIsCurrent END AS RowIsCurrent")
         elif c == "RowEndDate":
@@ -82,30 +102,30 @@ def _merge_sql(type2: list[str]) -> list[tuple[str, str]]:
             sel.append(f"e.{c}")
     diff = " OR ".join(f"i.{c} IS DISTINCT FROM c.{c}" for c in type2) or "false"
     reasons = ", ".join(f"CASE WHEN i.{c} IS DISTINCT FROM c.{c} THEN '{c}' END" for c in type2)
-    reason = ("CASE WHEN c.BKCustomerID IS NULL THEN 'New' ELSE "
+    reason = (f"CASE WHEN c.{bk} IS NULL THEN 'New' ELSE "
               + (f"'Changed: ' || concat_ws(', ', {reasons})" if type2 else "'Changed: '")
               + " END")
-    attrs = [c for c in _CUST_COLS if c not in ("CustomerKey", "RowIsCurrent", "RowStartDate",
+    attrs = [c for c in dim.cols if c not in (key, "RowIsCurrent", "RowStartDate",
                                                  "RowEndDate", "RowChangeReason",
                                                  "InsertAuditKey", "UpdateAuditKey")]
     return [
-        ("cust_v1", _cust_v1_sql()),
-        ("inc", _attrs_sql("users_v2")),
-        ("existing", "SELECT * FROM cust_v1 WHERE CustomerKey > 0"),
+        ("dim_v1", dim.first),
+        ("inc", dim.snapshot),
+        ("existing", f"SELECT * FROM dim_v1 WHERE {key} > 0"),
         ("updated", f"SELECT {', '.join(sel)} FROM existing e "
-                    f"LEFT JOIN inc n ON n.BKCustomerID = e.BKCustomerID"),
+                    f"LEFT JOIN inc n ON n.{bk} = e.{bk}"),
         ("opened", f"SELECT i.*, {reason} AS RowChangeReason FROM inc i LEFT JOIN "
                    f"(SELECT * FROM existing WHERE RowIsCurrent = 'Y') c "
-                   f"ON c.BKCustomerID = i.BKCustomerID WHERE c.BKCustomerID IS NULL OR ({diff})"),
-        ("fresh", f"SELECT (SELECT MAX(CustomerKey) FROM existing) + row_number() OVER "
-                  f"(ORDER BY BKCustomerID) AS CustomerKey, {', '.join(attrs)}, "
+                   f"ON c.{bk} = i.{bk} WHERE c.{bk} IS NULL OR ({diff})"),
+        ("fresh", f"SELECT (SELECT MAX({key}) FROM existing) + row_number() OVER "
+                  f"(ORDER BY {bk}) AS {key}, {', '.join(attrs)}, "
                   f"'Y' AS RowIsCurrent, {ts} AS RowStartDate, "
                   f"TIMESTAMP '9999-12-31 00:00:00' AS RowEndDate, RowChangeReason, "
                   f"CAST({SNAPSHOT_AUDIT} AS INT) AS InsertAuditKey, "
                   f"CAST({SNAPSHOT_AUDIT} AS INT) AS UpdateAuditKey FROM opened"),
-        ("merged", f"SELECT * FROM cust_v1 WHERE CustomerKey = -1 UNION ALL "
-                   f"SELECT {', '.join(_CUST_COLS)} FROM updated UNION ALL "
-                   f"SELECT {', '.join(_CUST_COLS)} FROM fresh"),
+        ("merged", f"SELECT * FROM dim_v1 WHERE {key} = -1 UNION ALL "
+                   f"SELECT {', '.join(dim.cols)} FROM updated UNION ALL "
+                   f"SELECT {', '.join(dim.cols)} FROM fresh"),
     ]
 
 
@@ -115,7 +135,7 @@ def scd2_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_v2(spark, sf_dir)
 
 
-@register("scd1_customer", "SELECT * FROM cust_v1 WHERE CustomerKey = -1 UNION ALL "
+@register("scd1_customer", "SELECT * FROM dim_v1 WHERE CustomerKey = -1 UNION ALL "
                            f"SELECT {', '.join(_CUST_COLS)} FROM updated",
           _merge_sql([]))
 def scd1_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,3 +164,57 @@ def fact_asof_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = asof_lookup(tc, "client_id", "txn_time", customer_v2(spark, sf_dir), "BKCustomerID",
                       "CustomerKey")
     return out.select("BKTransactionID", "txn_time", "card_id", "CustomerKey")
+
+
+# ----------------------------------------------------------------- DimCard ----
+# Per-column SCD types of DimCard.
+CARD_TYPE1 = ["CardBrand", "CardType", "HasChip", "NumCardsIssued", "AcctOpenDate"]
+CARD_TYPE2 = ["CreditLimit", "CreditLimitBand"]
+_CARD_COLS = ["CardKey", "BKCardID", "CardBrand", "CardType", "CreditLimit", "CreditLimitBand",
+              "HasChip", "NumCardsIssued", "AcctOpenDate", "RowIsCurrent", "RowStartDate",
+              "RowEndDate", "RowChangeReason", "InsertAuditKey", "UpdateAuditKey"]
+CARDS_V2_SQL = """
+SELECT id, client_id, card_brand, card_type,
+       CASE WHEN id % 2 = 0 THEN CASE has_chip WHEN 'YES' THEN 'NO' ELSE 'YES' END ELSE has_chip END AS has_chip,
+       num_cards_issued,
+       CAST(CASE WHEN id % 9 = 0 THEN credit_limit + 5000 ELSE credit_limit END AS DECIMAL(12,2)) AS credit_limit,
+       acct_open_date
+FROM cards"""
+
+
+def cards_v2(spark, sf_dir) -> DataFrame:
+    """Second cards snapshot: every 9th card has a higher limit (type 2), every
+    2nd one a new chip flag (type 1)."""
+    c = Sources(spark, sf_dir).cards()
+    return c.withColumns({
+        "credit_limit": F.when(F.pmod("id", F.lit(9)) == 0, F.col("credit_limit") + 5000)
+                         .otherwise(F.col("credit_limit")).cast("decimal(12,2)"),
+        "has_chip": F.when(F.pmod("id", F.lit(2)) == 0, F.when(F.col("has_chip") == "YES", "NO")
+                           .otherwise("YES")).otherwise(F.col("has_chip"))})
+
+
+def _card() -> _Dim:
+    from cardspark.plans import warehouse_sql as w
+    first = dict(warehouse_ctes(INITIAL_CTX))["dim_card"].replace("FROM stg_cards", "FROM cards")
+    snapshot = (f"SELECT id AS BKCardID, card_brand AS CardBrand, card_type AS CardType, "
+                f"credit_limit AS CreditLimit, {w.LIMIT_BAND} AS CreditLimitBand, "
+                f"COALESCE(has_chip = 'YES', false) AS HasChip, num_cards_issued AS "
+                f"NumCardsIssued, acct_open_date AS AcctOpenDate FROM ({CARDS_V2_SQL})")
+    return _Dim("BKCardID", "CardKey", CARD_TYPE1, _CARD_COLS, first, snapshot)
+
+
+@register("scd2_card", "SELECT * FROM merged", _merge_sql(CARD_TYPE2, _card()))
+def scd2_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D12 for DimCard: the second cards snapshot merged."""
+    dim = dim_card(stage(Sources(spark, sf_dir).cards(), INITIAL_CTX), INITIAL_CTX)
+    return scd2_merge(dim, card_attributes(cards_v2(spark, sf_dir)), "BKCardID", "CardKey",
+                      CARD_TYPE1, CARD_TYPE2, SNAPSHOT_AS_OF, SNAPSHOT_AUDIT)
+
+
+@register("scd1_card", "SELECT * FROM dim_v1 WHERE CardKey = -1 UNION ALL "
+                       f"SELECT {', '.join(_CARD_COLS)} FROM updated", _merge_sql([], _card()))
+def scd1_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D13 for DimCard: type-1 columns overwritten in place."""
+    dim = dim_card(stage(Sources(spark, sf_dir).cards(), INITIAL_CTX), INITIAL_CTX)
+    return scd1_overwrite(dim, card_attributes(cards_v2(spark, sf_dir)), "BKCardID", "CardKey",
+                          CARD_TYPE1, SNAPSHOT_AUDIT)

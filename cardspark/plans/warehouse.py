@@ -190,15 +190,20 @@ def dim_customer(stg_users: DataFrame, ctx: LoadContext = DEFAULT_CTX) -> DataFr
     return _with_unknown(dim, CUSTOMER_UNKNOWN)
 
 
-def dim_card(stg_cards: DataFrame, ctx: LoadContext = DEFAULT_CTX) -> DataFrame:
-    """D6 (type 2, initial load)."""
-    base = stg_cards.select(
+def card_attributes(cards: DataFrame) -> DataFrame:
+    """DimCard columns derived from a cards snapshot (no keys, no housekeeping)."""
+    return cards.select(
         F.col("id").alias("BKCardID"), F.col("card_brand").alias("CardBrand"),
         F.col("card_type").alias("CardType"), F.col("credit_limit").alias("CreditLimit"),
         rules.credit_limit_band().alias("CreditLimitBand"),
         F.coalesce(F.col("has_chip") == "YES", F.lit(False)).alias("HasChip"),
         F.col("num_cards_issued").alias("NumCardsIssued"),
-        F.col("acct_open_date").alias("AcctOpenDate")).withColumns(_housekeeping(ctx))
+        F.col("acct_open_date").alias("AcctOpenDate"))
+
+
+def dim_card(stg_cards: DataFrame, ctx: LoadContext = DEFAULT_CTX) -> DataFrame:
+    """D6 (type 2, initial load)."""
+    base = card_attributes(stg_cards).withColumns(_housekeeping(ctx))
     dim = surrogate_keys(base, ["BKCardID"], "CardKey")
     return _with_unknown(dim, {"CardKey": -1, "BKCardID": -1, "CardBrand": "Unknown",
                                "CardType": "Unknown", "CreditLimit": 0,

@@ -75,3 +75,18 @@ def test_missing_merchant_is_a_category(spark):
     got = {(r["column_name"], r["value"]): r["freq"] for r in frequencies(d).collect()}
     assert got[("merchant_id", "None")] == 2 / 3 and got[("mcc_description", "None")] == 1 / 3
     assert None not in {v for _, v in got}
+
+
+def test_features_fitted_on_the_training_rows(spark):
+    from cardspark.plans.features import SPLIT_CUTOFF, _flat, build_features, time_split
+    flat = _flat(spark, "/root/testdata/sf0.001")
+    train, _ = time_split(flat, 19960101)
+    frame, names = build_features(flat, fit=train)
+    assert frame.count() == flat.count() and SPLIT_CUTOFF
+    # the training rows' features do not change when the test rows go
+    alone, same = build_features(train)
+    assert names == same
+    a = sorted(map(tuple, frame.filter("date_key < 19960101").collect()))
+    b = sorted(map(tuple, alone.collect()))
+    assert a == b
+    assert frame.filter("merchant_id_freq IS NULL OR mcc_description_freq IS NULL").count() == 0
