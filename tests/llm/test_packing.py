@@ -51,6 +51,10 @@ def test_the_cache_is_bounded(tokenizer, monkeypatch):
             x = tokenizer.encode(text, add_special_tokens=False).ids
             assert raw == struct.pack(f"<{len(x)}I", *x)
         assert len(ids.cache) < 40
+    # what the last batch used stays
+    before = set(ids.cache)
+    ids.encode(["alpha3 beta1 gamma"])
+    assert set(ids.cache) <= before
 
 
 @given(st.lists(st.integers(1, 30), max_size=12), st.integers(1, 60))
