@@ -34,10 +34,13 @@ from pyspark.sql import functions as F
 from cardspark.llm.common import small_batches
 from cardspark.llm.html_blocks import ANCESTORS, KEYS, Block, parse
 
-TRAIN_PAGES = 600
-EPOCHS = 150
+TRAIN_PAGES = 800
+EPOCHS = 250
 RATE = 0.1
-DECAY = 2e-3  # L2 on the weights
+DECAY = 3e-4  # L2 on the weights
+
+# Elements that name the part of a page.
+PARTS = ("article", "main", "nav", "header", "footer", "aside", "form", "figure", "dialog")
 
 _LENGTHS = (20, 50, 100, 200, 400, 1000)
 
@@ -46,6 +49,8 @@ def _features() -> dict[str, int]:
     names = ["bias"] + [f"in:{t}" for t in sorted(ANCESTORS)]
     names += [f"of:{t}" for t in sorted(ANCESTORS)] + ["of:none"]
     names += [f"key:{k}" for k in (*KEYS, "hidden")]
+    # the innermost part and the innermost named group, which may lie in others
+    names += [f"part:{t}" for t in (*PARTS, "none")] + [f"near:{k}" for k in (*KEYS, "none")]
     names += [f"chars:{i}" for i in range(len(_LENGTHS) + 1)]
     names += ["links:none", "links:some", "links:most", "links:all", "ends", "comma", "sentences",
               "sign", "digits", "title", "first", "last", "early", "late", "after_heading"]
@@ -63,6 +68,11 @@ def _of_path(path: tuple) -> list[int]:
         names |= {f"key:{k}" for _, keys in path for k in keys}
         near = [t for t, _ in path if t in ANCESTORS]
         names.add(f"of:{near[-1]}" if near else "of:none")
+        parts = [t for t, _ in path if t in PARTS]
+        names.add(f"part:{parts[-1]}" if parts else "part:none")
+        groups = [[k for k in keys if k in KEYS] for _, keys in path]
+        groups = [g for g in groups if g]
+        names |= {f"near:{k}" for k in groups[-1]} if groups else {"near:none"}
         if len(_PATHS) > 50_000:
             _PATHS.clear()
         found = _PATHS[path] = [FEATURES[n] for n in names]
@@ -231,13 +241,15 @@ class _Page:
         return "".join(f'<li><a href="#">{self.say(self.words(1, 3), False)}</a></li>'
                        for _ in range(n))
 
-    def aside_of(self, kind: str) -> str:
-        """A part that is not main text."""
+    def aside_of(self, kind: str, inside: bool = False) -> str:
+        """A part that is not main text; inside the main part it has a telling
+        name or tag."""
         r, no = self.rng, False
-        bare = r.random() < 0.15  # without a telling name
+        bare = not inside and r.random() < 0.1
 
         def box(group: str, body: str, tag: str = "div") -> str:
-            return f"<{tag}{'' if bare and tag != 'div' else self.name(group)}>{body}</{tag}>"
+            plain = bare or (tag == "aside" and r.random() < 0.6)  # the tag tells enough
+            return f"<{tag}{'' if plain else self.name(group)}>{body}</{tag}>"
 
         def line() -> str:
             return r.choice([self.say(self.words(2, 8), no), self.say(self.prose(1, 3), no)])
@@ -266,7 +278,7 @@ class _Page:
             return f"<form>{r.choice(['<label>', '<p>', ''])}{line()}<input name=a></form>" \
                 if r.random() < 0.6 else box("form", f"<p>{line()}</p>")
         body = r.choice([line(), f"<p>{line()}</p>"])
-        return box(kind, body, r.choice(["div", "div", "div", "section", "aside", "p"]))
+        return box(kind, body, r.choice(["div", "div", "div", "section", "aside"]))
 
     def main(self) -> str:
         r = self.rng
@@ -276,8 +288,9 @@ class _Page:
         for _ in range(r.randint(1, 9)):
             kind = r.random()
             if kind < 0.72:
-                opening = r.choice(["<p>", "<p>", "<p>", "<p><b>", "<div>", "<p><em>"])
-                closing = "</div>" if opening == "<div>" else r.choice(["</p>", "</p>", "", "<br>"])
+                opening = r.choice(["<p>", "<p>", "<p>", "<p><b>", "<div>", "<p><em>", ""])
+                closing = "</div>" if opening == "<div>" else "<br><br>" if not opening else \
+                    r.choice(["</p>", "</p>", "", "<br>"])
                 short = self.words(1, 5).capitalize() + r.choice([".", ""])
                 out.append(opening + self.say(self.prose() if r.random() < 0.8 else short, True)
                            + closing)
@@ -293,9 +306,12 @@ class _Page:
             else:
                 out.append("<table><tr>" + "".join(f"<td>{self.say(self.words(1, 4), True)}</td>"
                                                    for _ in range(r.randint(1, 3))) + "</tr></table>")
+        if r.random() < 0.2:
+            cut = r.randint(0, len(out))
+            out[cut:] = ["<section>" + "".join(out[cut:]) + "</section>"]
         for kind in ("ad", "related", "share", "comment", "side", "form", "notice", "meta"):
-            if r.random() < 0.12:
-                out.insert(r.randint(0, len(out)), self.aside_of(kind))
+            if r.random() < 0.15:
+                out.insert(r.randint(0, len(out)), self.aside_of(kind, inside=True))
         body = "".join(out)
         wrap = r.random()
         if wrap < 0.5:
@@ -304,7 +320,7 @@ class _Page:
             return f"<main>{body}</main>"
         if wrap < 0.85:
             return f"<div{self.name('content')}>{body}</div>"
-        return f"<div>{body}</div>"
+        return f"<div>{body}</div>" if wrap < 0.91 else body
 
     def lay_out(self) -> tuple[str, list[Block], list[int]]:
         r = self.rng
