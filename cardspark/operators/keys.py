@@ -11,12 +11,12 @@ partition, which ``monotonically_increasing_id`` already carries in its low
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cardspark.session import ensure_checkpoint_dir
+from cardspark.sources.store import scratch_table
 
 
 def global_position(df: DataFrame, order_cols: list, name: str = "pos",
@@ -46,7 +46,7 @@ SMALL_ROWS = 200_000
 
 
 def surrogate_keys(df: DataFrame, bk_cols: list, key: str, start: int = 1,
-                   small_rows: int = SMALL_ROWS) -> DataFrame:
+                   small_rows: int | None = None) -> DataFrame:
     """H2: dense surrogate keys in business-key order, starting at ``start``
     (max existing key + 1 for an incremental load). Equal to
     ``row_number() OVER (ORDER BY bk) + start - 1``.
@@ -54,9 +54,10 @@ def surrogate_keys(df: DataFrame, bk_cols: list, key: str, start: int = 1,
     A count first: a small dimension (at most ``small_rows`` rows, so one
     task holds a bounded amount) is ranked with a plain window; a large one
     with ``global_position``."""
-    # kept for the size check and the ranking after it (recomputed from its
-    # lineage if an executor is lost)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if small_rows is None:
+        small_rows = SMALL_ROWS
+    # written for the size check and the ranking after it
+    df = scratch_table(df, "keys")
     if df.count() <= small_rows:
         rank = F.row_number().over(Window.orderBy(*bk_cols))
         out = df.withColumn(key, (F.lit(start - 1).cast("long") + rank).cast("long"))

@@ -18,12 +18,12 @@ a value shared by a third of all rows is a single row here.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cardspark.session import ensure_checkpoint_dir
+from cardspark.sources.store import scratch_table
 
 # Inputs up to this many rows (checked with a count) are cumulated in one task.
 SMALL_ROWS = 200_000
@@ -38,9 +38,8 @@ def running_totals(df: DataFrame, order_cols: list, value_cols: list[str],
     count proves it) take a plain cumulative window."""
     if small_rows is None:
         small_rows = SMALL_ROWS
-    # kept for the size check and the pass after it (recomputed from its
-    # lineage if an executor is lost)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # written for the size check and the pass after it
+    df = scratch_table(df, "totals")
     if df.count() <= small_rows:
         # bounded by the count: one ordered task is cheaper than the
         # distributed path for e.g. the distinct hours or scores

@@ -20,7 +20,7 @@ Scale notes:
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -292,7 +292,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, ctx: LoadContext = DEFAULT_CTX,
                  materialize: bool = False):
         self.spark, self.sf_dir, self.ctx, self.materialize = spark, sf_dir, ctx, materialize
-        self.scope = "wh_" + hashlib.sha1(repr((sf_dir, ctx)).encode()).hexdigest()[:12]
+        self.scope = f"wh_{uuid.uuid4().hex}"  # each load has tables of its own
         stg = staged(spark, sf_dir, ctx)
         if materialize:
             from cardspark.sources.store import write_table

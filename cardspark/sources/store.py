@@ -8,6 +8,8 @@ never recomputes the load. The folder is the one the cluster names in
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cardspark.session import ensure_checkpoint_dir
@@ -26,3 +28,12 @@ def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None)
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.parquet(path)
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under a new path of the shared folder and read it back: for
+    a frame that is counted and then read again. Nothing stays persisted, and
+    a lost executor takes no part of it along."""
+    path = table_path(df.sparkSession, f"scratch/{uuid.uuid4().hex}/{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -58,3 +58,16 @@ def test_query_matches_oracle(spark, con, name):
     orows = [tuple(canon(r[i]) for i in order) for r in res.fetchall()]
     assert len(srows) == len(orows)
     assert rows_key(srows) == rows_key(orows)
+
+
+@pytest.mark.parametrize("name", ["dim_geography", "dim_customer", "impute_numeric", "one_hot",
+                                  "average_precision", "recall_at_k", "scd2_card"])
+def test_large_input_paths_match_the_same_oracle(spark, con, name, monkeypatch):
+    """The distributed numbering and running totals, forced on small data."""
+    from cardspark.operators import keys, prefix
+    from cardspark.plans import metrics, warehouse
+    monkeypatch.setattr(keys, "SMALL_ROWS", 0)
+    monkeypatch.setattr(prefix, "SMALL_ROWS", 0)
+    monkeypatch.setattr(warehouse.Warehouse, "_cache", {})
+    monkeypatch.setattr(metrics, "_CURVES", {})
+    test_query_matches_oracle(spark, con, name)
