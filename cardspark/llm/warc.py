@@ -45,6 +45,7 @@ from cardspark.llm.common import partitions_for, scratch_path, small_batches, wr
 
 LEAST_REVISIT = 100
 FILE_RECORDS = 2000
+FILES_AT_ONCE = 4  # that go to a Python worker in one batch
 BLOCK_LINES = 300
 DIRECTORY_BLOCKS = 100_000
 DATE = "2026-01-01T00:00:00Z"
@@ -150,7 +151,7 @@ def captures(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(cols, types)],
                     ["key", "page_id", "file", "offset", "length", "record_type"])
 
-    small_batches(spark, 1)
+    small_batches(spark, FILES_AT_ONCE)
     return archive_files(spark, path).mapInArrow(walk, CAPTURE)
 
 
@@ -312,14 +313,27 @@ def read_captures(spark: SparkSession, path: str, wanted: DataFrame, bodies: boo
     def cut(ranges: pa.Table, files: pa.Table) -> pa.Table:
         rows = []
         if ranges.num_rows and files.num_rows:
-            content = memoryview(files.column("content").chunk(0)[0].as_buffer())
+            content = memoryview(pa.decompress(
+                files.column("data").chunk(0)[0].as_buffer(),
+                decompressed_size=files.column("size")[0].as_py(), codec="zstd"))
             offset, length = ranges.column("offset").to_numpy(), ranges.column("length").to_numpy()
             for at in np.argsort(offset, kind="stable"):
                 rows.append(read_record(bytes(content[offset[at]:offset[at] + length[at]])))
         return pa.table({n: pa.array([r[n] for r in rows], t) for n, t in zip(names, types)})
 
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # files travel to the task of their ranges compressed
+        for batch in batches:
+            for file, data in zip(batch.column(0), batch.column(1)):
+                data = data.as_buffer()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([file.as_py()]), pa.array([data.size], pa.int64()),
+                     pa.array([pa.compress(data, codec="zstd", asbytes=True)], pa.binary())],
+                    ["file", "size", "data"])
+
+    small_batches(spark, FILES_AT_ONCE)
     ranges = wanted.select("file", "offset", "length")
-    files = archive_files(spark, path).withColumnRenamed("path", "file")
+    files = archive_files(spark, path).mapInArrow(squeeze, "file string, size long, data binary")
     return ranges.groupBy("file").cogroup(files.groupBy("file")).applyInArrow(cut, schema)
 
 
