@@ -271,6 +271,36 @@ def time_features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_features(Sources(spark, sf_dir).transactions())
 
 
+def prior_velocity(transactions: DataFrame) -> DataFrame:
+    """Per transaction, how many of the same card came earlier on its day
+    (ties by id): what was known when it happened. Times are counted per card
+    and second before the window, so a busy card-day is as many rows as it has
+    different seconds (86,400 at most)."""
+    t = transactions.select("id", "card_id", F.col("date").alias("at"),
+                            F.to_date("date").alias("day"))
+    per_second = t.groupBy("card_id", "day", "at").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("card_id", "day").orderBy("at") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    per_second = per_second.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))) \
+        .select(F.col("card_id").alias("_c"), F.col("at").alias("_a"), "before")
+    # within one second: the rank by id
+    same = Window.partitionBy("card_id", "at").orderBy("id")
+    ranked = t.withColumn("rank", F.row_number().over(same) - 1)
+    return (ranked.join(per_second, ranked.card_id.eqNullSafe(per_second._c)
+                        & ranked["at"].eqNullSafe(per_second._a))
+            .select(F.col("id").alias("transaction_id"),
+                    (F.col("before") + F.col("rank")).cast("long").alias("txn_before_on_card_day")))
+
+
+@register("velocity_prior", """
+SELECT id AS transaction_id,
+       row_number() OVER (PARTITION BY card_id, CAST(date AS DATE) ORDER BY date, id) - 1
+         AS txn_before_on_card_day
+FROM transactions""")
+def velocity_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prior_velocity(Sources(spark, sf_dir).transactions())
+
+
 def flat_with_time(wh: Warehouse) -> DataFrame:
     """J14 + M3: flat frame left-joined to time features by transaction id;
     unmatched rows get the median hour and weekday, night 0, velocity 1."""

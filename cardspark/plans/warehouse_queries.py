@@ -140,6 +140,29 @@ for _v in DISPLAY_NAMES:
     _view_query(_v)
 
 
+def register_views(wh: Warehouse, prefix: str = "vw_") -> list[str]:
+    """The eight display views of a load as temporary views, for SQL text."""
+    out = []
+    for name, names in DISPLAY_NAMES.items():
+        src = verify.audit_log(wh) if name == "audit" else \
+            wh.fact() if name == "fact" else wh.dim(name)
+        display_view(src, names).createOrReplaceTempView(f"{prefix}{name}")
+        out.append(f"{prefix}{name}")
+    return out
+
+
+@register("dw_views_sql", """
+SELECT d.CardType AS card_type, COUNT(*) AS n, CAST(SUM(f.Amount) AS DECIMAL(38,2)) AS amount
+FROM fact f JOIN dim_card d ON d.CardKey = f.CardKey GROUP BY 1""", AUDIT_CTES)
+def dw_views_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question in SQL text over the display views."""
+    register_views(_wh(spark, sf_dir))
+    return spark.sql("""
+        SELECT c.`Card Type` AS card_type, COUNT(*) AS n,
+               CAST(SUM(f.`Amount`) AS DECIMAL(38,2)) AS amount
+        FROM vw_fact f JOIN vw_card c ON c.`Card Key` = f.`Card Key` GROUP BY 1""")
+
+
 # ---------------------------------------------------------- D8, V1-V43 ----
 @register("audit_log", "SELECT * FROM audit_log", AUDIT_CTES)
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:

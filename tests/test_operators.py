@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -95,3 +96,14 @@ def test_run_concurrently_returns_each_result_and_raises(spark):
         raise ValueError("boom")
     with pytest.raises(ValueError):
         run_concurrently({"ok": lambda: spark.range(5).count(), "bad": fails})
+
+
+def test_expected_values_are_arguments(spark):
+    from cardspark.plans.verify import verify_report
+    from cardspark.plans.warehouse import DEFAULT_CTX, Warehouse
+    wh = Warehouse.get(spark, "/root/testdata/sf0.001", DEFAULT_CTX)
+    got = {r["check_id"]: r for r in verify_report(wh, {"V07": 5, "V13": 0}).collect()}
+    assert got["V07"]["status"] == "FAIL" and float(got["V07"]["expected"]) == 5
+    assert got["V08"]["status"] == "PASS"
+    with pytest.raises(ValueError):
+        verify_report(wh, {"V99": 1})
