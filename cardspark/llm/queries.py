@@ -114,7 +114,25 @@ def op3_pii(spark, sf_dir):
 
 # --------------------------------------------------------- 6: near-duplicates
 
-@query("op6_near_dedup")
+@query("op6_near_dedup", rf"""
+WITH RECURSIVE
+w AS (SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WS}') IF x <> ''] AS ws
+      FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+      FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * k >= 75 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(doc_id, seen) AS (SELECT doc_id, doc_id FROM documents
+                    UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.seen),
+c AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id,
+       d.doc_id = component_id AS kept
+FROM documents d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""")
 def op6_near_dedup(spark, sf_dir):
     """The near-duplicate group of every document."""
     from cardspark.llm.minhash import near_duplicates
