@@ -8,6 +8,8 @@ UTF-8 bytes of a text as they do on its code points.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
 import numpy as np
@@ -31,6 +33,21 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def tidied(task):
+    """``task`` (batches to batches), handing freed memory back to the system at
+    its end: Python workers are kept for later stages, and idle ones would
+    otherwise hold what their largest batch took."""
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+                trim(0)
+    return run
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that the cluster names."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardspark.llm.common import small_batches
+from cardspark.llm.common import small_batches, tidied
 from cardspark.llm.html_blocks import ANCESTORS, KEYS, Block, parse
 
 TRAIN_PAGES = 800
@@ -383,5 +383,5 @@ def extract(pages: DataFrame, model: Crf | None = None) -> DataFrame:
 
     small_batches(pages.sparkSession, 500)
     return pages.select("page_id", F.col("url").cast("string"), "html").mapInArrow(
-        run, f"page_id {kind}, url string, text string, n_chars long, n_blocks int,"
+        tidied(run), f"page_id {kind}, url string, text string, n_chars long, n_blocks int,"
              " n_main_blocks int")

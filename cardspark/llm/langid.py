@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardspark.llm.common import (
-    LOWER, bucket_of, small_batches, text_slices, word_bounds,
+    LOWER, bucket_of, small_batches, text_slices, tidied, word_bounds,
 )
 
 TRAIN_ROWS = 20_000
@@ -239,7 +239,8 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> LanguageModel:
 
     small_batches(labelled.sparkSession)
     # BUCKETS rows a language at most come to the driver
-    got = (labelled.select("lang", "text").mapInArrow(count, "lang string, at int, n long")
+    got = (labelled.select("lang", "text").mapInArrow(
+        tidied(count), "lang string, at int, n long")
            .groupBy("lang", "at").agg(F.sum("n").alias("n")).toArrow())
     langs = np.array(got.column("lang").to_pylist(), object)
     at, n = got.column("at").to_numpy(), got.column("n").to_numpy()
@@ -299,7 +300,8 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                     keep + ["_lang_pred", "_lang_score", "_lang_spans"])
 
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(label, schema)
+    return docs.mapInArrow(
+        tidied(label), schema)
 
 
 def fitted(docs: DataFrame, held_of: int = 4, held: int = 2) -> LanguageModel:

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from cardspark.llm.common import (
     GOLDEN, LOWER, golden, hash_bitmap, in_bitmap, mix64, poly_of, small_batches, text_slices,
-    word_bounds, word_hashes, written,
+    tidied, word_bounds, word_hashes, written,
 )
 from cardspark.llm.components import components
 
@@ -182,7 +182,7 @@ def signed(docs: DataFrame) -> DataFrame:
 
     small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(
-        sign, f"doc_id {kind}, n_shingles long, set_a long, set_b long, sig binary, bands binary")
+        tidied(sign), f"doc_id {kind}, n_shingles long, set_a long, set_b long, sig binary, bands binary")
 
 
 # ------------------------------------------------------------- verification
@@ -239,7 +239,8 @@ def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     found = (docs.filter("doc_id IS NOT NULL")
              .select(F.col("doc_id").cast("long").alias("node"), "text", _id_hash("doc_id").alias("h"))
-             .mapInArrow(sets, "node long, shingles binary"))
+             .mapInArrow(
+        tidied(sets), "node long, shingles binary"))
     return found.join(nodes, "node", "left_semi")
 
 

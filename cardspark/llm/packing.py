@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardspark.llm.common import partitions_for, small_batches, written
+from cardspark.llm.common import partitions_for, small_batches, tidied, written
 
 WINDOW = 2048
 END_ID = 1
 SHARD_PIECES = 8192
 # Chunks of text whose ids a worker remembers (about 200 bytes each); beyond
 # this it keeps those of its last batch alone.
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 400_000
 # Longer chunks are not remembered.
 CACHE_CHARS = 40
 
@@ -152,7 +152,8 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, window: int = WIN
                 [pa.array(c, t) for c, t in zip(rows[:k], types)], names[:k])
 
     small_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return docs.select("doc_id", "text").mapInArrow(
+        tidied(cut), schema)
 
 
 def fill(order: list[int], counts: dict[int, int], room: int) -> tuple[int, dict[int, int]]:

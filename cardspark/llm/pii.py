@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardspark.llm.common import (
-    LOWER, small_batches, text_slices, word_bounds, word_hashes, written,
+    LOWER, small_batches, text_slices, tidied, word_bounds, word_hashes, written,
 )
 
 NEAR = 5
@@ -195,7 +195,8 @@ def detect(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
             row += n
 
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(find, schema)
+    return docs.mapInArrow(
+        tidied(find), schema)
 
 
 def _bitmap(candidates: DataFrame) -> np.ndarray:
@@ -231,7 +232,8 @@ def term_counts(docs: DataFrame, candidates: DataFrame, text_col: str = "text")
             [pa.array([None], pa.int64()), pa.array([total], pa.int64())], ["term", "n"])
 
     small_batches(docs.sparkSession)
-    return (docs.select(text_col).mapInArrow(count, "term long, n long")
+    return (docs.select(text_col).mapInArrow(
+        tidied(count), "term long, n long")
             .groupBy("term").agg(F.sum("n").alias("n")))
 
 
@@ -310,7 +312,8 @@ def redact(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
 
     small_batches(docs.sparkSession)
     return marked.select(*names, "_pii_spans", "_pii_terms") \
-        .mapInArrow(replace, docs.schema)
+        .mapInArrow(
+        tidied(replace), docs.schema)
 
 
 def _replaced(text: str, spans: list[dict]) -> str:
