@@ -20,15 +20,18 @@ shingle sets and union-find.
    members of the others meet in tasks with their signatures and full sets,
    block by block: pairs of different components that agree are confirmed there,
    the most alike first, and only links that unite two components are emitted.
-   A pair that shares several buckets is looked at in the first alone. A bucket
-   over ``BLOCK`` is split: if what lies outside its largest component is small,
-   that goes with every block of the largest; else members go to sub-buckets by
-   further places of their signatures (``SPLITS`` of them), and what is still
-   large after ``LEVELS`` such splits goes to a group for each pair of blocks.
+   A pair that shares several buckets is looked at in the first of them that is
+   searched whole. A bucket over ``BLOCK`` is cut into blocks: if what lies
+   outside its largest component is small, that goes with every block of the
+   largest; else there is a group for each pair of blocks. Only where that takes
+   over ``EXACT`` copies of each member do members go to sub-buckets by further
+   places of their signatures first (``SPLITS`` of them, no fewer copies), at most
+   ``LEVELS`` times; what is left then goes to pairs of blocks at any size.
 6. The components of all links.
 
 What can be missed: a pair at 0.75 shares no band with a chance of 5e-6, falls
-below ``LEAST_MATCHES`` with one of 2e-7. 64-bit hashes stand for words and
+below ``LEAST_MATCHES`` with one of 2e-7, and if all buckets that it shares are
+over ``EXACT`` blocks, meets in no sub-bucket with one of 1e-6 a level. 64-bit hashes stand for words and
 shingles.
 
 Defined results: null or empty text, or white space alone: n_shingles 0,
@@ -63,7 +66,8 @@ LEAST_MATCHES = 70
 # ROW_WEIGHT, so a block has about 1,000 average texts and 2,000 at most.
 BLOCK = 800_000
 ROW_WEIGHT = 400
-SPLITS = 8
+EXACT = 64
+SPLITS = 64
 LEVELS = 3
 
 _EMPTY = np.uint32(0xFFFFFFFF)
@@ -289,9 +293,10 @@ def _stars(members: DataFrame, sigs: DataFrame) -> DataFrame:
 
 def _links_within(group: pa.Table) -> pa.Table:
     """Links between the components of one block. Rows: bucket, node, n,
-    component, band, sig, bands, shingles, block, part. If some rows have part
+    component, band, sig, bands, loose, shingles, block, part. If some rows have part
     1, only pairs with at least one of those are wanted, and pairs of two such
-    rows in block 0 alone. A band below 0: pairs may be looked at anywhere."""
+    rows in block 0 alone. A band below 0: pairs may be looked at anywhere.
+    Bits of loose: bands whose bucket was not searched whole."""
     group = group.combine_chunks()
     order = np.argsort(group.column("n").to_numpy(), kind="stable")
     group = group.take(pa.array(order)).combine_chunks()
@@ -300,6 +305,7 @@ def _links_within(group: pa.Table) -> pa.Table:
     band, block = group.column("band")[0].as_py(), group.column("block")[0].as_py()
     sig = _matrix(group.column("sig"))
     bands = np.frombuffer(b"".join(group.column("bands").to_pylist()), np.int64).reshape(-1, BANDS)
+    whole = (group.column("loose").to_numpy()[:, None] >> np.arange(max(band, 0))) & 1 == 0
     raw = group.column("shingles").to_pylist()
     root = {c: c for c in group.column("component").to_pylist()}
     comp = group.column("component").to_pylist()
@@ -328,7 +334,7 @@ def _links_within(group: pa.Table) -> pa.Table:
         near = same >= LEAST_MATCHES
         k, same = k[near], same[near]
         if band > 0 and len(k):
-            first = ~(bands[k, :band] == bands[i, :band]).any(axis=1)
+            first = ~((bands[k, :band] == bands[i, :band]) & whole[i]).any(axis=1)
             k, same = k[first], same[first]
         k = k[np.argsort(-same, kind="stable")]
         mine = np.frombuffer(raw[i], np.uint64)
@@ -367,9 +373,11 @@ def _unsettled(rows: DataFrame) -> DataFrame:
 
 
 def _subkeys(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
-    """Each row once for each of SPLITS sub-buckets, by places of its signature."""
+    """Each row once for each of SPLITS sub-buckets, by places of its signature;
+    sub-buckets share none until all places are used."""
     rng = np.random.default_rng(level)
-    places = [rng.choice(HASHES, ROWS, replace=False) for _ in range(SPLITS)]
+    rounds = -(-SPLITS * ROWS // HASHES)
+    places = np.concatenate([rng.permutation(HASHES) for _ in range(rounds)]).reshape(-1, ROWS)[:SPLITS]
     for batch in batches:
         sig = _matrix(batch.column("sig")).astype(np.uint64)
         old = batch.column("bucket").to_numpy().view(np.uint64)
@@ -389,7 +397,7 @@ def _rest(docs: DataFrame, members: DataFrame, comps: DataFrame, sigs: DataFrame
     nodes = written(rows.select("node").distinct(), "unsettled_nodes")
     sets = _full_sets(docs, nodes).dropDuplicates(["node"])
     facts = written(sigs.select("node", "sig", "bands").join(sets, "node"), "facts")
-    blocks = []
+    blocks, loose = [], None
     for level in range(LEVELS + 1):
         size, outside = F.col("size"), F.col("outside")
         small = rows.filter(size <= BLOCK).withColumns({"block": F.lit(0), "part": F.lit(0)})
@@ -401,17 +409,21 @@ def _rest(docs: DataFrame, members: DataFrame, comps: DataFrame, sigs: DataFrame
             .withColumn("block", F.explode(F.when(F.col("part") == 1, F.sequence(
                 F.lit(0), n_blocks - 1)).otherwise(F.array(own))))
         blocks += [x.select(*_PLACE, "block", "part") for x in (small, few)]
-        large = rows.filter((size > BLOCK) & (outside > BLOCK))
-        if large.isEmpty():
-            break
+        large = rows.filter((size > BLOCK) & (outside > BLOCK)).withColumns(
+            {"own": own.cast("long"), "blocks": n_blocks.cast("long")})
+        # a group for each pair of blocks; across two blocks, only pairs across
+        paired = (large if level == LEVELS else large.filter(F.col("blocks") <= EXACT)) \
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        blocks.append(paired.withColumns({
+            "block": F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"),
+            "part": (F.col("own") < F.col("other")).cast("int")}).select(*_PLACE, "block", "part"))
         if level == LEVELS:
-            # a group for each pair of blocks
-            large = large.withColumns({"own": own, "blocks": n_blocks, "band": F.lit(-1)}) \
-                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            blocks.append(large.withColumns({
-                "block": F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"),
-                "part": F.lit(0)}).select(*_PLACE, "block", "part"))
             break
+        large = large.filter(F.col("blocks") > EXACT)
+        if large.isEmpty():
+            break
+        if not level:
+            loose = large.groupBy("node").agg(F.expr("bit_or(shiftleft(1L, band))").alias("loose"))
         split = large.select(*_PLACE).join(facts.select("node", "sig"), "node") \
             .select("bucket", "node", "n", "component", F.lit(-1).alias("band"), "sig").mapInArrow(
             lambda it, k=level: _subkeys(it, k),
@@ -420,6 +432,8 @@ def _rest(docs: DataFrame, members: DataFrame, comps: DataFrame, sigs: DataFrame
     todo = blocks[0]
     for b in blocks[1:]:
         todo = todo.unionByName(b)
+    facts = facts.withColumn("loose", F.lit(0).cast("long")) if loose is None else \
+        facts.join(loose, "node", "left").na.fill(0, ["loose"])
     return todo.join(facts, "node").groupBy("bucket", "block").applyInArrow(
         _links_within, "a long, b long").distinct()
 

@@ -89,6 +89,51 @@ def test_large_buckets_by_every_path(spark, monkeypatch, levels):
     assert run(spark, rows) == brute(rows)
 
 
+def rest_of_planted(spark, n_pairs, keys):
+    """(pairs, links of _rest) for borderline pairs of texts; ``keys``: what pair
+    i has in its bands, by band. All other bands are shared with nobody."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(n_pairs):
+        base = [f"w{rng.randrange(10 ** 6)}" for _ in range(124)]
+        pair = list(base)
+        for at in (20, 60, 100):  # 15 of 120 shingles: similarity 105 / 135 = 0.78
+            pair[at] = f"new{rng.randrange(10 ** 9)}"
+        texts += [" ".join(base), " ".join(pair)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    facts, members = [], []
+    for r in minhash.signed(docs).collect():
+        pair = r["doc_id"] // 2
+        bands = [10 ** 9 + r["doc_id"] * 100 + b for b in range(minhash.BANDS)]
+        for b, key in keys(pair).items():
+            bands[b] = key
+            members.append((r["doc_id"], r["n_shingles"], b, key, 2))
+        facts.append((r["doc_id"], r["n_shingles"], bytes(r["sig"]), np.array(bands, np.int64).tobytes()))
+    got = minhash._rest(
+        docs, spark.createDataFrame(members, "node long, n long, band int, bucket long, n_in_bucket long"),
+        spark.createDataFrame([], "node long, component long"),
+        spark.createDataFrame(facts, "node long, n long, sig binary, bands binary")).collect()
+    return {(2 * i, 2 * i + 1) for i in range(n_pairs)}, {(min(r), max(r)) for r in got}
+
+
+@pytest.mark.parametrize("exact", [64, 1])
+def test_large_bucket_loses_no_pair(spark, monkeypatch, exact):
+    """All in one large bucket: searched by pairs of blocks, or by sub-buckets."""
+    monkeypatch.setattr(minhash, "BLOCK", 20_000)
+    monkeypatch.setattr(minhash, "EXACT", exact, raising=False)
+    pairs, got = rest_of_planted(spark, 150, lambda i: {0: 7})
+    assert got == pairs
+
+
+def test_small_bucket_rescues_what_a_split_one_missed(spark, monkeypatch):
+    """With one sub-bucket a level a split misses many; each pair's own bucket does not."""
+    monkeypatch.setattr(minhash, "BLOCK", 20_000)
+    monkeypatch.setattr(minhash, "EXACT", 1, raising=False)
+    monkeypatch.setattr(minhash, "SPLITS", 1)
+    pairs, got = rest_of_planted(spark, 60, lambda i: {0: 7, 5: 100 + i})
+    assert got == pairs
+
+
 def test_signature_estimates_similarity():
     rng = random.Random(4)
     errors, errors_in = [], 0
