@@ -1,7 +1,8 @@
 """Language identification of spans: script ranges, per-word scores, Viterbi.
 
-Training, on about ``TRAIN_ROWS`` labelled texts (a documented bound; the draw
-is by a hash of the id): for each language, counts of the byte trigrams inside
+Training, on about ``TRAIN_ROWS`` labelled texts of each language (a documented
+bound; all texts of a language with fewer; the draw is by a hash of the id, and
+a language that occurs has one row at least): for each language, counts of the byte trigrams inside
 words, word edges included, hashed to ``BUCKETS`` places; and the share of its
 letters in each script.
 
@@ -200,13 +201,14 @@ def label_rows(model: LanguageModel, data: np.ndarray, off: np.ndarray, switch:
 # ----------------------------------------------------------------- training
 
 def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> LanguageModel:
-    """Fit on about ``train_rows`` of the rows (doc_id, text, lang)."""
+    """Fit on about ``train_rows`` of each language's rows (doc_id, text, lang)."""
     labelled = labelled.filter("lang IS NOT NULL AND text IS NOT NULL") \
         .select("doc_id", "lang", "text")
-    rows = labelled.select("lang").count()
-    if rows > train_rows:
-        u = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 30))
-        labelled = labelled.filter(u < int(train_rows / rows * (1 << 30)))
+    u = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 30))
+    # one row a language; the least hash stays, so that no label is lost
+    drawn = labelled.groupBy("lang").agg(F.greatest(
+        F.lit(float(train_rows)) / F.count(F.lit(1)) * F.lit(1 << 30), F.min(u)).alias("most"))
+    labelled = labelled.join(F.broadcast(drawn), "lang").filter(u <= F.col("most"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, np.ndarray] = {}

@@ -111,3 +111,17 @@ def test_und_and_messy(spark, model, messy, no_docs):
 def test_training_sample_is_bounded(docs):
     small = train(docs, train_rows=60)
     assert small.names == ["ru", "xx", "yy"]
+
+
+def test_rare_language_is_learned_at_any_size(spark):
+    """The bound holds for each language: 3 texts among 3,000 stay, and so do
+    rows that all have the same hash."""
+    rng = random.Random(7)
+    rows = [(i, text(rng, "xx", 5), "xx") for i in range(3000)]
+    rows += [(5000 + i, text(rng, "yy", 30), "yy") for i in range(3)]
+    rows += [(6000, text(rng, "ru", 30), "ru")] * 2
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    small = train(d, train_rows=3)
+    assert small.names == ["ru", "xx", "yy"]
+    new = spark.createDataFrame([(1, text(rng, "yy", 20))], "doc_id long, text string")
+    assert identify(new, small).first()["_lang_pred"] == "yy"
