@@ -3,19 +3,21 @@ terms that reveal what the patterns found.
 
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers.
 Each value found is a protected entity. Terms (runs of letters and digits,
-A-Z lower-cased) within ``NEAR`` terms of a mention co-occur with it. With
-n(e) contexts of entity e, n(e,t) of them holding term t, f(t) occurrences of
-t in the corpus of M terms, all texts counted,
+A-Z lower-cased) that touch no span co-occur with every entity of their
+document, wherever they stand. With n(e) documents that mention entity e,
+n(e,t) of them holding term t, f(t) documents holding t of the corpus of M,
 
     IC(e) = -log2(n(e) / M)        PMI(e;t) = IC(e) + log2(n(e,t) / f(t))
 
 and PMI / IC is the share of the entity's information that the term discloses:
 1 for a term met nowhere else, far lower for common ones. Terms that disclose
 ``REMOVE`` or more are removed, from ``GENERALISE`` on they are replaced by a
-general label. A pair needs ``SUPPORT`` different contexts: copies of a passage
-count in all three numbers alike, and are no further evidence.
+general label, at every place of the documents that mention the entity. A pair
+needs ``SUPPORT`` different documents: copies of one count in all numbers alike,
+and are no further evidence.
 
-Scale. A mention yields at most ``2 * NEAR`` pairs. Counting f(t) reads all
+Scale. Equal documents go on as one, and an entity with fewer than ``SUPPORT``
+different ones yields no pairs; others one for each term of each. Counting f(t) reads all
 texts again, but passes on only terms whose hash hits a bitmap of the candidate
 terms (2 ** ``BITMAP_BITS`` bits whatever the corpus; a fuller bitmap lets more
 terms through and changes no count). Pairs and counts meet in plain joins on
@@ -45,11 +47,11 @@ from cardspark.llm.common import (
     LOWER, small_batches, text_slices, tidied, word_bounds, word_hashes, written,
 )
 
-NEAR = 5
 SUPPORT = 3
 GENERALISE = 0.85
 REMOVE = 0.95
 BITMAP_BITS = 20
+RUN_TERMS = 1_000_000  # counts a task holds before it passes them on
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]",
@@ -112,21 +114,13 @@ def _entity(kind: str, value: str) -> str:
     return kind + ":" + (value.lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", value))
 
 
-def _around(text: str, spans: list[tuple[int, int, str]], i: int, near: int):
-    """Up to ``near`` terms on either side of span ``i`` that touch no span."""
-    a, b, _ = spans[i]
-    reach = near * 40
-    left = [m.span() for m in _TERM.finditer(text, max(0, a - reach), a)]
-    if left and a > reach and left[0][0] == a - reach:
-        left = left[1:]  # cut at the window's edge
-    right = [m.span() for m in _TERM.finditer(text, b, min(len(text), b + reach))]
-    if right and b + reach < len(text) and right[-1][1] == b + reach:
-        right = right[:-1]
-    hit = [s for s in spans if s[1] > a - reach and s[0] < b + reach]
-
-    def clear(x):
-        return not any(s[0] < x[1] and x[0] < s[1] for s in hit)
-    return [x for x in left if clear(x)][-near:] + [x for x in right if clear(x)][:near]
+def _around(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The terms of the text that touch no span."""
+    covered = np.zeros(len(text) + 1, np.int64)
+    for a, b, _ in spans:
+        covered[a + 1:b + 1] = 1
+    covered = np.cumsum(covered)
+    return [(m.start(), m.end()) for m in _TERM.finditer(text) if covered[m.start()] == covered[m.end()]]
 
 
 def term_hashes(terms: list[str]) -> np.ndarray:
@@ -137,61 +131,55 @@ def term_hashes(terms: list[str]) -> np.ndarray:
 
 
 _SPAN = "array<struct<start:int,end:int,kind:string>>"
-_MENTION = ("array<struct<entity:long,context:long,"
-            "terms:array<struct<term:long,start:int,end:int>>>>")
+_AROUND = "array<struct<term:long,start:int,end:int>>"
 
 
 def _hash64(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def detect(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
-           near: int = NEAR) -> DataFrame:
+def detect(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all, if None) of every row with _pii_row (an id),
-    _pii_spans (base spans) and _pii_mentions (entity, context and near terms
-    of each span). Must be written before it is read twice: the ids are
+    _pii_spans (base spans) and, if there are any, _pii_entities (different
+    ones), _pii_around (all terms that touch no span) and _pii_context (a hash
+    of both). Must be written before it is read twice: the ids are
     those of the tasks."""
     keep = docs.columns if keep is None else keep
     docs = docs.select(*keep, F.col(text_col).alias("_pii_text"))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + \
-        f", _pii_row long, _pii_spans {_SPAN}, _pii_mentions {_MENTION}"
+        f", _pii_row long, _pii_spans {_SPAN}, _pii_entities array<long>," \
+        f" _pii_around {_AROUND}, _pii_context long"
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()),
                                     ("kind", pa.string())]))
-    mention_type = pa.list_(pa.struct([
-        ("entity", pa.int64()), ("context", pa.int64()),
-        ("terms", pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()),
-                                      ("end", pa.int32())])))]))
-
-    def mentions(text: str, spans) -> list[dict]:
-        out = []
-        for i, (a, b, kind) in enumerate(spans):
-            around = _around(text, spans, i, near)
-            terms = [text[x:y] for x, y in around]
-            hashes = term_hashes(terms).tolist() if terms else []
-            out.append({"entity": _hash64(_entity(kind, text[a:b])),
-                        "context": _hash64(repr(hashes)),
-                        "terms": [{"term": h, "start": x, "end": y}
-                                  for h, (x, y) in zip(hashes, around)]})
-        return out
+    around_type = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()),
+                                      ("end", pa.int32())]))
+
+    def mentions(text: str, spans) -> tuple[list[int], list[dict], int]:
+        around = _around(text, spans)
+        hashes = term_hashes([text[x:y] for x, y in around]).tolist() if around else []
+        entities = sorted({_hash64(_entity(kind, text[a:b])) for a, b, kind in spans})
+        return (entities, [{"term": h, "start": x, "end": y} for h, (x, y) in zip(hashes, around)],
+                _hash64(repr((entities, hashes))))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             n = batch.num_rows
             texts = batch.column(len(keep))
-            spans, near_by = [[]] * n, [[]] * n
+            spans, entities, around, context = [[]] * n, [[]] * n, [[]] * n, [None] * n
             hits = pc.fill_null(pc.match_substring_regex(texts, "[0-9@]"), False)
             for i in np.flatnonzero(hits.to_numpy(zero_copy_only=False)):
                 text = texts[int(i)].as_py()
                 if found := base_spans(text):
                     spans[i] = [{"start": a, "end": b, "kind": k} for a, b, k in found]
-                    near_by[i] = mentions(text, found)
+                    entities[i], around[i], context[i] = mentions(text, found)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(len(keep))]
                 + [pa.array(range(row, row + n), pa.int64()), pa.array(spans, span_type),
-                   pa.array(near_by, mention_type)],
-                keep + ["_pii_row", "_pii_spans", "_pii_mentions"])
+                   pa.array(entities, pa.list_(pa.int64())), pa.array(around, around_type),
+                   pa.array(context, pa.int64())],
+                keep + ["_pii_row", "_pii_spans", "_pii_entities", "_pii_around", "_pii_context"])
             row += n
 
     small_batches(docs.sparkSession)
@@ -209,25 +197,46 @@ def _bitmap(candidates: DataFrame) -> np.ndarray:
 
 
 def term_counts(docs: DataFrame, candidates: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, n): occurrences in all texts of the candidate terms (and of
-    others that share their leading bits); the null term has those of all."""
+    """(term, n): texts that hold each of the candidate terms (and of others
+    that share their leading bits); the null term has those with any term."""
     flags = docs.sparkSession.sparkContext.broadcast(np.packbits(_bitmap(candidates)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(flags.value).astype(bool)
-        total = 0
+        total, size, held = 0, 0, []
+
+        def united():
+            terms, at = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
+            return terms, np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
+
+        def rows(terms, n):
+            return pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n, pa.int64())], ["term", "n"])
+
         for batch in batches:
             for _, data, off in text_slices(batch.column(0)):
-                starts, ends, _ = word_bounds(data, off, TERM_GAP)
-                total += len(starts)
+                starts, ends, first = word_bounds(data, off, TERM_GAP)
+                total += int((np.diff(first) > 0).sum())
                 if not wanted.any():
                     continue
                 h = word_hashes(LOWER[data], starts, ends, TERM_GAP)
-                h = h[wanted[(h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]]
-                terms, n = np.unique(h.view(np.int64), return_counts=True)
+                hit = wanted[(h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)]
+                h, row = h[hit], np.repeat(np.arange(len(off) - 1), np.diff(first))[hit]
+                order = np.lexsort((row, h))
+                h, row = h[order], row[order]
+                new = np.ones(len(h), bool)  # one for each text
+                new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+                terms, n = np.unique(h[new].view(np.int64), return_counts=True)
                 if len(terms):
-                    yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n, pa.int64())],
-                                                     ["term", "n"])
+                    held.append((terms, n))
+                    size += len(terms)
+                if size > RUN_TERMS:
+                    held[:] = [united()]
+                    size = len(held[0][0])
+                    if size > RUN_TERMS // 2:  # uniting no longer shrinks them
+                        yield rows(*held.pop())
+                        size = 0
+        if held:
+            yield rows(*united())
         yield pa.RecordBatch.from_arrays(
             [pa.array([None], pa.int64()), pa.array([total], pa.int64())], ["term", "n"])
 
@@ -241,11 +250,17 @@ def disclosures(found: DataFrame, docs: DataFrame, text_col: str = "text",
                 support: int = SUPPORT, generalise: float = GENERALISE,
                 remove: float = REMOVE) -> DataFrame:
     """(entity, term, disclosure, action): the pairs over the threshold."""
-    contexts = (found.select(F.explode("_pii_mentions").alias("m")).select(
-        "m.entity", "m.context", F.transform("m.terms", lambda t: t["term"]).alias("terms"))
-        .groupBy("entity", "context", "terms").agg(F.count(F.lit(1)).alias("copies")))
-    of_entity = contexts.groupBy("entity").agg(F.sum("copies").alias("n_e"))
-    pairs = (contexts.select("entity", "copies", F.explode(F.array_distinct("terms")).alias("term"))
+    contexts = (found.filter(F.size("_pii_entities") > 0).groupBy("_pii_context").agg(
+        F.first("_pii_entities").alias("entities"),
+        F.first(F.array_distinct(F.transform("_pii_around", lambda t: t["term"]))).alias("terms"),
+        F.count(F.lit(1)).alias("copies")))
+    contexts = written(contexts, "pii_contexts")
+    of_entity = (contexts.select(F.explode("entities").alias("entity"), "copies").groupBy("entity")
+                 .agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("contexts"))
+                 .filter(F.col("contexts") >= support).drop("contexts"))
+    pairs = (contexts.select(F.explode("entities").alias("entity"), "copies", "terms")
+             .join(of_entity, "entity", "left_semi")
+             .select("entity", "copies", F.explode("terms").alias("term"))
              .groupBy("entity", "term")
              .agg(F.sum("copies").alias("n_et"), F.count(F.lit(1)).alias("different"))
              .filter(F.col("different") >= support).drop("different"))
@@ -263,11 +278,14 @@ def disclosures(found: DataFrame, docs: DataFrame, text_col: str = "text",
 
 def term_spans(found: DataFrame, disclosing: DataFrame) -> DataFrame:
     """(_pii_row, _pii_terms): the spans of disclosing terms of each row."""
-    near = (found.filter(F.size("_pii_mentions") > 0)
-            .select("_pii_row", F.explode("_pii_mentions").alias("m"))
-            .select("_pii_row", F.col("m.entity").alias("entity"), F.explode("m.terms").alias("t"))
-            .select("_pii_row", "entity", "t.term", "t.start", "t.end"))
-    return (near.join(disclosing, ["entity", "term"])
+    some = found.filter(F.size("_pii_entities") > 0)
+    wanted = (some.select("_pii_row", F.explode("_pii_entities").alias("entity"))
+              .join(disclosing.select("entity", "term", "action"), "entity")
+              .groupBy("_pii_row", "term").agg(F.min("action").alias("action")))
+    places = (some.join(wanted.select("_pii_row"), "_pii_row", "left_semi")
+              .select("_pii_row", F.explode("_pii_around").alias("t"))
+              .select("_pii_row", "t.term", "t.start", "t.end"))
+    return (places.join(wanted, ["_pii_row", "term"])
             # one span for each place; removal wins
             .groupBy("_pii_row", "start", "end").agg(F.min("action").alias("kind"))
             .groupBy("_pii_row").agg(F.sort_array(F.collect_list(
@@ -279,13 +297,14 @@ def sanitise(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
     """Columns ``keep`` of every row with _pii_spans (base) and _pii_terms
     (spans of disclosing terms; kind ``term`` or ``removed``)."""
     found = written(detect(docs, text_col, keep), "pii_found")
-    spans = term_spans(found, disclosures(found, docs, text_col, **limits))
+    spans = term_spans(found, written(disclosures(found, docs, text_col, **limits), "pii_disclosing"))
     none = F.expr(f"CAST(array() AS {_SPAN})")
     # a row without a mention has no term spans and needs no join
-    plain = found.filter(F.size("_pii_mentions") == 0).withColumn("_pii_terms", none)
-    rest = found.filter(F.size("_pii_mentions") > 0).join(spans, "_pii_row", "left") \
+    plain = found.filter(F.size("_pii_entities") == 0).withColumn("_pii_terms", none)
+    rest = found.filter(F.size("_pii_entities") > 0).join(spans, "_pii_row", "left") \
         .withColumn("_pii_terms", F.coalesce("_pii_terms", none))
-    out = [c for c in plain.columns if c not in ("_pii_row", "_pii_mentions")]
+    out = [c for c in plain.columns if c not in ("_pii_row", "_pii_entities", "_pii_around",
+                                                   "_pii_context")]
     return plain.select(*out).unionByName(rest.select(*out))
 
 

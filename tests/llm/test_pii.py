@@ -134,3 +134,20 @@ def test_redact(spark):
 
 def test_redact_messy(messy):
     assert sorted(map(str, redact(messy).collect())) == sorted(map(str, messy.collect()))
+
+
+def test_disclosing_terms_anywhere_in_the_document(spark):
+    """The name stands in the title and the footer, far from the address."""
+    rng = random.Random(9)
+
+    def words(k):
+        return " ".join("w" + str(rng.randrange(400)) for _ in range(k))
+    rows = [(i, f"{words(40)} common {words(40)}") for i in range(200)]
+    rows += [(1000 + i, f"Zorblatt common {words(60)} jo@corp.example {words(60)} zorblatt") for i in range(6)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii_report(d).collect()}
+    for i, t in rows[200:]:
+        named = [t[int(a):int(b)] for k, a, b in (s.split(":") for s in got[i].split(",")) if k != "email"]
+        assert [x for x in named if x.lower() == "zorblatt"] == ["Zorblatt", "zorblatt"]
+        assert "common" not in named
+    assert all(got[i] == "" for i in range(200))
