@@ -1,4 +1,4 @@
-"""The queries of the ten operators, and the SQL twins of those that SQL can
+"""The queries of the operators, and the SQL twins of those that SQL can
 express."""
 
 from __future__ import annotations
@@ -201,3 +201,14 @@ def op7_warc(spark, sf_dir):
     """Every page, written to WARC files and read back through their index."""
     from cardspark.llm.warc import round_trip
     return round_trip(table(spark, sf_dir, "pages"))
+
+
+# ------------------------------------------------------- 11: byte-level BPE
+
+@query("op11_bpe")
+def op11_bpe(spark, sf_dir):
+    """Ids of every document and the bytes they decode to, as digests."""
+    from cardspark.llm.bpe import decode, digests, encode
+    ids = encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    both = decode(ids, keep=["doc_id", "ids"])
+    return both.select("doc_id", *digests("ids", "decoded"))
