@@ -212,3 +212,49 @@ def op11_bpe(spark, sf_dir):
     ids = encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
     both = decode(ids, keep=["doc_id", "ids"])
     return both.select("doc_id", *digests("ids", "decoded"))
+
+
+# ------------------------------------------------------ 12: periodic runs
+
+# crc32 in SQL: the table of its bytes, and a text's value from it.
+_CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda x: list_reduce(range(8),
+  lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS crc)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT)),
+  lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"""
+
+
+@query("op12_word_runs", rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, {_crc32("CAST(doc_id AS VARCHAR)")} AS h,
+             [x FOR x IN string_split_regex(coalesce(text, ''), '{_WS}') IF x <> ''] AS ws
+      FROM documents, crc_table),
+s AS (SELECT *, len(ws) AS n, (h // 10) % greatest(len(ws), 1) AS a FROM d),
+t AS (SELECT doc_id, n, unnest(range(n)) AS i, ws, h, a, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM s),
+w AS (SELECT doc_id, n, i, ws[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+      FROM t),
+e AS (SELECT x.doc_id, y.i - x.i AS q, x.i,
+             x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS island
+      FROM w x JOIN w y ON y.doc_id = x.doc_id AND y.word = x.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+c AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM e GROUP BY doc_id, q, island),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM c
+      WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+o AS (SELECT doc_id, count(*) AS n_runs,
+             sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS runs_sha256,
+             arg_min(struct_pack(s := start, l := length, p := period), (-length, start, period)) AS best
+      FROM r GROUP BY doc_id),
+g AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+k AS (SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.i) AS collapsed
+      FROM w ANTI JOIN g ON g.doc_id = w.doc_id AND g.i = w.i GROUP BY w.doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start,
+       CAST(best.l AS BIGINT) AS length, CAST(best.p AS BIGINT) AS period,
+       CAST(1000 * best.l // best.p AS BIGINT) AS exponent_milli,
+       coalesce(runs_sha256, sha256('')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN o ON o.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id""")
+def op12_word_runs(spark, sf_dir):
+    """Periodic runs of words in every document, some of them planted."""
+    from cardspark.llm.runs import digests, with_planted_runs, word_runs
+    docs = with_planted_runs(table(spark, sf_dir, "documents"))
+    return word_runs(docs, keep=["doc_id"]).select("doc_id", *digests())
