@@ -258,3 +258,65 @@ def op12_word_runs(spark, sf_dir):
     from cardspark.llm.runs import digests, with_planted_runs, word_runs
     docs = with_planted_runs(table(spark, sf_dir, "documents"))
     return word_runs(docs, keep=["doc_id"]).select("doc_id", *digests())
+
+
+# ---------------------------------------------- 13: conversation structure
+
+def _edits(after: str, before: str) -> str:
+    """SQL of the least of a row's edits: ``after`` u or a is the row due next
+    in the state ``before`` (s: nothing yet, t: after s, u, a)."""
+    keeps = {"s": [("s", "t"), ("u", "u")], "t": [("u", "u")], "a": [("u", "u")], "u": [("a", "a")]}[before]
+    due = {"u": "user", "a": "assistant"}[after]
+    options = [f"{{c: {before}.c + 3, e: 'D' || {before}.e, l: {before}.l}}"]
+    options += [f"CASE WHEN stays AND initial = '{i}' THEN {{c: {to}.c + more, e: 'K' || {to}.e, "
+                f"l: role || ':' || text || chr(10) || {to}.l}} END" for i, to in keeps]
+    options.append(f"CASE WHEN stays THEN {{c: {after}.c + 2 + more, e: 'R' || {after}.e, "
+                   f"l: '{due}:' || text || chr(10) || {after}.l}} END")
+    return f"list_sort(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))[1]"
+
+
+def _with_insert(state: str, then: str) -> str:
+    due = {"u": "user", "a": "assistant"}[then[-1]]
+    return (f"list_sort([{state}, {{c: {then}.c + 2, e: 'I' || {then}.e, "
+            f"l: '{due}:' || chr(10) || {then}.l}}])[1]")
+
+
+@query("op13_conversation_repair", rf"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS k
+      FROM conversations, crc_table),
+x AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+             CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+             unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS no FROM r),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), no) AS i,
+             count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS initial FROM x),
+g AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS again,
+             lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS earlier FROM o),
+f AS (SELECT *, NOT regexp_matches(text, '[^ \t\n\x0b\x0c\r]') AS blank,
+             NOT regexp_matches(text, '[.!?][ \t\n\x0b\x0c\r]*$') AS cut FROM g),
+h AS (SELECT *, NOT blank AND again = 1 AS stays, CASE WHEN cut THEN 1 ELSE 0 END AS more FROM f),
+z AS (SELECT conv_id, count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again > 1) AS duplicate,
+             count(*) FILTER (stays AND cut) AS truncated,
+             count(*) FILTER (i > 1 AND coalesce(earlier || initial, '') NOT IN ('su', 'ua', 'au')) AS illegal,
+             coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, max(n) AS n
+      FROM h GROUP BY conv_id),
+b AS (SELECT conv_id, n AS i, {{c: 0, e: '', l: ''}} AS s,
+             {{c: 4, e: 'II', l: 'user:' || chr(10) || 'assistant:' || chr(10)}} AS t,
+             {{c: 2, e: 'I', l: 'assistant:' || chr(10)}} AS u, {{c: 0, e: '', l: ''}} AS a FROM z
+      UNION ALL
+      SELECT conv_id, i, {_with_insert('s', 'new_u')}, {_with_insert('t', 'new_u')}, new_u, new_a
+      FROM (SELECT conv_id, i, s, t, {_with_insert('u', 'a')} AS new_u, {_with_insert('a', 'u')} AS new_a
+            FROM (SELECT b.conv_id, b.i - 1 AS i, {_edits('u', 's')} AS s, {_edits('u', 't')} AS t,
+                         {_edits('a', 'u')} AS u, {_edits('u', 'a')} AS a
+                  FROM b JOIN h ON h.conv_id IS NOT DISTINCT FROM b.conv_id AND h.i = b.i)))
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(s.c, 0) AS BIGINT) AS cost,
+       coalesce(s.e, '') AS audit, sha256(coalesce(left(s.l, length(s.l) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = 0""")
+def op13_conversation_repair(spark, sf_dir):
+    """Faults and cheapest repair of every conversation, after damage."""
+    from cardspark.llm.conversations import repair_report
+    return repair_report(table(spark, sf_dir, "conversations"))
