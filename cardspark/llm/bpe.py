@@ -43,6 +43,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -60,6 +61,8 @@ PAIRS = 1 << 18
 MEMO_MATCHES = 300_000
 MEMO_CHARS = 40
 SLICE_CHARS = 1_000_000
+# Matches up to this size are walked together.
+GREEDY_BYTES = 64
 # stands between matches given to the automaton: beyond every byte
 _GAP = "\u0100"
 # a character that is neither letter, number nor white space in any version
@@ -83,20 +86,24 @@ class Vocabulary:
         if any(bytes([b]) not in self.rank for b in range(256)):
             raise ValueError(f"{path}: not every byte is a token")
         self.size = [len(t) for t in self.token]
+        self.sizes = np.array(self.size, np.int32)
         # when a token is made (single bytes are there from the start) and of what
         self.made = [-1] * top
         self.left, self.right = [-1] * top, [-1] * top
         self.shorter = [-1] * top
+        # tokens that merging never makes: whole matches alone
+        self.unmade: set[bytes] = set()
         self.automaton = ahocorasick.Automaton()
         for token, rank in self.rank.items():
             if len(token) > 1:
                 parts = self._parts(token, rank)
                 if parts is None:
-                    continue  # merging never makes it: whole matches alone
+                    self.unmade.add(token)
+                    continue
                 self.left[rank], self.right[rank] = parts
                 self.made[rank] = rank
                 self.automaton.add_word(token.decode("latin-1"), rank)
-        self.byte = [self.rank[bytes([b])] for b in range(256)]
+        self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         self.automaton.make_automaton()
         for token, rank in self.rank.items():
             for n in range(len(token) - 1, 0, -1):
@@ -138,7 +145,7 @@ class Vocabulary:
             else:
                 until, from_left, b = made[b], False, self.left[b]
 
-    def _walk(self, longest: array, start: int, end: int) -> list[int]:
+    def _walk(self, longest: list[int], start: int, end: int) -> list[int]:
         ids: list[int] = []
         dead: set[int] = set()
         size, shorter, may_meet = self.size, self.shorter, self.may_meet
@@ -157,20 +164,62 @@ class Vocabulary:
                 t = ids.pop()
                 at -= size[t]
 
-    def encode_matches(self, matches: list[bytes]) -> list[list[int]]:
-        """Ids of byte strings, none of them empty."""
+    def _greedy(self, longest: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """The longest token at each place, from the start to the end of each
+        match: (ids, first of each match), and whether all neighbours may meet."""
+        at = starts.copy()
+        going = np.arange(len(starts))
+        who, ids = [], []
+        while len(going):
+            t = longest[at[going]]
+            who.append(going)
+            ids.append(t)
+            at[going] += self.sizes[t]
+            going = going[at[going] < ends[going]]
+        who, ids = np.concatenate(who), np.concatenate(ids)
+        order = np.argsort(who, kind="stable")
+        who, ids = who[order], ids[order]
+        inside = np.flatnonzero(who[1:] == who[:-1])
+        pairs = ids[inside].astype(np.int64) << 32 | ids[inside + 1]
+        pairs, which = np.unique(pairs, return_inverse=True)
+        meet = np.array([self.may_meet(p >> 32, p & 0xFFFFFFFF) for p in pairs.tolist()], bool)
+        good = np.ones(len(starts), bool)
+        good[who[inside[~meet[which]]]] = False
+        return ids, np.searchsorted(who, np.arange(len(starts) + 1)), good
+
+    def encode_matches(self, matches: list[bytes]) -> list[bytes]:
+        """Ids of byte strings, none of them empty, as native 32-bit integers.
+        Short ones take the first steps of their walks together; where the
+        longest tokens may all meet, that is the whole walk."""
+        if not matches:
+            return []
         text = _GAP.join([m.decode("latin-1") for m in matches])
         # single bytes first; in the automaton's order ends rise, so that the
-        # longest token of a place comes last
-        longest = array("i", map(self.byte.__getitem__, b"\0".join(matches)))
-        size = self.size
-        for end, t in self.automaton.iter(text):
-            longest[end + 1 - size[t]] = t
-        out, at = [], 0
-        for m in matches:
-            whole = self.rank.get(m)
-            out.append([whole] if whole is not None else self._walk(longest, at, at + len(m)))
-            at += len(m) + 1
+        # longest token of a place is the last one put there
+        longest = self.byte[np.frombuffer(b"\0".join(matches), np.uint8)]
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(text)), np.int32).reshape(-1, 2)
+        longest[found[:, 0] + 1 - self.sizes[found[:, 1]]] = found[:, 1]
+        lengths = np.array([len(m) for m in matches])
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        out: list = [None] * len(matches)
+        short = np.flatnonzero(lengths <= GREEDY_BYTES)
+        left = np.flatnonzero(lengths > GREEDY_BYTES).tolist()
+        if len(short):
+            ids, first, good = self._greedy(longest, starts[short], (starts + lengths)[short])
+            raw = ids.tobytes()
+            cuts = (4 * first).tolist()
+            for k, (i, fine) in enumerate(zip(short.tolist(), good.tolist())):
+                if fine:
+                    out[i] = raw[cuts[k]:cuts[k + 1]]
+                else:
+                    left.append(i)
+        at_places = longest.tolist() if left else []
+        for i in left:
+            out[i] = array("i", self._walk(at_places, int(starts[i]), int(starts[i] + lengths[i]))).tobytes()
+        if self.unmade:
+            for i, m in enumerate(matches):
+                if m in self.unmade:
+                    out[i] = array("i", [self.rank[m]]).tobytes()
         return out
 
 
@@ -223,8 +272,7 @@ class Encoder:
         self.memo = Memo(MEMO_MATCHES, MEMO_CHARS)
 
     def _make(self, matches: list[str]) -> list[bytes]:
-        ids = self.vocabulary.encode_matches([m.encode() for m in matches])
-        return [array("i", x).tobytes() for x in ids]
+        return self.vocabulary.encode_matches([m.encode() for m in matches])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as native 32-bit integers."""

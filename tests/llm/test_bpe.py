@@ -31,6 +31,10 @@ def ids(e, texts):
     return [np.frombuffer(x, np.int32).tolist() for x in e.encode(texts)]
 
 
+def matched(vocabulary, matches):
+    return [np.frombuffer(x, np.int32).tolist() for x in vocabulary.encode_matches(matches)]
+
+
 def merged(vocabulary, data):
     """Brute force: join the lowest-ranked neighbours until none join."""
     parts = [data[i:i + 1] for i in range(len(data))]
@@ -70,7 +74,7 @@ def test_any_bytes_equal_merging(values, alphabet):
     v = encoder(PATH, public_tokenizers.PATTERN).vocabulary
     data = bytes(values) if alphabet is None else \
         bytes(ord(alphabet[x % len(alphabet)]) for x in values)
-    assert v.encode_matches([data]) == [merged(v, data)]
+    assert matched(v, [data]) == [merged(v, data)]
 
 
 def test_long_matches(pair):
@@ -98,13 +102,17 @@ def test_dead_ends_and_equal_ranks(tmp_path_factory, text):
     v = test_dead_ends_and_equal_ranks.v
     want = merged(v, text.encode())
     whole = v.rank.get(text.encode())
-    assert v.encode_matches([text.encode()]) == [[whole] if whole is not None else want]
+    want = [[whole] if whole is not None else want]
+    assert matched(v, [text.encode()]) == want
+    assert matched(v, [text.encode(), b"x" * 100, text.encode() * 40])[0] == want[0]
+    long = text.encode() * 40  # beyond the matches that are walked together
+    assert matched(v, [long]) == [merged(v, long)]
 
 
 def test_tokens_that_merging_does_not_make(tmp_path):
     # "abc" is there, but neither "ab" nor "bc"
     v = Vocabulary(rank_file(tmp_path, [b"abc", b"cd"]))
-    assert v.encode_matches([b"abc", b"abcd", b"xabc"]) == [
+    assert matched(v, [b"abc", b"abcd", b"xabc"]) == [
         [256], [97, 98, 257], [120, 97, 98, 99]]
 
 
