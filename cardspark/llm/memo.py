@@ -10,11 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 
+class _Known(dict):
+    """Values that stay, and ``beside`` them those of one call."""
+
+    beside: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        return self.beside[key]
+
+
 class Memo:
     def __init__(self, bound: int, longest: int):
         self.bound, self.longest = bound, longest
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young, self.old = _Known(), _Known()
 
     def of(self, wanted: Iterable[str],
            make: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
@@ -22,7 +30,7 @@ class Memo:
         values of those not remembered. Keys over ``longest`` characters are not
         kept beyond this call."""
         if len(self.young) > self.bound:
-            self.young, self.old = {}, self.young
+            self.young, self.old = _Known(), self.young
         young, old = self.young, self.old
         missing = []
         for key in wanted - young.keys():
@@ -31,8 +39,7 @@ class Memo:
                 missing.append(key)
             else:
                 young[key] = value
-        missing.sort()
-        long_ones = {}
+        young.beside = {}
         for key, value in zip(missing, make(missing)):
-            (young if len(key) <= self.longest else long_ones)[key] = value
-        return {**young, **long_ones} if long_ones else young
+            (young if len(key) <= self.longest else young.beside)[key] = value
+        return young

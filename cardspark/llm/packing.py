@@ -27,26 +27,31 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from operator import neg
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardspark.llm.common import partitions_for, small_batches, tidied, written
+from cardspark.llm.memo import Memo
 
 WINDOW = 2048
 END_ID = 1
 SHARD_PIECES = 8192
-# Chunks of text whose ids a worker remembers (about 200 bytes each); beyond
-# this it keeps those of its last batch alone.
+# Chunks of text whose ids a worker remembers (about 200 bytes each): this many
+# young ones and as many old ones.
 CACHE_CHUNKS = 400_000
 # Longer chunks are not remembered.
 CACHE_CHARS = 40
+# Chunks that are encoded as one text.
+TOGETHER = 2000
 
 
 # White space other than the space and the line end.
 _RARE_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     map(chr, range(0x2000, 0x200B)))
 _LINE = "\x00"  # marks a chunk that a line end leads
+_LEADS = "\u0120\u010a"  # what byte-level vocabularies write for a space and a line end
 
 
 class _Ids:
@@ -64,12 +69,33 @@ class _Ids:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        self.memo = Memo(CACHE_CHUNKS, CACHE_CHARS)
+        vocabulary = self.tokenizer.get_vocab()
+        # ids whose first byte is a space or a line end
+        self.leads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.leads[[i for token, i in vocabulary.items() if token[0] in _LEADS]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e.ids)}I", *e.ids)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks, many at a time as one text: a chunk begins where a
+        token begins with a space or a line end."""
+        led = ["\n" + c[1:] if c[0] == _LINE else " " + c for c in chunks]
+        parts = [led[i:i + TOGETHER] for i in range(0, len(led), TOGETHER)]
+        out: list[bytes] = []
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast(
+                ["".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            at = (4 * np.append(np.flatnonzero(self.leads[ids]), len(ids))).tolist()
+            if len(at) == len(part) + 1 and at[0] == 0:
+                raw = ids.astype("<u4").tobytes()
+                out += [raw[x:y] for x, y in zip(at, at[1:])]
+            else:  # a tokenizer whose tokens do not show where chunks begin
+                out += self._encode(part)
+        return out
+
     def _is_odd(self, t: str) -> bool:
         return (t[:1] in " \n" or t[-1] in " \n" or "  " in t or "\n " in t or " \n" in t
                 or "\n\n" in t or _LINE in t or any(c in t for c in _RARE_SPACE)
@@ -88,20 +114,10 @@ class _Ids:
                 first, *chunks = t.replace("\n", " " + _LINE).split(" ")
                 cut.append((i, first, chunks))
                 wanted.update(chunks)
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache = {c: self.cache[c] for c in wanted.intersection(self.cache)}
-        found = self.cache
-        missing = sorted(wanted.difference(found))
-        ids = self._encode(["\n" + c[1:] if c[0] == _LINE else " " + c for c in missing])
-        long_ones: dict[str, bytes] = {}
-        for chunk, x in zip(missing, ids):
-            (found if len(chunk) <= CACHE_CHARS else long_ones)[chunk] = x
+        known = self.memo.of(wanted, self._chunks)
         firsts = self._encode([first for _, first, _ in cut])
         for (i, _, chunks), head in zip(cut, firsts):
-            if long_ones and not long_ones.keys().isdisjoint(chunks):
-                out[i] = head + b"".join([found[c] if c in found else long_ones[c] for c in chunks])
-            else:
-                out[i] = head + b"".join(map(found.__getitem__, chunks))
+            out[i] = head + b"".join(map(known.__getitem__, chunks))
         if rest:
             for i, x in zip(rest, self._encode([texts[i] for i in rest])):
                 out[i] = x
