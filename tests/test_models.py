@@ -56,6 +56,37 @@ def test_models_train_save_and_reload(spark, run):
         save_run(run, out)  # nothing is overwritten
 
 
+def test_a_later_session_loads_what_was_fitted(spark, run, monkeypatch):
+    def refuse(*a, **k):
+        raise AssertionError("fitted again")
+    monkeypatch.setattr(models.GBTClassifier, "fit", refuse)
+    monkeypatch.setattr(models.Pipeline, "fit", refuse)
+    monkeypatch.setattr(models, "smote", refuse)
+    again = ModelRun(spark, SF, n_trees=3)  # no memory of the first run but the folder
+    assert again.store.root == run.store.root
+    for name in models.FITTED:
+        a, b = ([tuple(r) for r in x.scores(name).orderBy("transaction_id").collect()]
+                for x in (run, again))
+        assert a == b
+    other = models.ModelStore(spark, SF, {"trees": 4})
+    assert other.root != run.store.root and other._done("gbt") is None
+
+
+def test_contributions_of_the_sample(spark, run, monkeypatch):
+    from cardspark.plans.contributions import contributions, node_table
+    monkeypatch.setattr(models, "_run", lambda spark, sf_dir: run)
+    rows = models.importance_contributions(spark, SF).collect()
+    assert {r["feature"] for r in rows} <= set(run.names) and rows[0]["mean_contribution"] > 0
+    sample = run.test.orderBy(*models._sample_order()).limit(models.SAMPLE_ROWS)
+    path = run.store.entry("gbt", lambda p: 1 / 0)
+    each = contributions(node_table(spark, path), sample, ["transaction_id"])
+    margin = run.gbt().transform(sample).select(
+        "transaction_id", models.vector_to_array("rawPrediction")[1].alias("margin"))
+    off = each.join(margin, "transaction_id").select(F.max(F.abs(
+        F.col("bias") + F.expr("aggregate(contributions, 0D, (a, c) -> a + c)") - F.col("margin"))))
+    assert off.first()[0] < 1e-9
+
+
 def test_permutation_importance(spark, run, monkeypatch):
     monkeypatch.setattr(models, "_run", lambda spark, sf_dir: run)
     rows = models.importance_permutation(spark, SF, top=4).collect()
