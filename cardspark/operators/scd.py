@@ -15,9 +15,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cardspark.functions.timeutil import ntz
 from cardspark.operators.keys import surrogate_keys
+from cardspark.sources.store import scratch_table
 
 HIGH_DATE = dt.datetime(9999, 12, 31)
 
@@ -119,13 +121,46 @@ def scd1_overwrite(dim: DataFrame, incoming: DataFrame, bk: str, key: str, type1
 def asof_lookup(facts: DataFrame, fact_bk: str, ts: str, dim: DataFrame, dim_bk: str,
                 key: str) -> DataFrame:
     """The version of ``dim`` whose [RowStartDate, RowEndDate) holds the
-    fact's time, matched on the business key (an equi-join on BK with a range
-    filter, so it hashes on BK; no range-join strategy is needed). Facts with
-    no matching version get -1."""
-    d = dim.filter(F.col(key) > 0).select(
-        F.col(dim_bk).alias("_bk"), F.col(key).alias("_key"),
-        F.col("RowStartDate").alias("_start"), F.col("RowEndDate").alias("_end"))
-    cond = ((facts[fact_bk] == d["_bk"]) & (facts[ts] >= d["_start"]) & (facts[ts] < d["_end"]))
-    j = facts.join(d, cond, "left")
-    return j.withColumn(key, F.coalesce(F.col("_key"), F.lit(-1).cast("long"))) \
-        .drop("_bk", "_key", "_start", "_end")
+    fact's time. Facts with no such version get -1.
+
+    Versions and facts are sorted as one table by business key and time, a
+    version before the facts of its moment, and every fact takes the last version
+    before it. The sort parts a busy key by time, so neither its versions nor its
+    facts meet in one task; what a partition carries into the next is its last
+    version, one row a partition. Versions of a key must not overlap (see
+    ``scd2_merge``): the last one to start is then the only one that can hold."""
+    version = F.struct(F.col("RowStartDate").alias("start"), F.col("RowEndDate").alias("end"),
+                       F.col(key).cast("long").alias("key"))
+    d = dim.filter((F.col(key) > 0) & F.col(dim_bk).isNotNull()).select(
+        F.col(dim_bk).alias("_bk"), F.col("RowStartDate").alias("_at"), F.lit(0).alias("_kind"),
+        version.alias("_version"))
+    names = facts.columns
+    f = facts.select(F.col(fact_bk).alias("_bk"), F.col(ts).alias("_at"), F.lit(1).alias("_kind"),
+                     F.struct(*[F.col(c) for c in names]).alias("_fact"))
+    both = d.unionByName(f, allowMissingColumns=True)
+    # facts of one moment are parted by a hash of the row
+    order = ["_bk", "_at", "_kind"]
+    ordered = scratch_table(both.orderBy(*order, F.xxhash64("_fact"))
+                            .withColumn("_pid", F.spark_partition_id()), "asof")
+    upto = Window.partitionBy("_pid", "_bk").orderBy("_at", "_kind") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    local = ordered.withColumn("_last", F.last("_version", ignorenulls=True).over(upto))
+    # per partition: its first key (asks), and its last key with the last version (gives)
+    gives = ordered.groupBy("_pid", "_bk").agg(
+        F.max("_version").alias("_carried")).groupBy("_pid").agg(
+        F.min("_bk").alias("_first"), F.max_by(F.struct("_bk", "_carried"), "_bk").alias("_end"))
+    ends = gives.select("_pid", F.col("_end._bk").alias("_bk"), F.col("_end._carried").alias("_carried"),
+                        F.lit(1).alias("_gives"))
+    asks = gives.select("_pid", F.col("_first").alias("_bk"),
+                        F.lit(None).cast(ends.schema["_carried"].dataType).alias("_carried"),
+                        F.lit(0).alias("_gives"))
+    # two rows a partition
+    before = Window.partitionBy("_bk").orderBy("_pid", "_gives").rowsBetween(Window.unboundedPreceding, 0)
+    carried = (asks.unionByName(ends)
+               .withColumn("_carried", F.last("_carried", ignorenulls=True).over(before))
+               .filter("_gives = 0 AND _carried IS NOT NULL AND _bk IS NOT NULL")
+               .select("_pid", "_bk", "_carried"))
+    found = local.filter("_kind = 1").join(F.broadcast(carried), ["_pid", "_bk"], "left") \
+        .withColumn("_last", F.coalesce("_last", "_carried"))
+    held = F.when(F.col("_at") < F.col("_last.end"), F.col("_last.key"))
+    return found.select("_fact.*", F.coalesce(held, F.lit(-1).cast("long")).alias(key))

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 import numpy as np
 
 from cardspark.operators.scd import asof_lookup, scd2_merge
@@ -65,6 +67,49 @@ def test_asof_lookup_picks_version(spark):
     assert [k for _, _, k in got] == [2, 4, -1]
 
 
+@pytest.mark.parametrize("versions", [10_000, 3])
+def test_asof_lookup_of_a_key_with_many_versions(spark, versions):
+    """One key holds nearly all versions and facts, over several partitions; some
+    of its moments and the keys around it have no version."""
+    from pyspark.sql import functions as F
+    day = dt.datetime(2000, 1, 1)
+    step = dt.timedelta(hours=60_000 // versions)
+    rows = [(k + 1, 7, day + k * step, day + (k + 1) * step) for k in range(versions) if k % 10 != 3]
+    rows += [(90_001, 5, day, day + 9 * step), (90_002, 9, day + step, dt.datetime(9999, 12, 31)),
+             (-1, 7, day, dt.datetime(9999, 12, 31))]
+    dim = spark.createDataFrame(rows, "K long, BK int, RowStartDate timestamp_ntz, RowEndDate timestamp_ntz")
+    rng = __import__("random").Random(8)
+    facts = [(i, rng.choice([7] * 30 + [5, 9, 4, None]),
+              rng.choice([None, day - step, day + rng.randrange(versions) * step,
+                          day + dt.timedelta(hours=rng.randrange(-500, 70_000))])) for i in range(6000)]
+    facts += [(10_000 + i, 7, day + step / 2) for i in range(500)]  # one moment
+    f = spark.createDataFrame(facts, "id long, BK int, ts timestamp_ntz")
+    out = asof_lookup(f, "BK", "ts", dim, "BK", "K")
+    got = {r["id"]: r["K"] for r in out.collect()}
+    import bisect
+    of = {}
+    for k, bk, start, end in rows:
+        if k > 0:
+            of.setdefault(bk, []).append((start, end, k))
+    for i, bk, ts in facts:
+        mine = sorted(of.get(bk, []))
+        at = bisect.bisect_right(mine, (ts, dt.datetime.max, 0)) - 1 if ts else -1
+        want = mine[at][2] if at >= 0 and ts < mine[at][1] else -1
+        assert got[i] == want, (i, bk, ts)
+    assert len(got) == len(facts)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert out.select(F.col("K")).count() == len(facts)
+
+
+def test_asof_lookup_of_nothing(spark):
+    dim = _merge(spark, _dim(spark), [(20, "y", 5)])
+    facts = spark.createDataFrame([], "BK int, ts timestamp_ntz")
+    assert asof_lookup(facts, "BK", "ts", dim, "BK", "K").count() == 0
+    facts = spark.createDataFrame([(20, dt.datetime(2020, 6, 1))], "BK int, ts timestamp_ntz")
+    assert [r["K"] for r in asof_lookup(facts, "BK", "ts", dim.limit(0), "BK", "K").collect()] == [-1]
+
+
 # an 8-row score table with ties
 LABELS = [1, 0, 1, 0, 0, 1, 0, 0]
 SCORES = [0.9, 0.9, 0.7, 0.6, 0.6, 0.3, 0.3, 0.1]
