@@ -158,7 +158,7 @@ u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) / (q.n * c.n) AS score
       FROM u q JOIN u c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5""")
 def op4_nearest(spark, sf_dir):
     """The 5 nearest vectors of every fiftieth (exact: factor 1)."""

@@ -8,13 +8,17 @@ query that is d away from the vantage point skips a side whose points it can
 only be further from than its worst neighbour so far, by the triangle
 inequality. ``factor`` scales that worst distance: 1 gives exact search, less
 prunes more and may miss neighbours. Queries go down the tree together, block by
-block, nearer side first.
+block, nearer side first. A second walk then collects all points that are no
+farther than the k-th, so that any number of ties is there to choose from.
 
 Every query is sent to every shard, in blocks of ``QUERY_BLOCK`` (the stated
-query set against all rows); a task holds one shard and one block. Each shard
-returns its best k of a query, and a window picks the k best of those.
+query set against all rows); a task holds one shard and one block, and builds
+its tree once. Each shard returns its best k of a query, and a window picks the
+k best of those.
 
-Scores are recomputed in double precision from the original vectors.
+Scores are recomputed in double precision from the original vectors; scores that
+agree to ``DECIMALS`` places are ties, as those of multiples of one vector must
+be whatever their last bits.
 
 Defined results: vectors that are null, zero, or hold a null or a non-finite
 component take no part, nor do rows without an id. Vectors are compared with
@@ -34,10 +38,14 @@ from pyspark.sql.window import Window
 from cardspark.llm.common import partitions_for, written
 
 SHARD_ROWS = 4096
-QUERY_BLOCK = 4096
+# Queries of a task, and of one walk down its tree
+QUERY_BLOCK = 65_536
+QUERY_SLICE = 512
 LEAF = 128
-SLACK = 1e-9  # distances that differ by less count as equal when pruning
-SPARE = 8  # points kept beyond k until scores are recomputed
+SLACK = 1e-7  # distances that differ by less count as equal when pruning
+TIE = 1e-12  # what rounding may change in a squared distance
+DECIMALS = 12  # scores that agree so far are ties
+SLAB = 50_000  # scores computed at a time
 
 
 class VPTree:
@@ -81,6 +89,26 @@ class VPTree:
             best[q] = np.take_along_axis(d, order, 1)
             which[q] = np.take_along_axis(cand, order, 1)
 
+        self._descend(queries, offer, lambda q: factor * best[q, -1] + SLACK)
+        return best, which
+
+    def within(self, queries: np.ndarray, limit: np.ndarray, factor: float = 1.0):
+        """(queries, rows): the points up to ``limit`` of each query away, in
+        the order of the queries."""
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+
+        def offer(q: np.ndarray, rows: np.ndarray, d: np.ndarray):
+            i, j = np.nonzero(d <= limit[q, None])
+            found.append((q[i], rows[j]))
+
+        self._descend(queries, offer, lambda q: factor * limit[q] + SLACK)
+        q, rows = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((rows, q))
+        return q[order], rows[order]
+
+    def _descend(self, queries: np.ndarray, offer, reach) -> None:
+        """All queries down the tree, nearer sides first; ``offer`` takes the
+        points met, ``reach`` says how far a query still looks."""
         def visit(node, q: np.ndarray):
             if not len(q):
                 return
@@ -88,19 +116,18 @@ class VPTree:
                 if len(node):
                     offer(q, node, distances(queries[q], self.unit[node]))
                 return
-            vantage, reach, gap, near, far = node
+            vantage, most, least, near, far = node
             d = distances(queries[q], self.unit[[vantage]])
             offer(q, np.array([vantage]), d)
             d = d[:, 0]
-            inside = d - reach <= gap - d
+            inside = d - most <= least - d
             visit(near, q[inside])
             visit(far, q[~inside])
-            worst = factor * best[q, -1] + SLACK
-            visit(far, q[inside & (gap - d <= worst)])
-            visit(near, q[~inside & (d - reach <= worst)])
+            worst = reach(q)
+            visit(far, q[inside & (least - d <= worst)])
+            visit(near, q[~inside & (d - most <= worst)])
 
         visit(self.root, np.arange(len(queries)))
-        return best, which
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -135,19 +162,30 @@ def _search_shard(k: int, factor: float):
             norm = np.linalg.norm(point, axis=1)
             q_norm = np.linalg.norm(q, axis=1)
             tree = VPTree(point / norm[:, None])
-            # an own vector and SPARE more, so that k others are among them
-            _, rows = tree.search(q / q_norm[:, None], k + 1 + SPARE, factor)
-            for i in range(len(q)):
-                r = rows[i][rows[i] >= 0]
-                score = (point[r] * q[i]).sum(axis=1) / (norm[r] * q_norm[i])
-                who = [ids[start[x]:min(end[x], start[x] + k + 1)] for x in r]
-                score = np.repeat(score, [len(w) for w in who])
-                who = np.concatenate(who) if who else np.zeros(0, np.int64)
-                other = who != q_ids[i]
-                who, score = who[other], score[other]
-                top = np.lexsort((who, -score))[:k]
-                out["query_id"].append(np.full(len(top), q_ids[i]))
-                out["vec_id"].append(who[top])
+            for a in range(0, len(q), QUERY_SLICE):
+                part, part_ids = q[a:a + QUERY_SLICE], q_ids[a:a + QUERY_SLICE]
+                unit = part / q_norm[a:a + QUERY_SLICE, None]
+                # the query's own vector may be one of k + 1
+                far = tree.search(unit, k + 1, factor)[0][:, -1]
+                # all that may tie with the last of them, in rounding too
+                limit = np.where(np.isfinite(far), np.sqrt(far ** 2 + TIE), np.inf)
+                who, rows = tree.within(unit, limit, factor)
+                # of equal vectors only the first ids can be asked for
+                times = np.minimum(end[rows] - start[rows], k + 1)
+                who, rows = np.repeat(who, times), np.repeat(rows, times)
+                place = np.arange(len(rows)) - np.repeat(np.cumsum(times) - times, times)
+                cand = ids[start[rows] + place]
+                other = cand != part_ids[who]
+                who, rows, cand = who[other], rows[other], cand[other]
+                score = np.concatenate([
+                    (point[rows[i:i + SLAB]] * part[who[i:i + SLAB]]).sum(axis=1)
+                    / (norm[rows[i:i + SLAB]] * q_norm[a + who[i:i + SLAB]])
+                    for i in range(0, len(rows), SLAB)] or [np.zeros(0)])
+                order = np.lexsort((cand, -np.round(score, DECIMALS), who))
+                who, cand, score = who[order], cand[order], score[order]
+                top = np.arange(len(who)) - np.searchsorted(who, who) < k
+                out["query_id"].append(part_ids[who[top]])
+                out["vec_id"].append(cand[top])
                 out["score"].append(score[top])
         return pa.table({
             "query_id": pa.array(np.concatenate(out["query_id"] or [[]]), pa.int64()),
@@ -186,6 +224,6 @@ def nearest(points: DataFrame, queries: DataFrame, k: int = 5, factor: float = 1
         .withColumn("shard", each(shards))
     found = p.groupBy(*key).cogroup(q.groupBy(*key)).applyInArrow(
         _search_shard(k, factor), "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.round("score", DECIMALS).desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -89,3 +89,28 @@ def test_empty(spark):
     assert nearest(p, p).count() == 0
     one = usable(frame(spark, [(50, [1.0, 2.0])]))
     assert nearest(one, one).count() == 0
+
+
+@pytest.mark.parametrize("shard_rows", [4096, 7])
+def test_many_vectors_at_one_cosine(spark, shard_rows):
+    rng = np.random.default_rng(4)
+    # multiples of one direction, not of equal last bits; and one-hot vectors
+    rows = [(961 + (17 * i) % 40, [float(x) for x in (0.1 + 0.37 * i) * np.array([1.0, 2.0, 3.0, 0.5])])
+            for i in range(40)]
+    rows += [(i, [float(j == i % 4) for j in range(4)]) for i in range(0, 60)]
+    rows += [(200 + i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(30, 4)))]
+    queries = {0, 1, 961, 980, 1000, 200}
+    got = run(spark, rows, queries, shard_rows=shard_rows)
+    want = brute(rows, queries)
+    assert {q: [i for _, i in s] for q, s in got.items()} == {q: [i for _, i in s] for q, s in want.items()}
+    assert [i for _, i in got[1000]] == [961, 962, 963, 964, 965]
+    assert [i for _, i in got[0]] == [4, 8, 12, 16, 20]
+
+
+def test_recall_below_factor_one(spark):
+    """What the relaxed search loses, on the test table."""
+    p = usable(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet"))
+    q = p.filter("vec_id % 50 = 0")
+    exact = {(r["query_id"], r["vec_id"]) for r in nearest(p, q).collect()}
+    part = {(r["query_id"], r["vec_id"]) for r in nearest(p, q, factor=0.9).collect()}
+    assert len(exact & part) >= 0.9 * len(exact)
