@@ -12,17 +12,22 @@ n(e,t) of them holding term t, f(t) documents holding t of the corpus of M,
 and PMI / IC is the share of the entity's information that the term discloses:
 1 for a term met nowhere else, far lower for common ones. Terms that disclose
 ``REMOVE`` or more are removed, from ``GENERALISE`` on they are replaced by a
-general label, at every place of the documents that mention the entity. A pair
-needs ``SUPPORT`` different documents: copies of one count in all numbers alike,
-and are no further evidence.
-
-Scale. Equal documents go on as one, and an entity with fewer than ``SUPPORT``
-different ones yields no pairs; others one for each term of each. Counting f(t) reads all
-texts again, but passes on only terms whose hash hits a bitmap of the candidate
-terms (2 ** ``BITMAP_BITS`` bits whatever the corpus; a fuller bitmap lets more
-terms through and changes no count). Pairs and counts meet in plain joins on
-pre-aggregated rows. Text goes through a shuffle only for documents with a
-mention, and only when redacted texts are asked for.
+general label, at every place of the documents that mention the entity.
+
+Evidence. A word met once, beside an address, is found nowhere else either, and
+says nothing. So a pair must also be sure: the lower end of a Wilson interval
+(``SURE`` standard errors) of the share of the term's occurrences that lie in
+documents of the entity must be above ``MOST``. Occurrences inside one document
+count, so an entity of a single document can have terms; copies of a document
+are no further evidence, and count alike in n(e), n(e,t) and f(t).
+
+Scale. Equal documents go on as one. Pairs that no f(t) could make sure are left
+out before they are shuffled, exactly those of too few occurrences. Counting
+f(t) reads all texts again, but passes on only terms whose hash hits a bitmap of
+the candidate terms (2 ** ``BITMAP_BITS`` bits whatever the corpus; a fuller
+bitmap lets more terms through and changes no count). Pairs and counts meet in
+plain joins on pre-aggregated rows. Text goes through a shuffle only for
+documents with a mention, and only when redacted texts are asked for.
 
 Defined results: null or empty text has no spans (the base_sha256 is that of
 the empty string); repeated rows each get their result; an empty table gives an
@@ -34,6 +39,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +53,8 @@ from cardspark.llm.common import (
     LOWER, small_batches, text_slices, tidied, word_bounds, word_hashes, written,
 )
 
-SUPPORT = 3
+SURE = 1.645  # standard errors: 95 % on one side
+MOST = 0.5
 GENERALISE = 0.85
 REMOVE = 0.95
 BITMAP_BITS = 20
@@ -132,6 +139,7 @@ def term_hashes(terms: list[str]) -> np.ndarray:
 
 _SPAN = "array<struct<start:int,end:int,kind:string>>"
 _AROUND = "array<struct<term:long,start:int,end:int>>"
+_COUNTS = "array<struct<term:long,n:int>>"
 
 
 def _hash64(s: str) -> int:
@@ -141,25 +149,27 @@ def _hash64(s: str) -> int:
 def detect(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all, if None) of every row with _pii_row (an id),
     _pii_spans (base spans) and, if there are any, _pii_entities (different
-    ones), _pii_around (all terms that touch no span) and _pii_context (a hash
-    of both). Must be written before it is read twice: the ids are
+    ones), _pii_around (all terms that touch no span), _pii_counts (how often each
+    of them occurs) and _pii_context (a hash of entities and terms). Must be written before it is read twice: the ids are
     those of the tasks."""
     keep = docs.columns if keep is None else keep
     docs = docs.select(*keep, F.col(text_col).alias("_pii_text"))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + \
         f", _pii_row long, _pii_spans {_SPAN}, _pii_entities array<long>," \
-        f" _pii_around {_AROUND}, _pii_context long"
+        f" _pii_around {_AROUND}, _pii_counts {_COUNTS}, _pii_context long"
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()),
                                     ("kind", pa.string())]))
     around_type = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()),
                                       ("end", pa.int32())]))
+    counts_type = pa.list_(pa.struct([("term", pa.int64()), ("n", pa.int32())]))
 
-    def mentions(text: str, spans) -> tuple[list[int], list[dict], int]:
+    def mentions(text: str, spans) -> tuple[list[int], list[dict], list[dict], int]:
         around = _around(text, spans)
         hashes = term_hashes([text[x:y] for x, y in around]).tolist() if around else []
         entities = sorted({_hash64(_entity(kind, text[a:b])) for a, b, kind in spans})
         return (entities, [{"term": h, "start": x, "end": y} for h, (x, y) in zip(hashes, around)],
+                [{"term": h, "n": n} for h, n in Counter(hashes).items()],
                 _hash64(repr((entities, hashes))))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,19 +177,20 @@ def detect(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
         for batch in batches:
             n = batch.num_rows
             texts = batch.column(len(keep))
-            spans, entities, around, context = [[]] * n, [[]] * n, [[]] * n, [None] * n
+            spans, entities, around, counts, context = [[]] * n, [[]] * n, [[]] * n, [[]] * n, [None] * n
             hits = pc.fill_null(pc.match_substring_regex(texts, "[0-9@]"), False)
             for i in np.flatnonzero(hits.to_numpy(zero_copy_only=False)):
                 text = texts[int(i)].as_py()
                 if found := base_spans(text):
                     spans[i] = [{"start": a, "end": b, "kind": k} for a, b, k in found]
-                    entities[i], around[i], context[i] = mentions(text, found)
+                    entities[i], around[i], counts[i], context[i] = mentions(text, found)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(len(keep))]
                 + [pa.array(range(row, row + n), pa.int64()), pa.array(spans, span_type),
                    pa.array(entities, pa.list_(pa.int64())), pa.array(around, around_type),
-                   pa.array(context, pa.int64())],
-                keep + ["_pii_row", "_pii_spans", "_pii_entities", "_pii_around", "_pii_context"])
+                   pa.array(counts, counts_type), pa.array(context, pa.int64())],
+                keep + ["_pii_row", "_pii_spans", "_pii_entities", "_pii_around", "_pii_counts",
+                        "_pii_context"])
             row += n
 
     small_batches(docs.sparkSession)
@@ -246,31 +257,42 @@ def term_counts(docs: DataFrame, candidates: DataFrame, text_col: str = "text")
             .groupBy("term").agg(F.sum("n").alias("n")))
 
 
-def disclosures(found: DataFrame, docs: DataFrame, text_col: str = "text",
-                support: int = SUPPORT, generalise: float = GENERALISE,
+def sure_share(hits: Column, share: Column, sure: float = SURE) -> Column:
+    """The lower end of the Wilson interval of ``share``, of which ``hits`` were
+    seen (so hits / share trials)."""
+    n, z2 = hits / share, sure * sure
+    return ((share + z2 / (2 * n) - sure * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n)))
+            / (1 + z2 / n))
+
+
+def disclosures(found: DataFrame, docs: DataFrame, text_col: str = "text", sure: float = SURE,
+                most: float = MOST, generalise: float = GENERALISE,
                 remove: float = REMOVE) -> DataFrame:
-    """(entity, term, disclosure, action): the pairs over the threshold."""
+    """(entity, term, disclosure, action): the pairs that are sure and over the
+    threshold."""
     contexts = (found.filter(F.size("_pii_entities") > 0).groupBy("_pii_context").agg(
-        F.first("_pii_entities").alias("entities"),
-        F.first(F.array_distinct(F.transform("_pii_around", lambda t: t["term"]))).alias("terms"),
+        F.first("_pii_entities").alias("entities"), F.first("_pii_counts").alias("terms"),
         F.count(F.lit(1)).alias("copies")))
     contexts = written(contexts, "pii_contexts")
     of_entity = (contexts.select(F.explode("entities").alias("entity"), "copies").groupBy("entity")
-                 .agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("contexts"))
-                 .filter(F.col("contexts") >= support).drop("contexts"))
+                 .agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("contexts")))
+    # a share of 1 is the surest that some hits can make
+    could = sure_share(F.col("hits").cast("double"), F.lit(1.0), sure) > most
     pairs = (contexts.select(F.explode("entities").alias("entity"), "copies", "terms")
-             .join(of_entity, "entity", "left_semi")
-             .select("entity", "copies", F.explode("terms").alias("term"))
+             .join(of_entity, "entity")
+             .select("entity", "copies", "contexts", F.explode("terms").alias("t"))
+             .select("entity", "copies", "contexts", "t.term", F.col("t.n").alias("hits"))
+             .filter((F.col("contexts") > 1) | could)
              .groupBy("entity", "term")
-             .agg(F.sum("copies").alias("n_et"), F.count(F.lit(1)).alias("different"))
-             .filter(F.col("different") >= support).drop("different"))
+             .agg(F.sum("copies").alias("n_et"), F.sum("hits").alias("hits")).filter(could))
     pairs = written(pairs, "pii_pairs")
     counts = written(term_counts(docs, pairs, text_col), "pii_terms")
     total = counts.filter("term IS NULL").agg(F.sum("n").alias("m")).first()["m"] or 1
     d = pairs.join(counts, "term").join(of_entity, "entity")
     ic = -F.log2(F.col("n_e") / F.lit(float(max(total, 2))))
-    share = F.when(ic > 0, 1 + F.log2(F.least(F.lit(1.0), F.col("n_et") / F.col("n"))) / ic)
-    return (d.select("entity", "term", share.alias("disclosure"))
+    share = F.least(F.lit(1.0), F.col("n_et") / F.col("n"))
+    return (d.filter(sure_share(F.col("hits").cast("double"), share, sure) > most)
+            .select("entity", "term", F.when(ic > 0, 1 + F.log2(share) / ic).alias("disclosure"))
             .filter(F.col("disclosure") >= generalise)
             .withColumn("action", F.when(F.col("disclosure") >= remove, "removed")
                         .otherwise("term")))
@@ -304,7 +326,7 @@ def sanitise(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
     rest = found.filter(F.size("_pii_entities") > 0).join(spans, "_pii_row", "left") \
         .withColumn("_pii_terms", F.coalesce("_pii_terms", none))
     out = [c for c in plain.columns if c not in ("_pii_row", "_pii_entities", "_pii_around",
-                                                   "_pii_context")]
+                                                   "_pii_counts", "_pii_context")]
     return plain.select(*out).unionByName(rest.select(*out))
 
 

@@ -2,9 +2,11 @@ import hashlib
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from cardspark.llm import pii
 from cardspark.llm.pii import base_spans, disclosures, detect, pii_report, redact
 from cardspark.llm.common import written
 
@@ -114,7 +116,7 @@ def test_disclosing_terms(spark):
     assert all(got[i] == "" for i in range(400))  # clean texts stay as they are
     assert got[3000].count(":") == 2  # one context is no evidence
     found = written(detect(d), "found")
-    share = {r["term"]: r["disclosure"] for r in disclosures(found, d, generalise=-9.0).collect()}
+    share = {r["term"]: r["disclosure"] for r in disclosures(found, d, most=0.0, generalise=-9.0).collect()}
     assert max(share.values()) <= 1.0 and min(share.values()) < 0.7
 
 
@@ -151,3 +153,56 @@ def test_disclosing_terms_anywhere_in_the_document(spark):
         assert [x for x in named if x.lower() == "zorblatt"] == ["Zorblatt", "zorblatt"]
         assert "common" not in named
     assert all(got[i] == "" for i in range(200))
+
+
+def disclosed(rows, sure, most, generalise, remove):
+    """Brute force: every entity against every term of its documents."""
+    import math
+    docs = []
+    for _, text in rows:
+        spans = brute(text)
+        inside = lambda m: any(a < m.end() and m.start() < b for a, b, _ in spans)
+        terms = [m[0].lower() for m in re.finditer("[0-9A-Za-z]+", text) if not inside(m)]
+        every = {m[0].lower() for m in re.finditer("[0-9A-Za-z]+", text)}
+        docs.append(({(k, text[a:b].lower()) for a, b, k in spans}, terms, every))
+    total = len(docs)
+    out = {}
+    for e in {e for es, _, _ in docs for e in es}:
+        mine = [(terms, frozenset(es)) for es, terms, _ in docs if e in es]
+        ic = -math.log2(len(mine) / total)
+        different = {(tuple(terms), es) for terms, es in mine}
+        for t in {t for terms, _ in mine for t in terms}:
+            p = min(1, sum(t in terms for terms, _ in mine) / sum(t in every for _, _, every in docs))
+            hits = sum(terms.count(t) for terms, _ in different)
+            n = hits / p
+            low = (p + sure ** 2 / (2 * n) - sure * math.sqrt(p * (1 - p) / n + sure ** 2 / (4 * n * n))) \
+                / (1 + sure ** 2 / n)
+            d = 1 + math.log2(p) / ic
+            if low > most and d >= generalise:
+                out[e, t] = round(d, 9), "removed" if d >= remove else "term"
+    return out
+
+
+@pytest.mark.parametrize("limits", [(1.645, 0.5, 0.85, 0.95), (1.0, 0.3, 0.2, 0.6)])
+def test_disclosure_equals_brute_force(spark, limits):
+    rng = random.Random(14)
+    names = [f"p{i}@corp.example" for i in range(6)] + ["10.1.2.3", "+1 (555) 555-0100"]
+    rows = []
+    for i in range(150):
+        words = [f"w{rng.randrange(25)}" for _ in range(12)]
+        for name in rng.sample(names, rng.choice([0, 0, 0, 1, 1, 2])):
+            near = f"x{names.index(name)}"
+            words += [name] + [near] * rng.randint(0, 3) + [f"y{rng.randrange(9)}"] * rng.randint(0, 2)
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+    rows += [(200 + i, f"one only{i} only{i} only{i} rare{i} a{i}@b.example w1") for i in range(3)]
+    rows += [(300 + i, r[1]) for i, r in enumerate(rows[:30])]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    found = written(detect(d), "found")
+    got = {(r["entity"], r["term"]): (round(r["disclosure"], 9), r["action"])
+           for r in disclosures(found, d, "text", *limits).collect()}
+    want = {}
+    for (kind_value, t), v in disclosed(rows, *limits).items():
+        want[pii._hash64(pii._entity(*kind_value)), int(pii.term_hashes([t])[0])] = v
+    assert got == want and want
+    assert any(t.startswith("only") for _, t in disclosed(rows, *limits))  # of a single document
