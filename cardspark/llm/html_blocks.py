@@ -80,27 +80,16 @@ def keys_of(attrs: str) -> tuple[str, ...]:
     return found
 
 
+# What follows a tag's name up to its end. A quote opens a value only behind an
+# equals sign, and only if it is closed; any other stands for itself.
+_TAG_REST = re.compile(r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+>""")
+
+
 def _tag_end(html: str, at: int) -> int:
     """Position of the > that ends the tag at ``at``, quotes respected; -1 if
     there is none."""
-    end = html.find(">", at)
-    while end >= 0:
-        part = html[at:end]
-        open_ = None
-        if '"' in part or "'" in part:
-            for ch in part:
-                if open_:
-                    if ch == open_:
-                        open_ = None
-                elif ch in "\"'":
-                    open_ = ch
-        if not open_:
-            return end
-        close = html.find(open_, end)
-        if close < 0 or close - at > 20_000:
-            return end  # a stray quote
-        end = html.find(">", close)
-    return -1
+    m = _TAG_REST.match(html, at)
+    return m.end() - 1 if m else -1
 
 
 class Block:

@@ -102,9 +102,9 @@ def block_features(title: str, blocks: list[Block]) -> list[list[int]]:
             x.append(f["comma"])
         if text.count(". ") >= 2:
             x.append(f["sentences"])
-        if any(c in text[:200] for c in "©®™|»"):
+        if any(c in text for c in "©®™|»"):
             x.append(f["sign"])
-        if 3 * sum(map(text[:200].count, "0123456789")) > min(size, 200):
+        if 3 * sum(map(text.count, "0123456789")) > size:
             x.append(f["digits"])
         if title and (text == title or (size > 10 and title.startswith(text))):
             x.append(f["title"])

@@ -123,3 +123,18 @@ def test_table_pages_by_their_article(spark, model):
 def test_pages_do_not_depend_on_words():
     assert labelled_pages(3, seed=2)[0][2] == labelled_pages(3, seed=2)[0][2]
     random.seed(0)
+
+
+@pytest.mark.parametrize("tag, rest", [
+    ('<a href="x>y">', ""), ("<a title='>' b=\">\">", ""), ("<p title=it's>", "that's > so"),
+    ('<p ">', "a"), ("<p a = \"b\"c>", "d"), ('<a href="' + "y" * 50_000 + '>">', "text"),
+    ('<p class="open>', "no quote follows"), ("<br/>", ""), ("<p =>", "x"), ('<p a="b">', '">')])
+def test_tags_end_where_they_end(tag, rest):
+    from cardspark.llm.html_blocks import _tag_end
+    assert _tag_end(tag + rest, 0) == len(tag) - 1
+
+
+def test_tags_without_an_end_are_linear():
+    from cardspark.llm.html_blocks import _tag_end
+    for t in ("<a " + "b='c' " * 100_000, "<a " + "=\"" * 100_001, "<a " + "'" * 300_000):
+        _tag_end(t, 0)
