@@ -242,18 +242,22 @@ def lookup(index: DataFrame, urls: DataFrame) -> DataFrame:
     the one column of ``urls``."""
     directory = index.sparkSession.sparkContext.broadcast(Directory(index))
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, blocks = [], []
+            keys = []
             for url in batch.column(0).to_pylist():
                 if url is not None:
                     url = url.replace("\r", "%0D").replace("\n", "%0A")
-                key = url_key(url).replace("\t", "%09")
-                for b in directory.value.blocks(key):
-                    keys.append(key)
-                    blocks.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(keys, pa.string())],
-                                             ["block", "key"])
+                keys.append(url_key(url).replace("\t", "%09"))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string())], ["key"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(b, key) for key in batch.column(0).to_pylist()
+                     for b in directory.value.blocks(key)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in found], pa.int64()),
+                 pa.array([key for _, key in found], pa.string())], ["block", "key"])
 
     def search(requests: pa.Table, block: pa.Table) -> pa.Table:
         rows = []
@@ -266,7 +270,9 @@ def lookup(index: DataFrame, urls: DataFrame) -> DataFrame:
             ("key", "page_id", "file", "offset", "length"), cols, types)})
 
     small_batches(index.sparkSession)
-    requests = urls.mapInArrow(find, "block long, key string").distinct()
+    # each key once, before it is sent to the blocks that it fills
+    keys = urls.mapInArrow(keys_of, "key string").distinct()
+    requests = keys.mapInArrow(find, "block long, key string")
     return requests.groupBy("block").cogroup(index.select("block", "data").groupBy("block")) \
         .applyInArrow(search, "key string, page_id long, file string, offset long, length long")
 

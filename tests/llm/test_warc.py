@@ -102,3 +102,24 @@ def test_url_keys():
     assert url_key("https://u:p@x.org:8080") == "org,x)/"
     assert url_key(None) == "-" and url_key("plain") == "plain"
     assert url_key("//h.x/p#frag") == "x,h)/p"
+
+
+def test_a_url_met_often_asks_for_its_blocks_once(spark, tmp_path, monkeypatch):
+    from cardspark.llm import warc
+    monkeypatch.setattr(warc, "BLOCK_LINES", 30)
+    n = 10_000
+    pages = spark.range(n).selectExpr("id AS page_id", "IF(id % 10 = 0, NULL, 'https://hot.example/x') AS url",
+                                      "concat('<p>', CAST(id % 7 AS STRING)) AS html")
+    path = str(tmp_path / "w")
+    warc.write_archives(pages, path)
+    index = warc.build_index(warc.captures(spark, path))
+    asked = []
+    real = warc.Directory.blocks
+    monkeypatch.setattr(warc.Directory, "blocks", lambda self, key: asked.append(key) or real(self, key))
+    found = warc.lookup(index, pages.select("url"))
+    assert found.count() == n and found.select("file", "offset").distinct().count() == n
+    directory = warc.Directory(index)
+    requests = sum(len(real(directory, k)) for k in ("-", warc.url_key("https://hot.example/x")))
+    assert requests <= index.count() + 1
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate [key") > plan.index("find(")  # distinct keys feed the directory
