@@ -8,7 +8,7 @@ from __future__ import annotations
 
 FIXTURE_CTES = {
     "users": """
-SELECT CAST(c_custkey AS INT) AS id,
+SELECT CAST(c_custkey AS BIGINT) AS id,
        CAST(18 + (c_custkey * 31) % 70 AS INT) AS current_age,
        CAST(60 + c_custkey % 11 AS INT) AS retirement_age,
        CAST(2024 - (18 + (c_custkey * 31) % 70) AS INT) AS birth_year,
@@ -24,8 +24,8 @@ SELECT CAST(c_custkey AS INT) AS id,
        CAST(1 + c_custkey % 9 AS INT) AS num_credit_cards
 FROM customer""",
     "cards": """
-SELECT CAST(o_orderkey AS INT) AS id,
-       CAST(o_custkey AS INT) AS client_id,
+SELECT CAST(o_orderkey AS BIGINT) AS id,
+       CAST(o_custkey AS BIGINT) AS client_id,
        CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'Amex' WHEN '2' THEN 'Discover'
             WHEN '3' THEN 'Mastercard' ELSE 'Visa' END AS card_brand,
        CASE o_orderstatus WHEN 'O' THEN 'Credit' WHEN 'F' THEN 'Debit' ELSE 'Debit (Prepaid)' END AS card_type,
@@ -39,7 +39,7 @@ SELECT CAST(o_orderkey AS INT) AS id,
        CAST(1990 + o_orderkey % 9 AS INT) AS year_pin_last_changed
 FROM orders""",
     "mcc_codes": """
-SELECT CAST(5000 + p_partkey AS INT) AS mcc_id, concat(p_type, '/', p_name) AS description
+SELECT CAST(5000 + p_partkey AS BIGINT) AS mcc_id, concat(p_type, '/', p_name) AS description
 FROM part""",
     "txn_base": """
 SELECT l.*, o.o_custkey,
@@ -50,8 +50,8 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "transactions": """
 SELECT l_orderkey * 1000 + l_linenumber * 100 + rn AS id,
        l_shipdate + ((l_partkey * 7919) % 86400) * INTERVAL '1' SECOND AS date,
-       CAST(o_custkey AS INT) AS client_id,
-       CAST(CASE WHEN l_partkey % 199 = 0 THEN -1 - l_orderkey ELSE l_orderkey END AS INT) AS card_id,
+       CAST(o_custkey AS BIGINT) AS client_id,
+       CAST(CASE WHEN l_partkey % 199 = 0 THEN -1 - l_orderkey ELSE l_orderkey END AS BIGINT) AS card_id,
        CAST(CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN -l_extendedprice
                  WHEN l_quantity = 50 AND l_linenumber = 2 THEN 0
                  ELSE l_extendedprice END AS DECIMAL(10,2)) AS amount,
@@ -60,11 +60,11 @@ SELECT l_orderkey * 1000 + l_linenumber * 100 + rn AS id,
             WHEN l_linenumber % 3 = 1 THEN 'Swipe Transaction'
             WHEN l_orderkey % 11 = 0 THEN 'Online Order'
             ELSE 'Online Transaction' END AS use_chip,
-       CAST(CASE WHEN (l_orderkey + l_partkey) % 83 <> 0 THEN l_suppkey END AS INT) AS merchant_id,
+       CAST(CASE WHEN (l_orderkey + l_partkey) % 83 <> 0 THEN l_suppkey END AS BIGINT) AS merchant_id,
        CASE WHEN l_linenumber % 3 = 2 THEN 'ONLINE' ELSE concat('City', CAST(l_suppkey % 40 AS VARCHAR(9))) END AS merchant_city,
        CASE WHEN l_linenumber % 3 = 2 THEN CASE WHEN l_orderkey % 7 = 0 THEN '' END ELSE concat('S', CAST(l_suppkey % 25 AS VARCHAR(9))) END AS merchant_state,
        CASE WHEN l_linenumber % 3 = 2 THEN CASE WHEN l_orderkey % 5 = 0 THEN '' END ELSE CAST(10000 + l_suppkey AS VARCHAR(9)) END AS zip,
-       CAST(CASE WHEN l_partkey % 110 = 109 THEN 1000 + l_partkey % 10 ELSE 5000 + l_partkey END AS INT) AS mcc,
+       CAST(CASE WHEN l_partkey % 110 = 109 THEN 1000 + l_partkey % 10 ELSE 5000 + l_partkey END AS BIGINT) AS mcc,
        CASE (l_orderkey * 7 + l_linenumber * 13 + l_partkey) % 59
             WHEN 0 THEN 'Insufficient Balance'
             WHEN 1 THEN CASE WHEN l_partkey % 3 = 0 THEN 'Bad PIN,Insufficient Balance'

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-# S3: staged source schemas (the reference's staging DDL, with Spark types).
+# S3: staged source schemas. Keys are long: order keys pass 2 ** 31 below a
+# terabyte of source data.
 USERS_SCHEMA = T.StructType([
-    T.StructField("id", T.IntegerType(), False),
+    T.StructField("id", T.LongType(), False),
     T.StructField("current_age", T.IntegerType()),
     T.StructField("retirement_age", T.IntegerType()),
     T.StructField("birth_year", T.IntegerType()),
@@ -33,8 +34,8 @@ USERS_SCHEMA = T.StructType([
 ])
 
 CARDS_SCHEMA = T.StructType([
-    T.StructField("id", T.IntegerType(), False),
-    T.StructField("client_id", T.IntegerType(), False),
+    T.StructField("id", T.LongType(), False),
+    T.StructField("client_id", T.LongType(), False),
     T.StructField("card_brand", T.StringType()),
     T.StructField("card_type", T.StringType()),
     T.StructField("card_number", T.StringType()),
@@ -50,20 +51,20 @@ CARDS_SCHEMA = T.StructType([
 TRANSACTIONS_SCHEMA = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("date", T.TimestampNTZType()),
-    T.StructField("client_id", T.IntegerType()),
-    T.StructField("card_id", T.IntegerType(), False),
+    T.StructField("client_id", T.LongType()),
+    T.StructField("card_id", T.LongType(), False),
     T.StructField("amount", T.DecimalType(10, 2)),
     T.StructField("use_chip", T.StringType()),
-    T.StructField("merchant_id", T.IntegerType()),
+    T.StructField("merchant_id", T.LongType()),
     T.StructField("merchant_city", T.StringType()),
     T.StructField("merchant_state", T.StringType()),
     T.StructField("zip", T.StringType()),
-    T.StructField("mcc", T.IntegerType(), False),
+    T.StructField("mcc", T.LongType(), False),
     T.StructField("errors", T.StringType()),
 ])
 
 MCC_SCHEMA = T.StructType([
-    T.StructField("mcc_id", T.IntegerType(), False),
+    T.StructField("mcc_id", T.LongType(), False),
     T.StructField("description", T.StringType()),
 ])
 
@@ -88,7 +89,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey").cast("long")
     age = 18 + _mod(k * 31, 70)
     return raw(spark, sf_dir, "customer").select(
-        k.cast("int").alias("id"),
+        k.alias("id"),
         age.cast("int").alias("current_age"),
         (60 + _mod(k, 11)).cast("int").alias("retirement_age"),
         (2024 - age).cast("int").alias("birth_year"),
@@ -125,8 +126,8 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey").cast("long")
     prio = F.substring("o_orderpriority", 1, 1)
     return raw(spark, sf_dir, "orders").select(
-        k.cast("int").alias("id"),
-        F.col("o_custkey").cast("int").alias("client_id"),
+        k.alias("id"),
+        F.col("o_custkey").cast("long").alias("client_id"),
         F.when(prio == "1", "Amex").when(prio == "2", "Discover")
          .when(prio == "3", "Mastercard").otherwise("Visa").alias("card_brand"),
         F.when(F.col("o_orderstatus") == "O", "Credit")
@@ -147,7 +148,7 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mcc_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (raw(spark, sf_dir, "part")
-            .select((5000 + F.col("p_partkey")).cast("int").alias("mcc_id"),
+            .select((5000 + F.col("p_partkey").cast("long")).alias("mcc_id"),
                     F.concat(F.col("p_type"), F.lit("/"), F.col("p_name")).alias("description")))
 
 
@@ -179,8 +180,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_shipdate").cast("timestamp_ntz")
          + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), _mod(pk * 7919, 86400).cast("int")))
         .alias("date"),
-        F.col("o_custkey").cast("int").alias("client_id"),
-        F.when(_mod(pk, 199) == 0, -1 - ok).otherwise(ok).cast("int").alias("card_id"),
+        F.col("o_custkey").cast("long").alias("client_id"),
+        F.when(_mod(pk, 199) == 0, -1 - ok).otherwise(ok).alias("card_id"),
         F.when((F.col("l_returnflag") == "R") & (ln == 1), -F.col("l_extendedprice"))
          .when((F.col("l_quantity") == 50) & (ln == 2), F.lit(0.0))
          .otherwise(F.col("l_extendedprice")).cast("decimal(10,2)").alias("amount"),
@@ -188,7 +189,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(_mod(ln, 3) == 0, "Chip Transaction").when(_mod(ln, 3) == 1, "Swipe Transaction")
          .when(_mod(ok, 11) == 0, "Online Order").otherwise("Online Transaction")
          .alias("use_chip"),
-        F.when(_mod(ok + pk, 83) != 0, sk).cast("int").alias("merchant_id"),
+        F.when(_mod(ok + pk, 83) != 0, sk).alias("merchant_id"),
         F.when(online, "ONLINE").otherwise(F.concat(F.lit("City"), _mod(sk, 40).cast("string")))
          .alias("merchant_city"),
         F.when(online, F.when(_mod(ok, 7) == 0, ""))
@@ -197,7 +198,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("zip"),
         # every 110th part is billed under a code that no part has
         F.when(_mod(pk, 110) == 109, 1000 + _mod(pk, 10)).otherwise(5000 + pk)
-         .cast("int").alias("mcc"),
+         .alias("mcc"),
         F.when(err_sel == 0, "Insufficient Balance")
          .when(err_sel == 1,
                F.when(_mod(pk, 3) == 0, "Bad PIN,Insufficient Balance")

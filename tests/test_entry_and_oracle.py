@@ -71,3 +71,29 @@ def test_large_input_paths_match_the_same_oracle(spark, con, name, monkeypatch):
     monkeypatch.setattr(warehouse.Warehouse, "_cache", {})
     monkeypatch.setattr(metrics, "_CURVES", {})
     test_query_matches_oracle(spark, con, name)
+
+
+@pytest.fixture(scope="module")
+def wide_keys(spark, tmp_path_factory):
+    """The smallest tables with every key moved beyond 2 ** 31."""
+    from pyspark.sql import functions as F
+    far = 3_000_000_000
+    root = str(tmp_path_factory.mktemp("wide"))
+    keys = {"customer": ["c_custkey"], "orders": ["o_orderkey", "o_custkey"], "part": ["p_partkey"],
+            "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"]}
+    for t, cols in keys.items():
+        d = spark.read.parquet(f"{SF}/{t}.parquet")
+        d.withColumns({c: F.col(c).cast("long") + far for c in cols}).write.parquet(f"{root}/{t}.parquet")
+    c = duckdb.connect()
+    for t in keys:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{root}/{t}.parquet/*.parquet')")
+    return root, c
+
+
+@pytest.mark.parametrize("name", ["txn_with_mcc", "top_spenders_month", "top_spenders_month_fanout",
+                                  "fanout_proof", "spend_direct_vs_indirect", "fact_transaction",
+                                  "fact_asof_scd2", "velocity_windows", "utilization_30d"])
+def test_keys_beyond_an_int(spark, wide_keys, name, monkeypatch):
+    root, c = wide_keys
+    monkeypatch.setattr(sys.modules[__name__], "SF", root)
+    test_query_matches_oracle(spark, c, name)
