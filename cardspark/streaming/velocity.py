@@ -1,9 +1,12 @@
-"""Card velocity on a stream — transactions per card in sliding one-hour
-windows every five minutes, with late rows dropped by a watermark.
+"""Card velocity — transactions per card in sliding one-hour windows every
+five minutes, on a stream with late rows dropped by a watermark, and in batch.
 
-The same aggregation is available in batch (``velocity_windows``) over the
-whole transactions table; on a stream it runs incrementally with state kept
-per (window, card) and evicted once the watermark passes the window end.
+Rows are counted once, per card and five-minute pane; windows are then made of
+pane counts. In batch a pane goes to the two hours whose windows can hold it and
+one aggregate per hour sums all twelve windows that begin there, so no row is
+copied per window and the shuffle carries two rows a pane. On a stream the pane
+counts, once final, feed a second windowed aggregate; state is kept per (pane,
+card) and (window, card) and evicted as the watermark passes.
 """
 
 from __future__ import annotations
@@ -15,20 +18,42 @@ from cardspark.plans.registry import register
 from cardspark.session import ensure_checkpoint_dir
 from cardspark.sources.tables import TRANSACTIONS_SCHEMA, Sources
 
-WINDOW = "1 hour"
-SLIDE = "5 minutes"
+PANES = 12  # of a window
+PANE_SECONDS = 300
+WINDOW = f"{PANES * PANE_SECONDS} seconds"
+SLIDE = f"{PANE_SECONDS} seconds"
 WATERMARK = "1 hour"
 
 
-def velocity_windows(txns: DataFrame, window: str = WINDOW, slide: str = SLIDE,
-                     time_col: str = "date") -> DataFrame:
+def velocity_windows(txns: DataFrame, time_col: str = "date") -> DataFrame:
     """Count of transactions per card in each sliding window containing them;
-    window bounds are wall-clock (timestamp_ntz) like the transaction time."""
-    w = F.window(F.col(time_col), window, slide)
-    return (txns.groupBy(w.alias("w"), "card_id").agg(F.count(F.lit(1)).alias("n_txn"))
-                .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-                        "card_id", "n_txn"))
+    window bounds are wall-clock (timestamp_ntz) like the transaction time. A
+    row without a time is in no window."""
+    pane = F.floor(F.unix_seconds(F.col(time_col).cast("timestamp")) / PANE_SECONDS)
+    panes = (txns.filter(F.col(time_col).isNotNull()).groupBy("card_id", pane.alias("pane"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    block = F.floor(F.col("pane") / PANES)
+    at = F.col("pane") - PANES * F.col("block")
+    sums = [F.sum(F.when(at.between(i, i + PANES - 1), F.col("n")).otherwise(0))
+            for i in range(PANES)]
+    blocks = (panes.withColumn("block", F.explode(F.array(block, block - 1)))
+              .groupBy("card_id", "block").agg(F.array(*sums).alias("sums")))
+    windows = blocks.select("card_id", "block", F.posexplode("sums").alias("i", "n_txn")) \
+        .filter(F.col("n_txn") > 0)
+    start = (PANES * F.col("block") + F.col("i")) * PANE_SECONDS
+    return windows.select(F.timestamp_seconds(start).cast("timestamp_ntz").alias("window_start"),
+                          F.timestamp_seconds(start + PANES * PANE_SECONDS).cast("timestamp_ntz")
+                          .alias("window_end"), "card_id", "n_txn")
+
+
+def velocity_stream(txns: DataFrame, time_col: str) -> DataFrame:
+    """The same on a stream with a watermark on ``time_col``."""
+    panes = (txns.groupBy(F.window(time_col, SLIDE).alias("pane"), "card_id")
+             .agg(F.count(F.lit(1)).alias("n")))
+    windows = (panes.groupBy(F.window(F.window_time("pane"), WINDOW, SLIDE).alias("w"), "card_id")
+               .agg(F.sum("n").alias("n_txn")))
+    return windows.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                          F.col("w.end").cast("timestamp_ntz").alias("window_end"), "card_id", "n_txn")
 
 
 def start_velocity_stream(spark: SparkSession, source_dir: str, sink, name: str = "velocity",
@@ -45,7 +70,7 @@ def start_velocity_stream(spark: SparkSession, source_dir: str, sink, name: str
     stream = (spark.readStream.schema(TRANSACTIONS_SCHEMA).parquet(source_dir)
                    .withColumn("event_time", F.col("date").cast("timestamp"))
                    .withWatermark("event_time", watermark))
-    agg = velocity_windows(stream, time_col="event_time")
+    agg = velocity_stream(stream, "event_time")
     ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     writer = (agg.writeStream.outputMode("append").foreachBatch(sink)
                  .option("checkpointLocation", ckpt))

@@ -40,3 +40,26 @@ def test_stream_matches_batch_and_drops_late_rows(spark):
     want = sorted(tuple(r) for r in batch.collect())
     got = sorted(tuple(r) for r in out if r["window_end"] <= t0 + dt.timedelta(hours=3))
     assert got == want  # the late row at 10:01 changed nothing
+
+
+def test_windows_of_panes_equal_windows_of_rows(spark):
+    import random
+    rng = random.Random(3)
+    t0 = dt.datetime(1969, 12, 31, 21, 0)  # before and after the epoch
+    items = [(t0 + dt.timedelta(seconds=rng.randrange(6 * 3600)), rng.choice([1, 2, 2, None]))
+             for _ in range(400)] + [(None, 1)]
+    rows = spark.createDataFrame([(ts, c) for ts, c in items], "date timestamp_ntz, card_id long")
+    want = {}
+    for ts, c in items:
+        if ts is None:
+            continue
+        pane = dt.datetime(1960, 1, 1) + (ts - dt.datetime(1960, 1, 1)) // dt.timedelta(minutes=5) * dt.timedelta(minutes=5)
+        for i in range(12):
+            k = (pane - i * dt.timedelta(minutes=5), c)
+            want[k] = want.get(k, 0) + 1
+    out = velocity_windows(rows)
+    got = {(r["window_start"], r["card_id"]): r["n_txn"] for r in out.collect()}
+    assert got == want
+    assert all(r["window_end"] - r["window_start"] == dt.timedelta(hours=1) for r in out.collect())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan  # no row is copied into its windows
