@@ -39,7 +39,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -160,35 +159,50 @@ def detect(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
         f" _pii_around {_AROUND}, _pii_counts {_COUNTS}, _pii_context long"
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()),
                                     ("kind", pa.string())]))
-    around_type = pa.list_(pa.struct([("term", pa.int64()), ("start", pa.int32()),
-                                      ("end", pa.int32())]))
-    counts_type = pa.list_(pa.struct([("term", pa.int64()), ("n", pa.int32())]))
 
-    def mentions(text: str, spans) -> tuple[list[int], list[dict], list[dict], int]:
-        around = _around(text, spans)
-        hashes = term_hashes([text[x:y] for x, y in around]).tolist() if around else []
+    def mentions(text: str, spans) -> tuple[list[int], np.ndarray, np.ndarray, int]:
+        around = np.array(_around(text, spans), np.int32).reshape(-1, 2)
+        hashes = term_hashes([text[x:y] for x, y in around]) if len(around) else np.zeros(0, np.int64)
         entities = sorted({_hash64(_entity(kind, text[a:b])) for a, b, kind in spans})
-        return (entities, [{"term": h, "start": x, "end": y} for h, (x, y) in zip(hashes, around)],
-                [{"term": h, "n": n} for h, n in Counter(hashes).items()],
-                _hash64(repr((entities, hashes))))
+        return entities, around, hashes, _hash64(repr((entities, hashes.tolist())))
+
+    def structs(sizes: list[int], **columns: np.ndarray) -> pa.Array:
+        """One list of structs a row, from the columns of all rows."""
+        return pa.ListArray.from_arrays(
+            pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)),
+            pa.StructArray.from_arrays([pa.array(c) for c in columns.values()], list(columns)))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             n = batch.num_rows
             texts = batch.column(len(keep))
-            spans, entities, around, counts, context = [[]] * n, [[]] * n, [[]] * n, [[]] * n, [None] * n
+            spans, entities, context = [[]] * n, [[]] * n, [None] * n
+            # terms by row: places and hashes, and how often each hash occurs
+            n_around, n_counts = [0] * n, [0] * n
+            places, hashes = [np.zeros((0, 2), np.int32)], [np.zeros(0, np.int64)]
+            terms, often = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             hits = pc.fill_null(pc.match_substring_regex(texts, "[0-9@]"), False)
             for i in np.flatnonzero(hits.to_numpy(zero_copy_only=False)):
                 text = texts[int(i)].as_py()
                 if found := base_spans(text):
                     spans[i] = [{"start": a, "end": b, "kind": k} for a, b, k in found]
-                    entities[i], around[i], counts[i], context[i] = mentions(text, found)
+                    entities[i], around, h, context[i] = mentions(text, found)
+                    t, c = np.unique(h, return_counts=True)
+                    n_around[i], n_counts[i] = len(h), len(t)
+                    places.append(around)
+                    hashes.append(h)
+                    terms.append(t)
+                    often.append(c.astype(np.int32))
+            at = np.concatenate(places)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(len(keep))]
                 + [pa.array(range(row, row + n), pa.int64()), pa.array(spans, span_type),
-                   pa.array(entities, pa.list_(pa.int64())), pa.array(around, around_type),
-                   pa.array(counts, counts_type), pa.array(context, pa.int64())],
+                   pa.array(entities, pa.list_(pa.int64())),
+                   structs(n_around, term=np.concatenate(hashes), start=at[:, 0].copy(),
+                           end=at[:, 1].copy()),
+                   structs(n_counts, term=np.concatenate(terms), n=np.concatenate(often)),
+                   pa.array(context, pa.int64())],
                 keep + ["_pii_row", "_pii_spans", "_pii_entities", "_pii_around", "_pii_counts",
                         "_pii_context"])
             row += n
