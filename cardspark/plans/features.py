@@ -195,36 +195,58 @@ def text_with_state(flat: DataFrame, keep: list | None = None,
              .withColumn("state_grp", F.coalesce("state_grp", F.lit("Other"))))
 
 
-def _one_hot_sql() -> str:
-    bool_cols = {"has_chip", "is_online", "is_online_entry", "is_weekend"}
-
-    def txt(c):
-        if c in bool_cols:
-            return f"CASE WHEN {c} THEN 'True' WHEN NOT {c} THEN 'False' ELSE 'None' END"
-        if c == "txn_weekday":
-            return f"COALESCE(CAST(CAST({c} AS BIGINT) AS VARCHAR), 'None')"
-        return f"COALESCE(CAST({c} AS VARCHAR), 'None')"
-    cats = CATEGORICAL_COLS + TIME_CATEGORICAL_COLS
-    t_cols = ", ".join(f"{txt(c)} AS {c}" for c in cats)
-    pairs = "\nUNION ALL\n".join(
-        f"SELECT DISTINCT {i} AS col_order, '{c}' AS column_name, {c} AS level FROM t"
-        for i, c in enumerate(ALL_CATEGORICAL))
-    base = len(ALL_NUMERIC) + len(FREQ_ENCODE_COLS)
-    return f"""
+def _text_sql(c: str) -> str:
+    if c in {"has_chip", "is_online", "is_online_entry", "is_weekend"}:
+        return f"CASE WHEN {c} THEN 'True' WHEN NOT {c} THEN 'False' ELSE 'None' END"
+    if c == "txn_weekday":
+        return f"COALESCE(CAST(CAST({c} AS BIGINT) AS VARCHAR), 'None')"
+    return f"COALESCE(CAST({c} AS VARCHAR), 'None')"
+
+
+_T_COLS = ", ".join(f"{_text_sql(c)} AS {c}" for c in CATEGORICAL_COLS + TIME_CATEGORICAL_COLS)
+# flat rows with time features, and their categorical columns as text
+_TEXT_CTES = f"""
 WITH tf AS ({TIME_SQL}), flat0 AS ({FLAT_SQL}),
-flat AS (SELECT flat0.*, tf.txn_hour, tf.txn_weekday, tf.is_night FROM flat0
+flat AS (SELECT flat0.*, tf.txn_hour, tf.txn_weekday, tf.is_night, tf.txn_per_card_day FROM flat0
          LEFT JOIN tf ON tf.transaction_id = flat0.transaction_id),
 c AS (SELECT COALESCE(state, 'None') AS state, COUNT(*) AS n FROM flat GROUP BY 1),
 st AS (SELECT state, CASE WHEN row_number() OVER (ORDER BY n DESC, state) <= {STATE_TOP_N}
                           THEN state ELSE 'Other' END AS state_grp FROM c),
-t AS (SELECT {t_cols}, st.state_grp FROM flat LEFT JOIN st ON st.state = COALESCE(flat.state, 'None')),
+t AS (SELECT transaction_id, {_T_COLS}, st.state_grp
+      FROM flat LEFT JOIN st ON st.state = COALESCE(flat.state, 'None'))"""
+_NAME_SQL = "replace(replace(replace(column_name || '_' || level, '[', '('), ']', ')'), '<', 'lt')"
+
+
+def _one_hot_sql() -> str:
+    pairs = "\nUNION ALL\n".join(
+        f"SELECT DISTINCT {i} AS col_order, '{c}' AS column_name, {c} AS level FROM t"
+        for i, c in enumerate(ALL_CATEGORICAL))
+    base = len(ALL_NUMERIC) + len(FREQ_ENCODE_COLS)
+    return f"""{_TEXT_CTES},
 pairs AS ({pairs})
-SELECT column_name, level,
-       replace(replace(replace(column_name || '_' || level, '[', '('), ']', ')'), '<', 'lt') AS feature_name,
+SELECT column_name, level, {_NAME_SQL} AS feature_name,
        CAST(row_number() OVER (ORDER BY col_order, level) + {base - 1} AS INT) AS feature_index
 FROM pairs"""
 
 
+def _matrix_sql() -> str:
+    """The matrix with the names of a row's levels in one column (which columns
+    there are depends on the data)."""
+    held = "\nUNION ALL\n".join(f"SELECT transaction_id, '{c}' AS column_name, {c} AS level FROM t"
+                                for c in ALL_CATEGORICAL)
+    medians = ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in ALL_NUMERIC)
+    filled = ", ".join(f"COALESCE(CAST(flat.{c} AS DOUBLE), med.{c}) AS {c}" for c in ALL_NUMERIC)
+    freq = ", ".join(f"CAST(COUNT(*) OVER (PARTITION BY flat.{c}) AS DOUBLE) / CAST(COUNT(*) OVER () AS DOUBLE)"
+                     f" AS {c}_freq" for c in FREQ_ENCODE_COLS)
+    return f"""{_TEXT_CTES},
+med AS (SELECT {medians} FROM flat),
+x AS (SELECT flat.transaction_id, flat.date_key, CAST({TARGET} AS DOUBLE) AS label, {filled}, {freq}
+      FROM flat, med),
+hot AS (SELECT transaction_id, string_agg({_NAME_SQL}, ',' ORDER BY {_NAME_SQL}) AS levels
+        FROM ({held}) GROUP BY transaction_id)
+SELECT x.*, levels FROM x JOIN hot ON hot.transaction_id = x.transaction_id"""
+
+
 @register("one_hot", _one_hot_sql(), CTES)
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return levels(text_with_state(_flat(spark, sf_dir))).drop("col_order")
@@ -283,6 +305,17 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame
 
 
+@register("feature_rows", _matrix_sql(), CTES)
+def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: the same matrix, a row's one-hot columns as the sorted names of those
+    that are 1."""
+    frame, names = build_features(_flat(spark, sf_dir))
+    numeric = ALL_NUMERIC + [f"{c}_freq" for c in FREQ_ENCODE_COLS]
+    held = F.array(*[F.when(F.col(f"`{n}`") == 1.0, F.lit(n)) for n in sorted(names[len(numeric):])])
+    return frame.select("transaction_id", "date_key", "label", *numeric,
+                        F.array_join(held, ",").alias("levels"))
+
+
 @register("time_split_counts", f"""
 WITH flat AS ({FLAT_SQL})
 SELECT CASE WHEN date_key < {SPLIT_CUTOFF} THEN 'train' ELSE 'test' END AS split,
