@@ -76,3 +76,22 @@ def test_messy_and_empty(messy, no_docs):
     assert judge(no_docs).count() == 0
     empty = judge(messy.filter("doc_id in (3, 4, 5)")).agg(F.sum("n_words"), F.max("kept")).first()
     assert tuple(empty) == (0, False)
+
+
+def test_messy_rows_match_brute_force(messy):
+    """Nulls, repeated rows, a very long text and clashing column names."""
+    key = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    got = sorted(map(repr, (tuple(r) for r in judge(messy).select(*key).collect())))
+    want = [(r["doc_id"], *brute(r["text"])) for r in messy.select("doc_id", "text").collect()]
+    assert got == sorted(map(repr, want))
+    assert judge(messy).columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_lines",
+                                    "n_dup_lines", "n_repeat_words", "base_failed", "rejected_by", "kept"]
+
+
+def test_costs_are_those_of_the_texts(spark):
+    """Counting repeated windows costs more than counting words, of which it is
+    one part."""
+    text = " ".join(f"w{i % 900}" for i in range(4000))
+    d = spark.createDataFrame([(i, text) for i in range(300)], "doc_id long, text string")
+    cost = {r["rule"]: r["seconds_a_row"] for r in order_rules(d, cascade())}
+    assert cost["repeat_words"] > 2 * cost["min_words"]
