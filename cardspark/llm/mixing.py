@@ -87,7 +87,10 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source), _mix_tilt, _mix_offset (its place in the source's stream),
     _mix_taken (words taken, repeats counted)."""
     n_buckets = max(LEAST_BUCKETS, docs.select(id_col).count() // BUCKET_ROWS)
-    key = F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, 16)
+    # rows without an id are told apart by their text
+    named = F.coalesce(F.col(id_col).cast("string"), F.concat(
+        F.lit("text:"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
+    key = F.substring(F.md5(named.cast("binary")), 1, 16)
     rows = docs.withColumns({
         "_mix_null": F.col(source_col).isNull(),
         "_mix_src": F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("")),

@@ -69,7 +69,7 @@ def op9_quality_rules(spark, sf_dir):
 
 @query("op5_mixing", rf"""
 WITH d AS (SELECT doc_id, source, len([x FOR x IN string_split_regex(coalesce(text, ''), '{_WS}') IF x <> '']) AS size,
-                  substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) AS key FROM documents),
+                  substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, '')))), 1, 16) AS key FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS total,
              (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
       FROM d GROUP BY source),
@@ -173,7 +173,7 @@ def op4_nearest(spark, sf_dir):
 def op10_language(spark, sf_dir):
     """The language of every document."""
     from cardspark.llm.langid import language_report
-    return language_report(table(spark, sf_dir, "documents")).drop("spans")
+    return language_report(table(spark, sf_dir, "documents"))
 
 
 # ------------------------------------------------------------------- 1: HTML

@@ -106,3 +106,10 @@ def test_empty_tables(no_docs, messy):
     wordless = messy.filter("doc_id in (3, 4, 5)")
     assert [r["taken"] for r in mix_report(wordless).collect()] == [0, 0, 0]
     assert training_order(wordless).count() == 0
+
+
+def test_rows_without_an_id_are_spread(spark):
+    from cardspark.llm.mixing import plan
+    d = spark.createDataFrame([(None, f"a b {i}", "s") for i in range(500)], "doc_id long, text string, source string")
+    assert plan(d).select("_mix_bucket").distinct().count() > 10
+    assert mix_report(d).agg({"taken": "sum"}).first()[0] == 1500
