@@ -1,4 +1,4 @@
-"""H1: running totals over a global sort order, and the exact median built on it.
+"""H1: running totals over a global sort order, and exact quantiles.
 
 A running sum over the whole table with ``Window.orderBy`` (no partition)
 pulls every row into one task. Here:
@@ -66,31 +66,87 @@ def running_totals(df: DataFrame, order_cols: list, value_cols: list[str],
                     *[f"_off_{c}" for c in value_cols])
 
 
+# Rank error of the sketches: a share of the rows of 1 / ACCURACY at most. A
+# bracket reaches MARGIN beyond its quantile, so the exact one lies inside.
+ACCURACY = 1000
+MARGIN = 5 / ACCURACY
+# Groups of up to this many rows are a single bracket.
+WHOLE_ROWS = 10 * ACCURACY
+
+
+def order_statistics(pairs: DataFrame, probs: list[float]) -> DataFrame:
+    """(grp, q_0 ... q_{k-1}, n): per group of ``pairs`` (grp, v), the exact
+    linear-interpolated quantiles of v at ``probs``.
+
+    Three passes, none of which sorts all values: a quantile sketch per group
+    gives each quantile a narrow bracket; one aggregate counts the rows below it
+    and, per distinct value, inside it; and only values inside are put in order.
+    An aggregate that finds a quantile outside its bracket is an error, never a
+    wrong value."""
+    at = {q: i for i, q in enumerate(sorted({min(max(p + side, 0.0), 1.0)
+                                             for p in probs for side in (-MARGIN, MARGIN)}))}
+    sketch = pairs.groupBy("grp").agg(
+        F.percentile_approx("v", list(at), ACCURACY).alias("s"), F.min("v").alias("least"),
+        F.max("v").alias("most"), F.count("v").alias("n"))
+
+    def bracket(i: int, p: float):
+        h = (F.col("n") - 1) * F.lit(float(p))
+        whole = F.col("n") <= WHOLE_ROWS
+        low = F.col("least") if p <= MARGIN else F.when(whole, F.col("least")).otherwise(
+            F.col("s")[at[p - MARGIN]])
+        high = F.col("most") if p >= 1 - MARGIN else F.when(whole, F.col("most")).otherwise(
+            F.col("s")[at[p + MARGIN]])
+        return F.struct(F.lit(i).alias("i"), low.alias("low"), high.alias("high"),
+                        (F.floor(h) + 1).alias("lo_pos"),
+                        F.least(F.ceil(h) + 1, F.col("n")).alias("hi_pos"),
+                        (h - F.floor(h)).alias("d"))
+
+    # one row per group and quantile, read by the passes that follow
+    brackets = scratch_table(sketch.select("grp", "n", F.explode(F.array(
+        *[bracket(i, p) for i, p in enumerate(probs)])).alias("b")).select("grp", "n", "b.*"), "brackets")
+    inside = F.col("v").between(F.col("low"), F.col("high"))
+    counts = scratch_table(
+        pairs.join(brackets.select("grp", "i", "low", "high"), "grp")
+        .filter(F.col("v") <= F.col("high"))
+        .groupBy("grp", "i", F.when(inside, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n")),
+        "bracket_counts")
+    per = counts.groupBy("grp", "i").agg(
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("below"),
+        F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("within"))
+    values = counts.filter("v IS NOT NULL").select("grp", "i", "v", "n")
+    if counts.count() <= SMALL_ROWS:
+        upto = Window.partitionBy("grp", "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        cum = values.withColumn("upto", F.sum("n").over(upto))
+    else:
+        starts = running_totals(per, ["grp", "i"], ["within"]).select(
+            "grp", "i", (F.col("cum_within") - F.col("within")).alias("start"))
+        cum = running_totals(values, ["grp", "i", "v"], ["n"]).join(starts, ["grp", "i"]) \
+            .withColumn("upto", F.col("cum_n") - F.col("start"))
+    j = (cum.select("grp", "i", "v", "upto").join(per, ["grp", "i"])
+         .join(brackets.withColumnRenamed("n", "total"), ["grp", "i"])
+         .withColumn("pos", F.col("below") + F.col("upto")))
+    found = j.groupBy("grp", "i").agg(
+        F.min(F.when(F.col("pos") >= F.col("lo_pos"), F.col("v"))).alias("lo"),
+        F.min(F.when(F.col("pos") >= F.col("hi_pos"), F.col("v"))).alias("hi"),
+        F.first("d").alias("d"), F.first("total").alias("n"),
+        F.first((F.col("below") < F.col("lo_pos"))
+                & (F.col("hi_pos") <= F.col("below") + F.col("within"))).alias("ok"))
+    exact = F.when(F.col("ok"), F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("d")) \
+        .otherwise(F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
+    return found.groupBy("grp").agg(*[F.max(F.when(F.col("i") == i, exact)).alias(f"q_{i}")
+                                      for i in range(len(probs))], F.first("n").alias("n"))
+
+
 def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per column of ``cols``: (column_name, median), the
-    interpolated median with NULLs ignored, as pandas' ``median`` (the middle
-    value, or lo + (hi - lo) / 2 of the two middle values).
-
-    All columns in one pass: (column, value) pairs are counted per distinct
-    pair (combined map-side, so duplicates cost nothing), one running total
-    runs over (column, value) order, and each column's own cumulative count
-    is the running total minus the rows of the columns before it."""
+    """One row per column of ``cols``: (column_name, median), the interpolated
+    median with NULLs ignored, as pandas' ``median`` (the middle value, or
+    lo + (hi - lo) / 2 of the two middle values). A column without values has no
+    row."""
     pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
+        F.struct(F.lit(i).alias("grp"), F.col(c).cast("double").alias("v"))
         for i, c in enumerate(cols)])).alias("p")).select("p.*").filter(F.col("v").isNotNull())
-    g = pairs.groupBy("ci", "v").agg(F.count(F.lit(1)).alias("n"))
-    cum = running_totals(g, ["ci", "v"], ["n"])
-    totals = g.groupBy("ci").agg(F.sum("n").alias("total"))
-    before = Window.orderBy("ci").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("start", F.coalesce(F.sum("total").over(before), F.lit(0)))
-    j = cum.join(F.broadcast(totals), "ci").withColumn("pos", F.col("cum_n") - F.col("start"))
-    lo_pos = F.floor((F.col("total") + 1) / 2)
-    hi_pos = F.floor(F.col("total") / 2) + 1
-    med = j.groupBy("ci").agg(F.min(F.when(F.col("pos") >= lo_pos, F.col("v"))).alias("lo"),
-                              F.min(F.when(F.col("pos") >= hi_pos, F.col("v"))).alias("hi"))
-    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("ci") + 1)
-    return med.select(names.alias("column_name"),
-                      (F.col("lo") + (F.col("hi") - F.col("lo")) * 0.5).alias("median"))
+    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("grp") + 1)
+    return order_statistics(pairs, [0.5]).select(names.alias("column_name"), F.col("q_0").alias("median"))
 
 
 def exact_median(df: DataFrame, col: str) -> DataFrame:
@@ -102,30 +158,7 @@ def exact_quantiles(df: DataFrame, value: str, group: str, probs: list[float]) -
     """Per group: linear-interpolated quantiles (pandas ``quantile``, SQL
     ``quantile_cont``) of ``value`` at each of ``probs``; NULLs ignored.
 
-    Output columns: group, q_0 ... q_{k-1} (in ``probs`` order) and n. Built
-    like ``exact_medians``: counts per distinct (group, value), one running
-    total, per-group positions."""
-    g = (df.select(F.col(group).alias("grp"), F.col(value).cast("double").alias("v"))
-           .filter(F.col("v").isNotNull())
-           .groupBy("grp", "v").agg(F.count(F.lit(1)).alias("n")))
-    cum = running_totals(g, ["grp", "v"], ["n"])
-    # each group's first position: an exclusive running total over one row
-    # per group (size-checked like any running total, so many groups never
-    # meet in one task)
-    totals = g.groupBy("grp").agg(F.sum("n").alias("total"))
-    totals = running_totals(totals, ["grp"], ["total"]).withColumn(
-        "start", (F.col("cum_total") - F.col("total")).cast("long")).drop("cum_total")
-    # one row per group: joined plainly, AQE broadcasts it when it is small
-    j = cum.join(totals, "grp").withColumn("pos", F.col("cum_n") - F.col("start"))
-    aggs = []
-    for i, p in enumerate(probs):
-        h = (F.col("total") - 1) * F.lit(float(p))
-        lo_pos = F.floor(h) + 1
-        hi_pos = F.least(F.ceil(h) + 1, F.col("total"))
-        aggs += [F.min(F.when(F.col("pos") >= lo_pos, F.col("v"))).alias(f"_lo{i}"),
-                 F.min(F.when(F.col("pos") >= hi_pos, F.col("v"))).alias(f"_hi{i}"),
-                 F.first(h - F.floor(h)).alias(f"_d{i}")]
-    q = j.groupBy("grp").agg(*aggs, F.first("total").alias("n"))
-    return q.select(F.col("grp").alias(group), *[
-        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_d{i}")).alias(f"q_{i}")
-        for i in range(len(probs))], "n")
+    Output columns: group, q_0 ... q_{k-1} (in ``probs`` order) and n."""
+    pairs = (df.select(F.col(group).alias("grp"), F.col(value).cast("double").alias("v"))
+             .filter(F.col("v").isNotNull()))
+    return order_statistics(pairs, probs).withColumnRenamed("grp", group)

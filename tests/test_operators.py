@@ -56,6 +56,31 @@ def test_exact_quantiles_like_pandas(spark):
             assert abs(q.loc[g, f"q_{i}"] - sub["v"].quantile(p)) < 1e-12
 
 
+@pytest.mark.parametrize("shape", ["normal", "ties", "skewed", "sorted"])
+def test_quantiles_from_brackets(spark, shape, monkeypatch):
+    """Narrow brackets over many rows, most of them outside."""
+    from cardspark.operators import prefix
+    monkeypatch.setattr(prefix, "WHOLE_ROWS", 50)
+    rng = np.random.default_rng(7)
+    n = 40_000
+    v = {"normal": rng.normal(size=n), "ties": rng.integers(0, 5, n).astype(float),
+         "skewed": np.where(rng.random(n) < 0.7, 0.0, rng.exponential(size=n) * 1e6),
+         "sorted": np.arange(n, dtype=float)}[shape]
+    pdf = pd.DataFrame({"v": v, "g": rng.choice(3, n, p=[0.9, 0.0995, 0.0005])})
+    probs = [0.0, 0.001, 0.25, 0.5, 0.9, 0.999, 1.0]
+    q = exact_quantiles(spark.createDataFrame(pdf).repartition(7), "v", "g", probs).toPandas().set_index("g")
+    for g, sub in pdf.groupby("g"):
+        assert q.loc[g, "n"] == len(sub)
+        for i, p in enumerate(probs):
+            assert abs(q.loc[g, f"q_{i}"] - sub["v"].quantile(p)) <= 1e-9 * max(1, abs(sub["v"].quantile(p)))
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (3.0, 2)], "v double, g int")
+    assert [tuple(r) for r in exact_quantiles(df, "v", "g", [0.5]).collect()] == [(2, 3.0, 1)]
+    assert exact_medians(df.limit(0), ["v"]).count() == 0
+
+
 def test_running_totals_distributed_path(spark):
     df = _frame(spark, n=3000, parts=5)
     got = running_totals(df, ["k", "id"], ["v"], small_rows=0).select("id", "cum_v").toPandas()
