@@ -93,6 +93,68 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, bk: str, key: str, type1: li
     return unknown.unionByName(updated).unionByName(keyed)
 
 
+def scd2_feed(dim: DataFrame, feed: DataFrame, bk: str, key: str, type1: list[str],
+              type2: list[str], audit_key: int, at: str = "EffectiveAt",
+              seq: str = "Seq") -> DataFrame:
+    """Merge a feed of changes: any number for a key, in any order, late ones too.
+
+    A feed row says what a key's attributes are from ``at`` on; of rows of one
+    key and moment the one with the greatest ``seq`` counts. Versions and changes
+    of a key are put in order of time as one list, so a late change splits the
+    closed interval that it falls into, and a change before the first version
+    opens one before it. A change that alters no type-2 column is dropped; one at
+    the very start of a version corrects that version in place. Every version
+    ends where the next begins, and the last at the high date: intervals of a key
+    neither overlap nor leave a gap. Type-1 columns take the values of the key's
+    latest feed row in every version. Keys that the feed lacks, and the unknown
+    member, stay as they are; existing versions keep their keys."""
+    audit = F.lit(audit_key).cast("int")
+    high = ntz(HIGH_DATE)
+    cols = [*type1, *type2]
+    said = (feed.groupBy(bk, F.col(at).alias("_at"))
+            .agg(F.max_by(F.struct(*cols), F.col(seq)).alias("_f"), F.max(seq).alias("_seq")))
+    latest = said.groupBy(F.col(bk).alias("_bk")).agg(
+        F.max_by("_f", F.struct("_at", "_seq")).alias("_t1"))
+    known = dim.filter(F.col(key) > 0)
+    touched = known.join(latest.select(F.col("_bk").alias(bk)), bk, "left_semi")
+    rest = dim.join(latest.select(F.col("_bk").alias(bk)), bk, "left_anti") \
+        .unionByName(dim.filter((F.col(key) <= 0)).join(
+            latest.select(F.col("_bk").alias(bk)), bk, "left_semi"))
+    e = touched.select(F.col(bk).alias("_ebk"), F.col("RowStartDate").alias("_eat"),
+                       F.struct(*[F.col(c) for c in dim.columns]).alias("_e"))
+    both = e.join(said, (F.col("_ebk") == F.col(bk)) & (F.col("_eat") == F.col("_at")), "full")
+    now = F.struct(*[F.when(F.col("_f").isNotNull(), F.col(f"_f.{c}")).otherwise(F.col(f"_e.{c}"))
+                     .alias(c) for c in type2])
+    listed = both.select(F.coalesce(bk, "_ebk").alias("_bk"), F.coalesce("_at", "_eat").alias("_start"),
+                         "_e", "_f", now.alias("_now"))
+    by_time = Window.partitionBy("_bk").orderBy("_start")
+    listed = listed.withColumns({"_before": F.lag("_now").over(by_time)})
+    kept = listed.filter(F.col("_e").isNotNull() | ~F.col("_now").eqNullSafe(F.col("_before")))
+    kept = kept.withColumn("_end", F.coalesce(F.lead("_start").over(by_time), high)) \
+        .join(latest, "_bk")
+    old, first = F.col("_e").isNotNull(), F.col("_before").isNull()
+    diffs = F.concat_ws(", ", *[F.when(~F.col(f"_now.{c}").eqNullSafe(F.col(f"_before.{c}")), F.lit(c))
+                                for c in type2])
+    fixed = old & _any([~F.col(f"_now.{c}").eqNullSafe(F.col(f"_e.{c}")) for c in type2])
+    altered = fixed | ~F.col("_end").eqNullSafe(F.col("_e.RowEndDate")) | _any(
+        [~F.col(f"_t1.{c}").eqNullSafe(F.col(f"_e.{c}")) for c in type1])
+    made = {bk: F.col("_bk"), key: F.col(f"_e.{key}"),
+            **{c: F.col(f"_t1.{c}") for c in type1}, **{c: F.col(f"_now.{c}") for c in type2},
+            "RowIsCurrent": F.when(F.col("_end") == high, "Y").otherwise("N"),
+            "RowStartDate": F.col("_start"), "RowEndDate": F.col("_end"),
+            "RowChangeReason": F.when(fixed, "Corrected").when(old, F.col("_e.RowChangeReason"))
+            .when(first, "New").otherwise(F.concat(F.lit("Changed: "), diffs)),
+            "InsertAuditKey": F.coalesce(F.col("_e.InsertAuditKey"), audit),
+            "UpdateAuditKey": F.when(old & ~altered, F.col("_e.UpdateAuditKey")).otherwise(audit)}
+    out = kept.select(*[made[f.name].cast(f.dataType).alias(f.name) for f in dim.schema.fields])
+    out = scratch_table(out, "scd2_feed")  # read for the old versions and the new
+    max_key = known.agg(F.max(key)).first()[0] or 0
+    fresh = surrogate_keys(out.filter(F.col(key).isNull()).drop(key), [bk, "RowStartDate"], key,
+                           start=max_key + 1)
+    fresh = fresh.select(*[F.col(f.name).cast(f.dataType) for f in dim.schema.fields])
+    return rest.select(*dim.columns).unionByName(out.filter(F.col(key).isNotNull())).unionByName(fresh)
+
+
 def scd1_overwrite(dim: DataFrame, incoming: DataFrame, bk: str, key: str, type1: list[str],
                    audit_key: int) -> DataFrame:
     """Overwrite type-1 columns in every version of each key present in

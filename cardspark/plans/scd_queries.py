@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardspark.operators.scd import asof_lookup, scd1_overwrite, scd2_merge
+from cardspark.operators.scd import asof_lookup, scd1_overwrite, scd2_feed, scd2_merge
 from cardspark.plans.registry import register
 from cardspark.plans.warehouse import (LoadContext, card_attributes, customer_attributes,
                                        dim_card, dim_customer, stage)
@@ -166,6 +167,96 @@ def fact_asof_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("BKTransactionID", "txn_time", "card_id", "CustomerKey")
 
 
+# ------------------------------------------------------------ change feed ----
+FEED_AUDIT = 5
+# Per row of the feed: moment, sequence, which users, new id, score and income.
+_FEED = [
+    ("1997-03-01", 1, "id % 20 = 0", "id", "credit_score + 40", "yearly_income"),
+    ("1998-06-01", 2, "id % 20 = 0", "id", "credit_score + 40", "yearly_income + 1000"),
+    ("1994-05-01", 3, "id % 10 = 0", "id", "credit_score - 10", "yearly_income"),  # late
+    ("1999-01-01", 4, "id % 15 = 0", "id", "credit_score - 5", "yearly_income"),
+    ("1999-01-01", 5, "id % 30 = 0", "id", "credit_score + 5", "yearly_income"),  # the same moment
+    ("1996-01-01", 6, "id % 40 = 0", "id", "credit_score + 7", "yearly_income"),  # a version's start
+    ("1995-02-01", 7, "id % 21 = 0", "id", "credit_score", "yearly_income"),  # changes nothing
+    ("1997-01-01", 8, "id % 50 = 0", "id + 100000000", "credit_score", "yearly_income"),  # new keys
+]
+_FEED_USERS = (
+    "SELECT {id} AS id, current_age, retirement_age, birth_year, birth_month, gender, address, "
+    "latitude, longitude, per_capita_income, CAST({income} AS DECIMAL(12,2)) AS yearly_income, "
+    "total_debt, CAST({score} AS INT) AS credit_score, num_credit_cards, "
+    "{at} AS EffectiveAt, {seq} AS Seq FROM {users} WHERE {where}")
+
+
+def customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of customers at several moments, as one feed."""
+    users = Sources(spark, sf_dir).users()
+    parts = []
+    for at, seq, where, id_, score, income in _FEED:
+        u = users.filter(where).withColumns({
+            "id": F.expr(id_), "credit_score": F.expr(f"CAST({score} AS INT)"),
+            "yearly_income": F.expr(f"CAST({income} AS DECIMAL(12,2))")})
+        parts.append(customer_attributes(u).withColumns({
+            "EffectiveAt": F.lit(f"{at} 00:00:00").cast("timestamp_ntz"), "Seq": F.lit(seq)}))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _feed_sql() -> list[tuple[str, str]]:
+    users = " UNION ALL ".join(
+        _FEED_USERS.format(id=i, income=inc, score=sc, at=f"TIMESTAMP '{at} 00:00:00'", seq=seq,
+                           users="users", where=where) for at, seq, where, i, sc, inc in _FEED)
+    attrs = _attrs_sql("feed_users").replace(" FROM feed_users", ", EffectiveAt, Seq FROM feed_users")
+    t2 = CUSTOMER_TYPE2
+    same = " AND ".join(f"l.{c} IS NOT DISTINCT FROM l.b_{c}" for c in t2)
+    diffs = ", ".join(f"CASE WHEN {c} IS DISTINCT FROM b_{c} THEN '{c}' END" for c in t2)
+    fixed = "(CustomerKey IS NOT NULL AND said AND (" + " OR ".join(
+        f"{c} IS DISTINCT FROM e_{c}" for c in t2) + "))"
+    t1 = " OR ".join(f"n_{c} IS DISTINCT FROM e_{c}" for c in CUSTOMER_TYPE1)
+    return [*_merge_sql(t2), ("feed_users", users), ("feed", attrs),
+            ("said", "SELECT * FROM feed QUALIFY row_number() OVER "
+                     "(PARTITION BY BKCustomerID, EffectiveAt ORDER BY Seq DESC) = 1"),
+            ("latest", "SELECT * FROM said QUALIFY row_number() OVER "
+                       "(PARTITION BY BKCustomerID ORDER BY EffectiveAt DESC) = 1"),
+            ("old", "SELECT * FROM merged WHERE CustomerKey > 0 AND BKCustomerID IN "
+                    "(SELECT BKCustomerID FROM said)"),
+            ("listed", "SELECT COALESCE(f.BKCustomerID, e.BKCustomerID) AS BKCustomerID, "
+                       "COALESCE(EffectiveAt, RowStartDate) AS RowStartDate, CustomerKey, RowEndDate, "
+                       "RowChangeReason, InsertAuditKey, UpdateAuditKey, EffectiveAt IS NOT NULL AS said, "
+                       + ", ".join(f"CASE WHEN EffectiveAt IS NOT NULL THEN f.{c} ELSE e.{c} END AS {c}, "
+                                   f"e.{c} AS e_{c}" for c in t2) + ", "
+                       + ", ".join(f"e.{c} AS e_{c}" for c in CUSTOMER_TYPE1)
+                       + " FROM old e FULL JOIN said f ON f.BKCustomerID = e.BKCustomerID "
+                         "AND f.EffectiveAt = e.RowStartDate"),
+            ("lagged", "SELECT *, row_number() OVER w = 1 AS is_first, "
+                       + ", ".join(f"lag({c}) OVER w AS b_{c}" for c in t2)
+                       + " FROM listed WINDOW w AS (PARTITION BY BKCustomerID ORDER BY RowStartDate)"),
+            ("kept", "SELECT l.* EXCLUDE (RowEndDate), RowEndDate AS e_end, "
+                     "COALESCE(lead(RowStartDate) OVER (PARTITION BY l.BKCustomerID ORDER BY RowStartDate), "
+                     "TIMESTAMP '9999-12-31 00:00:00') AS RowEndDate, "
+                     + ", ".join(f"n.{c} AS n_{c}" for c in CUSTOMER_TYPE1)
+                     + f" FROM lagged l JOIN latest n ON n.BKCustomerID = l.BKCustomerID "
+                       f"WHERE CustomerKey IS NOT NULL OR is_first OR NOT ({same})"),
+            ("fed", "SELECT COALESCE(CustomerKey, (SELECT MAX(CustomerKey) FROM merged) + row_number() OVER "
+                    "(PARTITION BY CustomerKey IS NULL ORDER BY BKCustomerID, RowStartDate)) AS CustomerKey, "
+                    "BKCustomerID, " + ", ".join(f"n_{c} AS {c}" for c in CUSTOMER_TYPE1) + ", "
+                    + ", ".join(t2) + ", CASE WHEN RowEndDate = TIMESTAMP '9999-12-31 00:00:00' THEN 'Y' "
+                    "ELSE 'N' END AS RowIsCurrent, RowStartDate, RowEndDate, "
+                    f"CASE WHEN {fixed} THEN 'Corrected' WHEN CustomerKey IS NOT NULL THEN RowChangeReason "
+                    f"WHEN is_first THEN 'New' ELSE 'Changed: ' || concat_ws(', ', {diffs}) END AS RowChangeReason, "
+                    f"COALESCE(InsertAuditKey, CAST({FEED_AUDIT} AS INT)) AS InsertAuditKey, "
+                    f"CASE WHEN CustomerKey IS NOT NULL AND NOT ({fixed} OR RowEndDate <> e_end OR {t1}) "
+                    f"THEN UpdateAuditKey ELSE CAST({FEED_AUDIT} AS INT) END AS UpdateAuditKey FROM kept")]
+
+
+@register("scd2_feed_customer", f"""
+SELECT {', '.join(_CUST_COLS)} FROM merged
+WHERE CustomerKey <= 0 OR BKCustomerID NOT IN (SELECT BKCustomerID FROM said)
+UNION ALL SELECT {', '.join(_CUST_COLS)} FROM fed""", _feed_sql())
+def scd2_feed_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DimCustomer after a feed of several changes a key, some of them late."""
+    return scd2_feed(customer_v2(spark, sf_dir), customer_feed(spark, sf_dir), "BKCustomerID",
+                     "CustomerKey", CUSTOMER_TYPE1, CUSTOMER_TYPE2, FEED_AUDIT)
+
+
 # ----------------------------------------------------------------- DimCard ----
 # Per-column SCD types of DimCard.
 CARD_TYPE1 = ["CardBrand", "CardType", "HasChip", "NumCardsIssued", "AcctOpenDate"]

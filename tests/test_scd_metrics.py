@@ -6,7 +6,7 @@ import pytest
 
 import numpy as np
 
-from cardspark.operators.scd import asof_lookup, scd2_merge
+from cardspark.operators.scd import asof_lookup, scd2_feed, scd2_merge
 from cardspark.plans import metrics as M
 
 HIGH = dt.datetime(9999, 12, 31)
@@ -58,6 +58,58 @@ def test_scd2_same_snapshot_twice_adds_nothing(spark):
     assert twice.filter("RowIsCurrent = 'Y'").count() == once.filter("RowIsCurrent = 'Y'").count()
 
 
+def _by_replay(dim, feed):
+    """Brute force: per key the moments in order, each with the attributes then."""
+    out = {}
+    for bk in {r["BK"] for r in dim if r["K"] > 0} | {f[0] for f in feed}:
+        old = {r["RowStartDate"]: r for r in dim if r["K"] > 0 and r["BK"] == bk}
+        said = {}
+        for f in sorted((f for f in feed if f[0] == bk), key=lambda f: f[2]):
+            said[f[1]] = f
+        last = max(said.values(), key=lambda f: (f[1], f[2]), default=None)
+        rows, before = [], None
+        for at in sorted({*old, *said}):
+            b = said[at][4] if at in said else old[at]["B"]
+            if at in old or before is None or b != before[0]:
+                rows.append([at, b, last[3] if last else old[at]["A"], old[at]["K"] if at in old else None])
+            before = (b,)
+        out[bk] = [(*r, rows[i + 1][0] if i + 1 < len(rows) else HIGH) for i, r in enumerate(rows)]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_scd2_feed_equals_replay(spark, seed):
+    import random
+    rng = random.Random(seed)
+    base = _merge(spark, _dim(spark), [(10, "x2", 1), (20, "y", 5), (40, "w", 4)]).checkpoint()
+    day = lambda: T0 + dt.timedelta(days=rng.randrange(-200, 800, 50))
+    feed = [(rng.choice([10, 20, 40, 50, 60]), rng.choice([day(), T0, T1]), i, rng.choice("ab"),
+             rng.randrange(3)) for i in range(25)]
+    frame = spark.createDataFrame(feed, "BK int, EffectiveAt timestamp_ntz, Seq int, A string, B int")
+    out = scd2_feed(base, frame, "BK", "K", ["A"], ["B"], 3).collect()
+    dim = base.collect()
+    want = _by_replay(dim, feed)
+    got = {}
+    for r in out:
+        if r["K"] > 0:
+            got.setdefault(r["BK"], []).append(r)
+    assert set(got) == set(want)
+    known = {r["K"] for r in dim}
+    for bk, rows in got.items():
+        rows.sort(key=lambda r: r["RowStartDate"])
+        assert [(r["RowStartDate"], r["B"], r["A"], r["K"] if r["K"] in known else None, r["RowEndDate"])
+                for r in rows] == want[bk]
+        # no gap, no overlap, one current version
+        assert all(a["RowEndDate"] == b["RowStartDate"] for a, b in zip(rows, rows[1:]))
+        assert [r["RowIsCurrent"] for r in rows] == ["N"] * (len(rows) - 1) + ["Y"]
+    keys = [r["K"] for r in out]
+    assert len(keys) == len(set(keys)) and sorted(keys)[-1] == len(keys) - 1  # dense, -1 aside
+    unknown = [r for r in out if r["K"] == -1]
+    assert unknown == [r for r in dim if r["K"] == -1]
+    again = scd2_feed(base, frame.limit(0), "BK", "K", ["A"], ["B"], 3).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, dim))
+
+
 def test_asof_lookup_picks_version(spark):
     dim = _merge(spark, _dim(spark), [(20, "y", 5)])
     facts = spark.createDataFrame([(20, dt.datetime(2020, 6, 1)), (20, dt.datetime(2021, 6, 1)),
