@@ -95,16 +95,6 @@ def trans_type_code(use_chip="use_chip", errors="errors") -> Column:
                        F.coalesce(_c(errors), F.lit("None")))
 
 
-def pct_label(share: Column, places: int) -> Column:
-    """Percent text of a share, e.g. 0.123456 -> '12.35 %' for places=2.
-
-    Rounded half-up on a decimal first, so the label does not depend on
-    binary floating point.
-    """
-    dec = (share * 100).cast("decimal(38,12)")
-    return F.concat(F.round(dec, places).cast(f"decimal(38,{places})").cast("string"), F.lit(" %"))
-
-
 def date_key(ts="date") -> Column:
     """Smart date key YYYYMMDD as int."""
     return F.date_format(F.to_date(_c(ts)), "yyyyMMdd").cast("int")
