@@ -125,6 +125,71 @@ def kpi_active_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.count_distinct("CustomerKey").alias("active_customers")))
 
 
+# Twelve bits of buckets: a standard error of 1.04 / 64, some 1.6 %.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def active_sketches(wh: Warehouse) -> DataFrame:
+    """A10: per day a mergeable sketch of the customers with a successful
+    transaction, written beside the fact once per load. Any period's distinct
+    count is a union of its days' sketches, without the fact."""
+    if getattr(wh, "_active_sketches", None) is None:
+        ok = _success_types(wh).filter("IsSuccess").drop("IsSuccess")
+        daily = (wh.fact().filter((F.col("CustomerKey") > 0) & (F.col("DateKey") > 0))
+                 .join(ok, "TransactionTypeKey").groupBy("DateKey")
+                 .agg(F.hll_sketch_agg("CustomerKey", SKETCH_BITS).alias("customers")))
+        from cardspark.sources.store import write_table
+        wh._active_sketches = write_table(daily, f"{wh.scope}/active_sketches")
+    return wh._active_sketches
+
+
+@register("kpi_active_by_month", """
+SELECT CAST(f.DateKey // 100 AS BIGINT) AS month_key, COUNT(DISTINCT f.CustomerKey) AS active_customers,
+       true AS sketch_within_bound
+FROM fact f JOIN dim_transaction_type d ON d.TransactionTypeKey = f.TransactionTypeKey
+WHERE d.IsSuccess AND f.CustomerKey > 0 AND f.DateKey > 0 GROUP BY 1""", CTES)
+def kpi_active_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10/K4: active customers a month, counted exactly, and whether the union of
+    the days' sketches is within four standard errors of it."""
+    wh = _wh(spark, sf_dir)
+    ok = _success_types(wh).filter("IsSuccess").drop("IsSuccess")
+    month = F.expr("CAST(DateKey div 100 AS BIGINT)").alias("month_key")
+    exact = (wh.fact().filter((F.col("CustomerKey") > 0) & (F.col("DateKey") > 0))
+             .join(ok, "TransactionTypeKey").groupBy(month)
+             .agg(F.count_distinct("CustomerKey").alias("active_customers")))
+    sketched = active_sketches(wh).groupBy(month).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("estimate"))
+    within = F.abs(F.col("estimate") - F.col("active_customers")) \
+        <= 4 * SKETCH_ERROR * F.col("active_customers") + 1
+    return (exact.join(sketched, "month_key", "left")
+            .select("month_key", "active_customers",
+                    F.coalesce(within, F.lit(False)).alias("sketch_within_bound")))
+
+
+# A span of days inside the test data's years.
+SPAN = (19960415, 19970214)
+
+
+@register("kpi_spend_of_span", f"""
+SELECT c.Quarter AS quarter, CAST(SUM(f.Amount) AS DECIMAL(38,2)) AS valid_spend, COUNT(*) AS n_valid
+FROM fact f JOIN dim_transaction_type d ON d.TransactionTypeKey = f.TransactionTypeKey
+JOIN dim_date c ON c.DateKey = f.DateKey
+WHERE d.IsSuccess AND f.Amount > 0 AND c.DateKey BETWEEN {SPAN[0]} AND {SPAN[1]} AND c.IsWeekend
+GROUP BY c.Quarter""", CTES)
+def kpi_spend_of_span(spark: SparkSession, sf_dir: str, span: tuple = SPAN) -> DataFrame:
+    """Weekend spend of a span of days by quarter. The days are chosen in
+    DimDate; their years prune the fact's year folders at run time."""
+    wh = _wh(spark, sf_dir)
+    days = wh.dim("date").filter(F.col("DateKey").between(*span) & F.col("IsWeekend")) \
+        .select("DateKey", F.col("Year").alias("_year"), F.col("Quarter").alias("quarter"))
+    f = _valid(wh, wh.fact_by_year())
+    j = f.join(F.broadcast(days),  # a calendar: 366 rows a year
+               (f["DateKey"] == days["DateKey"]) & (f["Year"] == days["_year"]))
+    return j.groupBy("quarter").agg(money(F.sum("Amount")).alias("valid_spend"),
+                                    F.count(F.lit(1)).alias("n_valid"))
+
+
 @register("kpi_avg_ticket", """
 SELECT CAST(SUM(f.Amount) AS DECIMAL(38,2)) AS valid_spend, COUNT(*) AS n_valid,
        CAST(SUM(f.Amount) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_ticket

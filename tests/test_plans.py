@@ -65,3 +65,23 @@ def test_dates_prune(spark):
 def test_cluster_sessions_keep_their_partitions():
     from cardspark import session
     assert "spark.sql.shuffle.partitions" not in session.BASE_CONF
+
+
+def test_a_span_of_days_prunes_year_folders_at_run_time(spark):
+    q = entry.queries()["kpi_spend_of_span"](spark, SF)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    scan = next(x for x in plan.split("\n") if "PartitionFilters" in x and "Year" in x)
+    assert "dynamicpruning" in scan.lower()
+
+
+def test_sketches_of_days_make_any_period(spark):
+    from pyspark.sql import functions as F
+
+    from cardspark.plans.star import SKETCH_ERROR, _wh, active_sketches
+    wh = _wh(spark, SF)
+    total = entry.queries()["kpi_active_customers"](spark, SF).first()["active_customers"]
+    got = active_sketches(wh).agg(F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("n")).first()["n"]
+    assert abs(got - total) <= 4 * SKETCH_ERROR * total + 1
+    plan = active_sketches(wh)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Exchange" not in plan  # read, not computed
