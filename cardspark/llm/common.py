@@ -54,11 +54,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/llm/{uuid.uuid4().hex}/{name}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: later
-    passes neither repeat its work nor depend on an executor that held it."""
+    passes neither repeat its work nor depend on an executor that held it.
+    ``codec``: the compression, else the session's."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

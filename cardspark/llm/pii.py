@@ -332,7 +332,8 @@ def sanitise(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
              **limits) -> DataFrame:
     """Columns ``keep`` of every row with _pii_spans (base) and _pii_terms
     (spans of disclosing terms; kind ``term`` or ``removed``)."""
-    found = written(detect(docs, text_col, keep), "pii_found")
+    # it may hold all texts once more
+    found = written(detect(docs, text_col, keep), "pii_found", "zstd")
     spans = term_spans(found, written(disclosures(found, docs, text_col, **limits), "pii_disclosing"))
     none = F.expr(f"CAST(array() AS {_SPAN})")
     # a row without a mention has no term spans and needs no join
