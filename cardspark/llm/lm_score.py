@@ -18,8 +18,10 @@ level beyond the highest stored is asked for, and no n-gram is left out);
 Model. P(w | v) = a * c(vw) / c(v) + (1 - a) * P(w), where P(w) is
 (1 - u) * c(w) / sum(c) for words in the filter and u for any other, u the
 Good-Turing mass of words met once. The weight a depends on c(v)'s level and is
-the best of a grid on about ``TUNE_ROWS`` training texts drawn by a hash, each
-scored without its own counts. The score is the sum of log10 P over the tokens.
+the best of a grid on all training texts, each scored without its own counts.
+The score is the sum of log10 P over the tokens. The filter is asked once per
+text: what it says goes along as two bytes a token, and a task's gains by weight
+as one row, so the weights are known before the scores are made of the bytes.
 
 Base. The exact add-one unigram score needs exact counts. The ``TOP_WORDS``
 most frequent words (fixed number) are broadcast with theirs; the others go, as
@@ -53,7 +55,6 @@ BITS = 10
 PROBES = 6
 FILTER_MB = 160
 TOP_WORDS = 1 << 18
-TUNE_ROWS = 2000
 GRID = (0.0, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9)
 RUN_ITEMS = 1_500_000  # n-grams a task holds before it passes them on
 END = mix64(np.array([0xE4D], np.uint64))[0]
@@ -314,17 +315,22 @@ class Model:
     def __init__(self, filter_: Filter, quantised: float, unseen: float, weights: np.ndarray):
         self.filter, self.quantised, self.unseen, self.weights = \
             filter_, quantised, unseen, weights
+        # of the end token, which stands before every row
+        self.end_level = filter_.level(np.array([END]))[0]
 
-    def parts(self, h: np.ndarray, own: bool = False):
-        """(level of c(v), c(vw) / c(v), P(w)) of every token; ``own``: with
-        the token's own occurrence taken out of all counts."""
+    def asked(self, h: np.ndarray) -> np.ndarray:
+        """The filter's levels of every token and of the bigram that ends there."""
         words, at = np.unique(h, return_inverse=True)
-        c = level_counts(self.filter.level(words), 1)
-        cw = c[at]
-        cv = np.append(c[np.searchsorted(words, END)], cw[:-1])
-        v_level = levels(cv, 1)
         pairs, at2 = np.unique(_bigrams(h), return_inverse=True)
-        cvw = level_counts(self.filter.level(pairs), BIGRAM_FLOOR)[at2]
+        return np.stack([self.filter.level(words)[at], self.filter.level(pairs)[at2]], axis=1)
+
+    def parts(self, asked: np.ndarray, own: bool = False):
+        """(level of c(v), c(vw) / c(v), P(w)) of every token of whole rows;
+        ``own``: with the token's own occurrence taken out of all counts."""
+        cw = level_counts(asked[:, 0], 1)
+        cv = np.append(level_counts(self.end_level, 1), cw)[:len(cw)]
+        v_level = levels(cv, 1)
+        cvw = level_counts(asked[:, 1], BIGRAM_FLOOR)
         n = self.quantised
         if own:
             cw, cv, n = np.maximum(cw - 1, 0), np.maximum(cv - 1, 0), n - 1
@@ -334,43 +340,56 @@ class Model:
         ratio = np.minimum(cvw / np.maximum(cv, 1.0), 1.0)
         return np.minimum(v_level, len(self.weights) - 1), ratio, p
 
-    def logs(self, h: np.ndarray) -> np.ndarray:
-        v, ratio, p = self.parts(h)
+    def logs(self, asked: np.ndarray) -> np.ndarray:
+        v, ratio, p = self.parts(asked)
         a = self.weights[v]
         return np.log10(a * ratio + (1 - a) * p)
 
+    def gains(self, asked: np.ndarray) -> np.ndarray:
+        """What each weight of GRID gives to training texts scored without their
+        own counts, per level of c(v)."""
+        v, ratio, p = self.parts(asked, own=True)
+        return np.stack([np.bincount(v, np.log10(a * ratio + (1 - a) * p), _V_LEVELS)
+                         for a in GRID], axis=1)
+
 
 _V_LEVELS = 128
 
 
-def tune(train: DataFrame, model: Model, rows: int, tune_rows: int = TUNE_ROWS) -> np.ndarray:
-    """The weight for each level of c(v): the best of GRID on a sample of
-    training texts, scored without their own counts."""
-    shared = train.sparkSession.sparkContext.broadcast(model)
+def best_weights(gains: DataFrame) -> np.ndarray:
+    """The weight for each level of c(v): the best of GRID by the sum of
+    ``gains`` (gains: binary, one row a task or batch)."""
 
-    def gain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((_V_LEVELS, len(GRID)))
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_V_LEVELS * len(GRID))
         for batch in batches:
-            for _, data, off in text_slices(batch.column(0)):
-                h, _ = tokens(data, off)
-                v, ratio, p = shared.value.parts(h, own=True)
-                for g, a in enumerate(GRID):
-                    total[:, g] += np.bincount(v, np.log10(a * ratio + (1 - a) * p), _V_LEVELS)
+            for g in batch.column(0).to_pylist():
+                total += np.frombuffer(g, np.float64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(total.size), pa.int32()), pa.array(total.reshape(-1))], ["i", "x"])
+            [pa.array(np.arange(total.size), pa.int32()), pa.array(total)], ["i", "x"])
 
-    small_batches(train.sparkSession)
-    # drawn by a hash of the text, whatever the partitions
-    share = int(min(1.0, tune_rows / max(rows, 1)) * (1 << 30))
-    part = train.select("text").filter(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) < share)
-    found = part.mapInArrow(
-        tidied(gain), "i int, x double").groupBy("i").agg(F.sum("x").alias("x"))
+    found = gains.mapInArrow(apart, "i int, x double").groupBy("i").agg(F.sum("x").alias("x"))
     total = np.zeros(_V_LEVELS * len(GRID))
     for r in found.collect():  # levels x grid rows
         total[r["i"]] = r["x"]
     return np.array(GRID)[total.reshape(_V_LEVELS, -1).argmax(axis=1)]
 
 
+def tune(train: DataFrame, model: Model) -> np.ndarray:
+    """The best weights on all training texts."""
+    shared = train.sparkSession.sparkContext.broadcast(model)
+
+    def gain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((_V_LEVELS, len(GRID)))
+        for batch in batches:
+            for _, data, off in text_slices(batch.column(0)):
+                total += shared.value.gains(shared.value.asked(tokens(data, off)[0]))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["gains"])
+
+    small_batches(train.sparkSession)
+    return best_weights(train.select("text").mapInArrow(tidied(gain), "gains binary"))
+
+
 def _top(added: DataFrame, top_words: int):
     """The most frequent words and their counts, sorted by hash: at most
     ``top_words``, all over one count."""
@@ -399,26 +418,33 @@ def _top(added: DataFrame, top_words: int):
     return h[order], got.column("c").to_numpy()[order], least
 
 
-def score_texts(docs: DataFrame, model: Model, top: tuple, n_slices: int) -> DataFrame:
-    """Per row of (doc_id, held_out, text): n_tokens, score, what the top words
-    give to the base score (base_top) and to n_known (known_top), batch and no
-    (its place), and rest: the other words of the batch as runs per slice, on
-    the batch's first row."""
+def ask_texts(docs: DataFrame, model: Model, top: tuple, n_slices: int) -> DataFrame:
+    """Per row of (doc_id, held_out, text): n_tokens, asked (the filter's levels,
+    two bytes a token), what the top words give to the base score (base_top) and
+    to n_known (known_top), batch and no (its place), and rest: the other words
+    of the batch as runs per slice, on the batch's first row. A last row of each
+    task, without a place, holds the gains of its training texts."""
     shared = docs.sparkSession.sparkContext.broadcast((model, top))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rest_type = pa.list_(pa.struct([("slice", pa.int32()), ("no", pa.binary()),
                                     ("h", pa.binary())]))
+    names = ["doc_id", "held_out", "n_tokens", "asked", "base_top", "known_top", "batch", "no",
+             "rest", "gains"]
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, (top_h, top_c, _) = shared.value
         top_log = np.log10(top_c + 1.0)
         number = TaskContext.get().partitionId() << 33
+        gains, types = np.zeros((_V_LEVELS, len(GRID))), None
         for batch in batches:
             for at, data, off in text_slices(batch.column(2)):
                 h, first = tokens(data, off)
                 n = np.diff(first)
                 row = np.repeat(np.arange(len(n)), n)
-                score_ = np.add.reduceat(model.logs(h), first[:-1])
+                asked = model.asked(h)
+                held = batch.column(1).slice(at, len(n))
+                learnt = ~held.to_numpy(zero_copy_only=False).astype(bool)
+                gains += model.gains(asked[learnt[row]])
                 i = np.searchsorted(top_h, h)
                 i[i == len(top_h)] = 0
                 hit = top_h[i] == h if len(top_h) else np.zeros(len(h), bool)
@@ -431,21 +457,51 @@ def score_texts(docs: DataFrame, model: Model, top: tuple, n_slices: int) -> Dat
                 rest = [{"slice": int(s), "no": rest_row[cut[s]:cut[s + 1]].tobytes(),
                          "h": rest_h[cut[s]:cut[s + 1]].tobytes()}
                         for s in np.flatnonzero(np.diff(cut))]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(n)), batch.column(1).slice(at, len(n)),
-                     pa.array(n, pa.int64()), pa.array(score_), pa.array(base, pa.float64()),
-                     pa.array(known, pa.int64()), pa.array(np.full(len(n), number), pa.int64()),
-                     pa.array(np.arange(len(n)), pa.int32()),
-                     pa.array([rest] + [None] * (len(n) - 1), rest_type)],
-                    ["doc_id", "held_out", "n_tokens", "score", "base_top", "known_top", "batch",
-                     "no", "rest"])
+                said = memoryview(asked.astype(np.uint8)).cast("B")
+                columns = [
+                    batch.column(0).slice(at, len(n)), held, pa.array(n, pa.int64()),
+                    pa.array([bytes(said[2 * x:2 * y]) for x, y in zip(first[:-1], first[1:])],
+                             pa.binary()),
+                    pa.array(base, pa.float64()), pa.array(known, pa.int64()),
+                    pa.array(np.full(len(n), number), pa.int64()),
+                    pa.array(np.arange(len(n)), pa.int32()),
+                    pa.array([rest] + [None] * (len(n) - 1), rest_type),
+                    pa.nulls(len(n), pa.binary())]
+                types = [c.type for c in columns]
+                yield pa.RecordBatch.from_arrays(columns, names)
                 number += 1
+        if types:
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, t) for t in types[:-1]] + [pa.array([gains.tobytes()], pa.binary())],
+                names)
 
     small_batches(docs.sparkSession)
     return docs.select("doc_id", "held_out", "text").mapInArrow(
-        tidied(score), f"doc_id {kind}, held_out boolean, n_tokens long, score double, base_top double,"
+        tidied(ask), f"doc_id {kind}, held_out boolean, n_tokens long, asked binary, base_top double,"
                " known_top long, batch long, no int,"
-               " rest array<struct<slice:int,no:binary,h:binary>>")
+               " rest array<struct<slice:int,no:binary,h:binary>>, gains binary")
+
+
+def scores_of(asked: DataFrame, model: Model) -> DataFrame:
+    """``asked`` (rows with a place) with the score in place of the levels."""
+    numbers = (model.quantised, model.unseen, model.weights, model.end_level)
+    kept = [c for c in asked.columns if c != "asked"]
+    types = ", ".join(f"{c} {asked.schema[c].dataType.simpleString()}" for c in kept)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = Model.__new__(Model)
+        part.quantised, part.unseen, part.weights, part.end_level = numbers
+        for batch in batches:
+            n = batch.column(batch.schema.get_field_index("n_tokens")).to_numpy()
+            x = batch.column(batch.schema.get_field_index("asked")).to_pylist()
+            logs = part.logs(np.frombuffer(b"".join(x), np.uint8).reshape(-1, 2))
+            out = np.add.reduceat(logs, np.cumsum(n) - n) if len(n) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.get_field_index(c)) for c in kept]
+                + [pa.array(out, pa.float64())], kept + ["score"])
+
+    small_batches(asked.sparkSession)
+    return asked.mapInArrow(tidied(score), f"{types}, score double")
 
 
 def _rest_sums(scored: DataFrame, added: DataFrame) -> DataFrame:
@@ -488,33 +544,40 @@ def slices_for(rows: int) -> int:
     return 1 << min(16, max(6, (rows // 2000).bit_length()))
 
 
-def fitted(train: DataFrame, filter_mb: int = FILTER_MB, tune_rows: int = TUNE_ROWS):
-    """(model, exact counts by slice, tokens, different words) of the training
-    texts."""
-    rows = train.count()
-    n_slices = slices_for(rows)
+def counted(train: DataFrame, filter_mb: int = FILTER_MB):
+    """(model without weights, exact counts by slice, tokens, different words) of
+    the training texts."""
+    n_slices = slices_for(train.count())
     added = written(add_up(count_runs(train, n_slices)), "ngrams")
     t = added.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
                     for c in ("n_words", "n_tokens", "n_once", "quantised")]).first()
     unseen = min(0.5, (t["n_once"] + 1) / (t["n_tokens"] + 2))
     model = Model(make_filter(added, n_slices, filter_mb), float(t["quantised"]), unseen,
                   np.zeros(_V_LEVELS))
-    model.weights = tune(train, model, rows, tune_rows)
     return model, added, t["n_tokens"], t["n_words"]
 
 
+def fitted(train: DataFrame, filter_mb: int = FILTER_MB):
+    """``counted`` with the weights, all training texts read once more."""
+    model, added, n, v = counted(train, filter_mb)
+    model.weights = tune(train, model)
+    return model, added, n, v
+
+
 def lm_scores(docs: DataFrame, held_of: int = 7, held: int = 2, top_words: int = TOP_WORDS,
-              filter_mb: int = FILTER_MB, tune_rows: int = TUNE_ROWS) -> DataFrame:
+              filter_mb: int = FILTER_MB) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens,
     n_known, train_tokens, base_score, score. Texts whose crc32(doc_id) leaves
     ``held`` modulo ``held_of`` are held out of training."""
     docs = docs.select("doc_id", bucket_of(held, held_of, F.col("doc_id")).alias("held_out"), "text")
     train = docs.filter(~F.col("held_out")).select("text")
-    model, added, n, v = fitted(train, filter_mb, tune_rows)
+    model, added, n, v = counted(train, filter_mb)
     n_slices = len(model.filter.start)
-    scored = written(score_texts(docs, model, _top(added, top_words), n_slices), "scored")
-    rest = _rest_sums(scored, added)
-    d = scored.drop("rest").join(rest, ["batch", "no"], "left")
+    asked = written(ask_texts(docs, model, _top(added, top_words), n_slices), "asked")
+    model.weights = best_weights(asked.filter("gains IS NOT NULL").select("gains"))
+    rows = asked.filter("gains IS NULL")
+    rest = _rest_sums(rows, added)
+    d = scores_of(rows.drop("rest", "gains"), model).join(rest, ["batch", "no"], "left")
     return d.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known_top") + F.coalesce("known_rest", F.lit(0))).cast("long").alias("n_known"),
