@@ -85,3 +85,58 @@ def test_sketches_of_days_make_any_period(spark):
     assert abs(got - total) <= 4 * SKETCH_ERROR * total + 1
     plan = active_sketches(wh)._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "Exchange" not in plan  # read, not computed
+
+
+def _lines(df) -> list[str]:
+    return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
+def test_texts_join_after_the_shuffles(spark):
+    """The flat frame is shuffled by id and card before a dimension's text is on
+    its rows, and its rows are those of the frame joined the plain way."""
+    from pyspark.sql import functions as F
+
+    from cardspark.plans.star import _wh, flat_frame, flat_with_time, time_features
+    wh = _wh(spark, SF)
+    frame = flat_with_time(wh)
+    depth = {}
+    for line in _lines(frame):
+        for key in ("BKTransactionID", "MccKey"):
+            if " Join " in f" {line}" and f"({key}#" in line and "RowIsCurrent" not in line:
+                depth.setdefault(key, line.index("Join"))
+    assert depth["BKTransactionID"] > depth["MccKey"]
+    plain = flat_frame(wh).join(time_features(wh.stg["transactions"]), "transaction_id", "left")
+    assert plain.filter("txn_hour IS NULL").count() == 0
+    cols = frame.columns
+    as_long = [F.col(c).cast("double").alias(c) if c in ("txn_hour", "txn_weekday")
+               else F.col(c).cast("long").alias(c) if c == "txn_per_card_day" else F.col(c)
+               for c in cols]
+    assert frame.exceptAll(plain.select(*as_long)).count() == 0
+    assert frame.count() == plain.count()
+
+
+def test_lines_are_not_sorted_for_their_orders(spark):
+    from cardspark.sources.tables import transactions
+    plan = transactions(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_a_curve_reads_the_scores_once(spark, tmp_path):
+    """Nothing built on a score curve makes the scored rows again."""
+    from cardspark.plans.metrics import score_curve
+    path = f"{tmp_path}/scored"
+    spark.createDataFrame([(1, 0, 0.5), (2, 1, 0.5), (3, 1, 0.9)],
+                          "id long, label int, score double").write.parquet(path)
+    curve = score_curve(spark.read.parquet(path))
+    assert not any(path in f for f in curve.inputFiles())
+    assert sorted(tuple(r) for r in curve.select("score", "pos", "neg", "tp", "fp", "P", "N")
+                  .collect()) == [(0.5, 1, 1, 2, 1, 2, 1), (0.9, 1, 0, 1, 0, 2, 1)]
+
+
+def test_tree_partitions():
+    """As before up to the cores' share, then no more tasks a level than cores
+    until partitions would be too large."""
+    from cardspark.plans.models import tree_partitions
+    assert [tree_partitions(n, 8) for n in (0, 5_000, 60_000, 160_000)] == [1, 1, 3, 8]
+    assert tree_partitions(3_000_000, 12) == 12  # 150 at 20,000 rows each
+    assert tree_partitions(180_000_000, 12) == 360
