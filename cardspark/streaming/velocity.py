@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cardspark.plans.registry import register
 from cardspark.session import ensure_checkpoint_dir
-from cardspark.sources.tables import TRANSACTIONS_SCHEMA, Sources
+from cardspark.sources.tables import TRANSACTIONS_SCHEMA, Sources, raw, spread_parts
 
 PANES = 12  # of a window
 PANE_SECONDS = 300
@@ -25,10 +25,11 @@ SLIDE = f"{PANE_SECONDS} seconds"
 WATERMARK = "1 hour"
 
 
-def velocity_windows(txns: DataFrame, time_col: str = "date") -> DataFrame:
+def velocity_windows(txns: DataFrame, time_col: str = "date", parts: int | None = None) -> DataFrame:
     """Count of transactions per card in each sliding window containing them;
     window bounds are wall-clock (timestamp_ntz) like the transaction time. A
-    row without a time is in no window."""
+    row without a time is in no window. ``parts``: partitions of the hours that
+    are summed (a row each, with twelve sums); the session's by default."""
     pane = F.floor(F.unix_seconds(F.col(time_col).cast("timestamp")) / PANE_SECONDS)
     panes = (txns.filter(F.col(time_col).isNotNull()).groupBy("card_id", pane.alias("pane"))
              .agg(F.count(F.lit(1)).alias("n")))
@@ -36,8 +37,9 @@ def velocity_windows(txns: DataFrame, time_col: str = "date") -> DataFrame:
     at = F.col("pane") - PANES * F.col("block")
     sums = [F.sum(F.when(at.between(i, i + PANES - 1), F.col("n")).otherwise(0))
             for i in range(PANES)]
-    blocks = (panes.withColumn("block", F.explode(F.array(block, block - 1)))
-              .groupBy("card_id", "block").agg(F.array(*sums).alias("sums")))
+    hours = panes.withColumn("block", F.explode(F.array(block, block - 1)))
+    blocks = ((hours.repartition(parts, "card_id", "block") if parts else hours).groupBy("card_id", "block")
+              .agg(F.array(*sums).alias("sums")))
     windows = blocks.select("card_id", "block", F.posexplode("sums").alias("i", "n_txn")) \
         .filter(F.col("n_txn") > 0)
     start = (PANES * F.col("block") + F.col("i")) * PANE_SECONDS
@@ -86,4 +88,6 @@ w AS (SELECT card_id, bucket - i * INTERVAL 5 MINUTE AS window_start
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, card_id, COUNT(*) AS n_txn
 FROM w GROUP BY window_start, card_id""")
 def velocity_windows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return velocity_windows(Sources(spark, sf_dir).transactions())
+    # two rows a transaction at most: twice the partitions of its lines
+    parts = 2 * spread_parts(raw(spark, sf_dir, "lineitem"))
+    return velocity_windows(Sources(spark, sf_dir).transactions(), parts=parts)
