@@ -28,18 +28,19 @@ WATERMARK = "1 hour"
 def velocity_windows(txns: DataFrame, time_col: str = "date", parts: int | None = None) -> DataFrame:
     """Count of transactions per card in each sliding window containing them;
     window bounds are wall-clock (timestamp_ntz) like the transaction time. A
-    row without a time is in no window. ``parts``: partitions of the hours that
-    are summed (a row each, with twelve sums); the session's by default."""
+    row without a time is in no window. ``parts``: partitions of the panes, and of
+    the hours that are summed (twelve sums each); the session's by default."""
     pane = F.floor(F.unix_seconds(F.col(time_col).cast("timestamp")) / PANE_SECONDS)
-    panes = (txns.filter(F.col(time_col).isNotNull()).groupBy("card_id", pane.alias("pane"))
-             .agg(F.count(F.lit(1)).alias("n")))
+    times = txns.filter(F.col(time_col).isNotNull()).select("card_id", pane.alias("pane"))
+    panes = ((times.repartition(parts, "card_id", "pane") if parts else times)
+             .groupBy("card_id", "pane").agg(F.count(F.lit(1)).alias("n")))
     block = F.floor(F.col("pane") / PANES)
     at = F.col("pane") - PANES * F.col("block")
     sums = [F.sum(F.when(at.between(i, i + PANES - 1), F.col("n")).otherwise(0))
             for i in range(PANES)]
     hours = panes.withColumn("block", F.explode(F.array(block, block - 1)))
-    blocks = ((hours.repartition(parts, "card_id", "block") if parts else hours).groupBy("card_id", "block")
-              .agg(F.array(*sums).alias("sums")))
+    blocks = ((hours.repartition(parts, "card_id", "block") if parts else hours)
+              .groupBy("card_id", "block").agg(F.array(*sums).alias("sums")))
     windows = blocks.select("card_id", "block", F.posexplode("sums").alias("i", "n_txn")) \
         .filter(F.col("n_txn") > 0)
     start = (PANES * F.col("block") + F.col("i")) * PANE_SECONDS

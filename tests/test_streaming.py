@@ -63,3 +63,15 @@ def test_windows_of_panes_equal_windows_of_rows(spark):
     assert all(r["window_end"] - r["window_start"] == dt.timedelta(hours=1) for r in out.collect())
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan  # no row is copied into its windows
+
+
+def test_parts_of_the_batch_windows(spark):
+    """Panes and hours fall into the parts that are asked for, with the same
+    windows; the query asks for more than the session's."""
+    from cardspark.sources.tables import raw, spread_parts, transactions
+    t = transactions(spark, "/root/testdata/sf0.001").select("card_id", "date")
+    spread, plain = velocity_windows(t, parts=13), velocity_windows(t)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "13), REPARTITION_BY_NUM" in plan
+    assert spread.exceptAll(plain).count() == 0 and spread.count() == plain.count() > 0
+    assert spread_parts(raw(spark, "/root/testdata/sf0.001", "lineitem")) > 4
