@@ -10,7 +10,7 @@ finds the choice that fills the rest of the window most closely; walking the
 steps backwards gives how many pieces of each length it took. What stays open
 is the last windows of each shard.
 
-A task holds one batch of texts and its tokens, or one shard of piece rows
+A task holds some ``SLICE_CHARS`` of texts and their tokens, or one shard of piece rows
 (``SHARD_PIECES``), never all of them. Pieces are written before they are
 shuffled, so a lost executor does not tokenise again.
 
@@ -29,6 +29,7 @@ from operator import neg
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,13 +45,17 @@ CACHE_CHUNKS = 400_000
 # Longer chunks are not remembered.
 CACHE_CHARS = 40
 # Chunks that are encoded as one text.
-TOGETHER = 2000
+TOGETHER = 20_000
+# Characters that are cut into chunks at a time (a longer single text alone): the
+# more, the fewer chunks are looked up again.
+SLICE_CHARS = 10_000_000
 
 
 # White space other than the space and the line end.
 _RARE_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     map(chr, range(0x2000, 0x200B)))
 _LINE = "\x00"  # marks a chunk that a line end leads
+_FIRST = "\x00\x00"  # marks a chunk that nothing leads
 _LEADS = "\u0120\u010a"  # what byte-level vocabularies write for a space and a line end
 
 
@@ -61,7 +66,9 @@ class _Ids:
     alone between two other characters, and pieces are merged on their own. So
     a text in which all white space stands alone so is the concatenation of
     its chunks, each led by its space or line end, and the ids of a chunk are
-    looked up. Any other text goes to the tokenizer as it is."""
+    looked up: Arrow cuts a slice of texts and finds its different chunks, these
+    are looked up once, and numpy lays their ids end to end. Any other text goes
+    to the tokenizer as it is."""
 
     def __init__(self, path: str):
         import os
@@ -80,9 +87,15 @@ class _Ids:
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks, many at a time as one text: a chunk begins where a
-        token begins with a space or a line end."""
-        led = ["\n" + c[1:] if c[0] == _LINE else " " + c for c in chunks]
+        """Ids of marked chunks; those that begin a text are encoded alone."""
+        heads = iter(self._encode([c[2:] for c in chunks if c[:2] == _FIRST]))
+        rest = iter(self._led(["\n" + c[1:] if c[0] == _LINE else " " + c
+                               for c in chunks if c[:2] != _FIRST]))
+        return [next(heads if c[:2] == _FIRST else rest) for c in chunks]
+
+    def _led(self, led: list[str]) -> list[bytes]:
+        """Ids of chunks with their space or line end, many at a time as one
+        text: a chunk begins where a token begins with a space or a line end."""
         parts = [led[i:i + TOGETHER] for i in range(0, len(led), TOGETHER)]
         out: list[bytes] = []
         for part, e in zip(parts, self.tokenizer.encode_batch_fast(
@@ -96,6 +109,25 @@ class _Ids:
                 out += self._encode(part)
         return out
 
+    def _joined(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that are not odd."""
+        cut = pc.split_pattern(pa.array(
+            [_FIRST + t.replace("\n", " " + _LINE) for t in texts], pa.large_string()), " ")
+        chunks = cut.values.dictionary_encode()
+        different = chunks.dictionary.to_pylist()
+        known = self.memo.of(set(different), self._chunks)
+        raws = list(map(known.__getitem__, different))
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws)) // 4
+        firsts = np.cumsum(sizes) - sizes
+        which = chunks.indices.to_numpy()
+        n = sizes[which]
+        ends = np.append(0, np.cumsum(n))
+        # every id's place among those of the different chunks
+        at = np.repeat(firsts[which] - ends[:-1], n) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(raws), "<u4")[at].tobytes()
+        cuts = (4 * ends[cut.offsets.to_numpy()]).tolist()
+        return [ids[x:y] for x, y in zip(cuts, cuts[1:])]
+
     def _is_odd(self, t: str) -> bool:
         return (t[:1] in " \n" or t[-1] in " \n" or "  " in t or "\n " in t or " \n" in t
                 or "\n\n" in t or _LINE in t or any(c in t for c in _RARE_SPACE)
@@ -103,21 +135,27 @@ class _Ids:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
-        rest, cut = [], []
-        wanted: set[str] = set()
+        rest: list[int] = []
+        cut: list[int] = []
+        held = 0
+
+        def join() -> None:
+            for i, x in zip(cut, self._joined([texts[i] for i in cut])):
+                out[i] = x
+            cut.clear()
         for i, t in enumerate(texts):
             if not t:
                 out[i] = b""
             elif self._is_odd(t):
                 rest.append(i)
             else:
-                first, *chunks = t.replace("\n", " " + _LINE).split(" ")
-                cut.append((i, first, chunks))
-                wanted.update(chunks)
-        known = self.memo.of(wanted, self._chunks)
-        firsts = self._encode([first for _, first, _ in cut])
-        for (i, _, chunks), head in zip(cut, firsts):
-            out[i] = head + b"".join(map(known.__getitem__, chunks))
+                if cut and held + len(t) > SLICE_CHARS:
+                    join()
+                    held = 0
+                cut.append(i)
+                held += len(t)
+        if cut:
+            join()
         if rest:
             for i, x in zip(rest, self._encode([texts[i] for i in rest])):
                 out[i] = x
@@ -136,6 +174,23 @@ def _ids(path: str | None) -> _Ids:
     return _LOADED[path]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str], pa.DataType]]:
+    """Ids and texts of several batches, up to ``SLICE_CHARS`` and one batch."""
+    docs: list = []
+    texts: list[str] = []
+    held, kind = 0, None
+    for batch in batches:
+        new = [t or "" for t in batch.column(1).to_pylist()]
+        docs += batch.column(0).to_pylist()
+        texts += new
+        held, kind = held + sum(map(len, new)), batch.schema.field(0).type
+        if held >= SLICE_CHARS:
+            yield docs, texts, kind
+            docs, texts, held = [], [], 0
+    if docs:
+        yield docs, texts, kind
+
+
 def pieces(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDOW,
            end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """The pieces of every document: doc_id, start, length, ids_crc32,
@@ -149,10 +204,9 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, window: int = WIN
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _ids(tokenizer_path)
         salt = 0
-        for batch in batches:
+        for docs_, texts, doc_type in _gathered(batches):
             rows = [[] for _ in range(7)]
-            docs_, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc, raw in zip(docs_, ids.encode([t or "" for t in texts])):
+            for doc, raw in zip(docs_, ids.encode(texts)):
                 raw += end
                 n = len(raw) // 4
                 for start in range(0, n, window):
@@ -161,7 +215,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, window: int = WIN
                                              salt, part)):
                         col.append(x)
                     salt += 1
-            types = [batch.schema.field(0).type] + [pa.int64()] * 5 + [pa.binary()]
+            types = [doc_type] + [pa.int64()] * 5 + [pa.binary()]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt", "ids"]
             k = 7 if with_ids else 6
             yield pa.RecordBatch.from_arrays(

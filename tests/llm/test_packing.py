@@ -131,3 +131,27 @@ def test_with_ids(messy):
 
 def test_empty_table(no_docs):
     assert pack(no_docs).count() == 0
+
+
+def test_a_chunk_is_looked_up_once_a_slice(tokenizer, monkeypatch):
+    ids = packing._Ids(PATH)
+    asked = []
+    monkeypatch.setattr(ids.memo, "of", lambda wanted, make, of=ids.memo.of:
+                        asked.append(len(wanted)) or of(wanted, make))
+    texts = ["one two\nthree two one", "two two", "one", "three\ntwo"]
+    for size in (packing.SLICE_CHARS, 5):
+        monkeypatch.setattr(packing, "SLICE_CHARS", size)
+        for text, raw in zip(texts, ids.encode(texts)):
+            x = tokenizer.encode(text, add_special_tokens=False).ids
+            assert raw == struct.pack(f"<{len(x)}I", *x)
+    # three heads, " two", " one", "\nthree", "\ntwo" at once; then text by text
+    assert asked[0] == 7 and len(asked) == 5
+
+
+def test_batches_are_gathered(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(packing, "SLICE_CHARS", 4)
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": [t]})
+               for i, t in enumerate(["ab", None, "cde", "", "f"])]
+    got = [(d, t) for d, t, _ in packing._gathered(iter(batches))]
+    assert got == [([0, 1, 2], ["ab", "", "cde"]), ([3, 4], ["", "f"])]
