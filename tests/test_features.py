@@ -90,3 +90,25 @@ def test_features_fitted_on_the_training_rows(spark):
     b = sorted(map(tuple, alone.collect()))
     assert a == b
     assert frame.filter("merchant_id_freq IS NULL OR mcc_description_freq IS NULL").count() == 0
+
+
+def test_assembled_features_are_the_matrix_as_vectors(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from cardspark.plans.features import _flat, assembled_features, time_split
+    flat = _flat(spark, SF)
+    # levels that the fitted rows lack have no column
+    for fit in (None, time_split(flat, 19960101)[0].filter("card_brand <> 'Visa'")):
+        frame, names = build_features(flat, fit=fit)
+        want = VectorAssembler(inputCols=names, outputCol="features").transform(frame)
+        got, same = assembled_features(flat, fit=fit)
+        assert same == names
+        assert got.schema["features"].metadata == want.schema["features"].metadata
+        key = lambda r: r["transaction_id"]
+        assert sorted(got.collect(), key=key) == sorted(want.select(got.columns).collect(), key=key)
+
+
+def test_a_level_is_looked_up_once_a_column(spark):
+    """The plan of the feature rows grows with the columns, not with columns times levels."""
+    from cardspark.plans.features import ALL_CATEGORICAL, feature_rows
+    plan = feature_rows(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_position(") == len(ALL_CATEGORICAL) and plan.count("CASE WHEN") < 40
