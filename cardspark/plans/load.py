@@ -26,7 +26,7 @@ from cardspark.plans.warehouse import (DEFAULT_CTX, DIM_KEYS, DIM_NAMES, DIM_TAB
                                        dim_mcc, dim_transaction_type, fact_transaction, staged,
                                        write_fact)
 from cardspark.session import run_concurrently
-from cardspark.sources.tables import Sources
+from cardspark.sources.tables import Sources, parts_of
 
 STAGE_TABLES = ["users", "cards", "transactions", "mcc_codes"]
 
@@ -119,7 +119,9 @@ def build_warehouse(spark: SparkSession, sf_dir: str, out_root: str,
         return dims, sum(df.count() - 1 for df in dims.values()), "Success"
 
     def load_fact():
-        write_fact(fact_transaction(stg, dims, ctx), f"{run}/fact/FactTransaction")
+        parts = parts_of(spark, counts["transactions"])
+        write_fact(fact_transaction(stg, dims, ctx, parts=parts), f"{run}/fact/FactTransaction",
+                   ctx, parts)
         fact = spark.read.parquet(f"{run}/fact/FactTransaction").drop("Year")
         n = fact.count()
         return fact, n, "Success" if n == counts["transactions"] else "Warning"
