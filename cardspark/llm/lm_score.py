@@ -21,7 +21,8 @@ Good-Turing mass of words met once. The weight a depends on c(v)'s level and is
 the best of a grid on all training texts, each scored without its own counts.
 The score is the sum of log10 P over the tokens. The filter is asked once per
 text: what it says goes along as two bytes a token, and a task's gains by weight
-as one row, so the weights are known before the scores are made of the bytes.
+as one row, so the weights are known before the scores are made of the bytes. What
+it says of the top words (see Base) is looked up once for all texts.
 
 Base. The exact add-one unigram score needs exact counts. The ``TOP_WORDS``
 most frequent words (fixed number) are broadcast with theirs; the others go, as
@@ -321,16 +322,24 @@ class Model:
     def asked(self, h: np.ndarray) -> np.ndarray:
         """The filter's levels of every token and of the bigram that ends there."""
         words, at = np.unique(h, return_inverse=True)
-        pairs, at2 = np.unique(_bigrams(h), return_inverse=True)
-        return np.stack([self.filter.level(words)[at], self.filter.level(pairs)[at2]], axis=1)
-
-    def parts(self, asked: np.ndarray, own: bool = False):
-        """(level of c(v), c(vw) / c(v), P(w)) of every token of whole rows;
-        ``own``: with the token's own occurrence taken out of all counts."""
-        cw = level_counts(asked[:, 0], 1)
-        cv = np.append(level_counts(self.end_level, 1), cw)[:len(cw)]
+        return np.stack([self.filter.level(words)[at], self.pairs(h)], axis=1)
+
+    def pairs(self, h: np.ndarray) -> np.ndarray:
+        """The filter's levels of the bigrams that end at every token."""
+        pairs, at = np.unique(_bigrams(h), return_inverse=True)
+        return self.filter.level(pairs)[at]
+
+    def cases(self, asked: np.ndarray):
+        """The levels of the token before, of the token and of their bigram, for
+        every token of whole rows."""
+        w = asked[:, 0].astype(np.int64)
+        return np.append(self.end_level, w)[:len(w)], w, asked[:, 1].astype(np.int64)
+
+    def parts(self, v: np.ndarray, w: np.ndarray, vw: np.ndarray, own: bool = False):
+        """(level of c(v), c(vw) / c(v), P(w)) of every case; ``own``: with the
+        token's own occurrence taken out of all counts."""
+        cv, cw, cvw = level_counts(v, 1), level_counts(w, 1), level_counts(vw, BIGRAM_FLOOR)
         v_level = levels(cv, 1)
-        cvw = level_counts(asked[:, 1], BIGRAM_FLOOR)
         n = self.quantised
         if own:
             cw, cv, n = np.maximum(cw - 1, 0), np.maximum(cv - 1, 0), n - 1
@@ -341,15 +350,19 @@ class Model:
         return np.minimum(v_level, len(self.weights) - 1), ratio, p
 
     def logs(self, asked: np.ndarray) -> np.ndarray:
-        v, ratio, p = self.parts(asked)
+        v, ratio, p = self.parts(*self.cases(asked))
         a = self.weights[v]
         return np.log10(a * ratio + (1 - a) * p)
 
     def gains(self, asked: np.ndarray) -> np.ndarray:
         """What each weight of GRID gives to training texts scored without their
-        own counts, per level of c(v)."""
-        v, ratio, p = self.parts(asked, own=True)
-        return np.stack([np.bincount(v, np.log10(a * ratio + (1 - a) * p), _V_LEVELS)
+        own counts, per level of c(v). Tokens of the same levels gain alike, so
+        each case is worked out once and counts as often as it occurs."""
+        v, w, vw = self.cases(asked)
+        size = 1 + max(x.max(initial=0) for x in (v, w, vw))
+        case, n = np.unique((v * size + w) * size + vw, return_counts=True)
+        v, ratio, p = self.parts(case // size ** 2, case // size % size, case % size, own=True)
+        return np.stack([np.bincount(v, n * np.log10(a * ratio + (1 - a) * p), _V_LEVELS)
                          for a in GRID], axis=1)
 
 
@@ -424,7 +437,8 @@ def ask_texts(docs: DataFrame, model: Model, top: tuple, n_slices: int) -> DataF
     to n_known (known_top), batch and no (its place), and rest: the other words
     of the batch as runs per slice, on the batch's first row. A last row of each
     task, without a place, holds the gains of its training texts."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, top))
+    # most tokens are top words: the filter is asked for those here, once
+    shared = docs.sparkSession.sparkContext.broadcast((model, top, model.filter.level(top[0])))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rest_type = pa.list_(pa.struct([("slice", pa.int32()), ("no", pa.binary()),
                                     ("h", pa.binary())]))
@@ -432,7 +446,7 @@ def ask_texts(docs: DataFrame, model: Model, top: tuple, n_slices: int) -> DataF
              "rest", "gains"]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, (top_h, top_c, _) = shared.value
+        model, (top_h, top_c, _), top_level = shared.value
         top_log = np.log10(top_c + 1.0)
         number = TaskContext.get().partitionId() << 33
         gains, types = np.zeros((_V_LEVELS, len(GRID))), None
@@ -441,14 +455,19 @@ def ask_texts(docs: DataFrame, model: Model, top: tuple, n_slices: int) -> DataF
                 h, first = tokens(data, off)
                 n = np.diff(first)
                 row = np.repeat(np.arange(len(n)), n)
-                asked = model.asked(h)
+                words, word_at = np.unique(h, return_inverse=True)
+                i = np.searchsorted(top_h, words)
+                i[i == len(top_h)] = 0
+                hit = top_h[i] == words if len(top_h) else np.zeros(len(words), bool)
+                level, log = np.zeros(len(words), np.int64), np.zeros(len(words))
+                level[hit], log[hit] = top_level[i[hit]], top_log[i[hit]]
+                level[~hit] = model.filter.level(words[~hit])
+                asked = np.stack([level[word_at], model.pairs(h)], axis=1)
                 held = batch.column(1).slice(at, len(n))
                 learnt = ~held.to_numpy(zero_copy_only=False).astype(bool)
                 gains += model.gains(asked[learnt[row]])
-                i = np.searchsorted(top_h, h)
-                i[i == len(top_h)] = 0
-                hit = top_h[i] == h if len(top_h) else np.zeros(len(h), bool)
-                base = np.bincount(row[hit], top_log[i[hit]], len(n))
+                hit = hit[word_at]
+                base = np.bincount(row, log[word_at], len(n))
                 known = np.bincount(row[hit], minlength=len(n))
                 rest_h, rest_row = h[~hit], row[~hit].astype(np.int32)
                 order = np.argsort(rest_h, kind="stable")

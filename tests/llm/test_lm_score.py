@@ -169,3 +169,60 @@ def test_weights_learn_from_every_training_text(spark):
     assert np.allclose(total.reshape(want.shape), want)
     assert (best_weights(gains) == fitted(train)[0].weights).all()
     asked.unpersist()
+
+
+def small_model(words=40):
+    """A model of made-up counts in a filter, and tokens of rows that end in END."""
+    from cardspark.llm.lm_score import END, Model, _bigrams
+    rng = np.random.default_rng(5)
+    word = rng.integers(0, 1 << 63, words, dtype=np.uint64)
+    h = word[rng.integers(0, words, 20_000) % rng.integers(1, words, 20_000)]
+    h[99::100] = END
+    keys, level = [], []
+    for x, floor in ((h, 1), (_bigrams(h), BIGRAM_FLOOR)):
+        u, c = np.unique(x, return_counts=True)
+        keys.append(u[::2])  # half of them: the others are not in the filter
+        level.append(levels(c[::2], floor))
+    keys, level = np.concatenate(keys), np.concatenate(level)
+    n_bits = int(level.sum()) * 10
+    f = Filter(put(keys, level, n_bits), np.zeros(1, np.int64), np.array([n_bits], np.uint64),
+               int(level.max()))
+    return Model(f, 20_000.0, 0.01, np.full(128, 0.5)), h
+
+
+def test_gains_work_out_each_case_once(monkeypatch):
+    """Tokens of equal levels gain alike: the logarithms are of the cases, and
+    the sums are those over tokens."""
+    from cardspark.llm.lm_score import GRID, _V_LEVELS, Model
+    model, h = small_model()
+    asked = model.asked(h)
+    v, ratio, p = model.parts(*model.cases(asked), own=True)
+    want = np.stack([np.bincount(v, np.log10(a * ratio + (1 - a) * p), _V_LEVELS) for a in GRID],
+                    axis=1)
+    sizes, parts = [], Model.parts
+    monkeypatch.setattr(Model, "parts", lambda self, v, *x, **k: sizes.append(len(v)) or
+                        parts(self, v, *x, **k))
+    assert np.allclose(model.gains(asked), want)
+    assert sizes[0] < len(h) / 4
+    assert (model.gains(asked[:0]) == 0).all()
+
+
+def test_top_words_are_asked_for_once(messy, monkeypatch):
+    """The levels of the top words are looked up before the tasks start, and
+    what a text's tokens get does not depend on which words are top."""
+    from pyspark.sql import functions as F
+
+    from cardspark.llm.lm_score import _top, ask_texts, counted
+    docs = messy.select("doc_id", F.lit(False).alias("held_out"), "text")
+    model, added, *_ = counted(docs.select("text"))
+    asked, level = [], Filter.level
+    monkeypatch.setattr(Filter, "level", lambda self, keys: asked.append(len(keys)) or
+                        level(self, keys))
+    got = []
+    for n in (0, 3, 1 << 18):
+        top = _top(added, n)
+        rows = ask_texts(docs, model, top, len(model.filter.start)).filter("gains IS NULL")
+        assert asked[-1] == len(top[0])
+        got.append(sorted((str(r["doc_id"]), r["n_tokens"], bytes(r["asked"]))
+                          for r in rows.collect()))
+    assert got[0] == got[1] == got[2]
