@@ -44,3 +44,12 @@ def test_the_flat_frame_broadcasts_no_large_dimension(spark, dims, tmp_path):
     assert not _broadcast_keys(flat) & {"CardKey", "CustomerKey", "MccKey"}
     assert {"DateKey", "GeographyKey", "TransactionTypeKey"} <= _broadcast_keys(flat)
     assert tuple(flat.first()) == (n, n // 2)
+
+
+def test_the_card_lookup_broadcasts_no_large_dimension(spark, dims, tmp_path):
+    spark.range(3).select(F.col("id"), (F.col("id") + 1).alias("client_id")).write.parquet(f"{tmp_path}/cards")
+    found = W.card_lookup(spark.read.parquet(f"{tmp_path}/cards"), dims["card"].filter("BKCardID <= 2"),
+                         dims["customer"])
+    assert not _broadcast_keys(found)
+    assert sorted(tuple(r) for r in found.select("card_id", "CardKey", "CustomerKey").collect()
+                  if r["card_id"] is not None) == [(0, None, 1), (1, 1, 2), (2, 2, 3)]
